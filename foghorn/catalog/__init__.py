@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from foghorn.catalog.base import ORACLES, QUERIES
-from foghorn.catalog import scoring, radar_tables  # noqa: F401
+from foghorn.catalog import scoring, radar_tables, text_tables  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

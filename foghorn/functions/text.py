@@ -34,6 +34,15 @@ def _fold_table() -> tuple[str, str]:
 _FOLD_FROM, _FOLD_TO = _fold_table()
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once however often ``body`` uses it.
+
+    Bound as a lambda variable, so the optimizer cannot copy the value's
+    expression into each use, nor into filters pushed below the projection.
+    """
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def text_or_blank(c: Column | str) -> Column:
     return F.coalesce(_col(c).cast("string"), F.lit(""))
 

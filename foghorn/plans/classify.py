@@ -24,16 +24,25 @@ def _fields(df: DataFrame, fields: Sequence[str]) -> list[Column]:
     return [tx.text_or_blank(c) for c in fields if c in df.columns]
 
 
-def _pattern_hit(raw: Column, folded: Column, pattern: str) -> Column:
+def _is_plain(pattern: str) -> bool:
+    """Alternatives of literal lower-case words only."""
+    return re.fullmatch(r"[a-z0-9 \-|]+", pattern) is not None
+
+
+def _pattern_hit(lower: Column, folded: Column, pattern: str) -> Column:
     """Pattern found in the text or in its accent-free form, ignoring case.
 
-    A pattern of plain letters that matches the text also matches the folded
-    text, so only patterns with accented letters or exclusions look at both.
+    Both texts are lower case already. A pattern of plain ASCII letters that
+    matches the text also matches the folded text, so only patterns with
+    accented letters or exclusions look at both, and alternatives of literals
+    are tested by containment instead of by a regular expression.
     """
+    if _is_plain(pattern):
+        return tx.contains_any(folded, pattern.split("|"))
+    if pattern == pattern.lower() and pattern.isascii() and not re.search(r"\[\^|\(\?|\\", pattern):
+        return folded.rlike(pattern)
     java = "(?iu)" + pattern
-    if pattern.isascii() and not re.search(r"\[\^|\(\?", pattern):
-        return folded.rlike(java)
-    return folded.rlike(java) | raw.rlike(java)
+    return folded.rlike(java) | lower.rlike(java)
 
 
 def classify(
@@ -55,73 +64,97 @@ def classify(
 
     One generated projection over the row: no join and no shuffle.
     """
-    parts = _fields(df, fields)
-    present = F.filter(F.array(*parts), lambda f: f != "")
-    combined = F.array_join(present, " ")
+    present = F.filter(F.array(*_fields(df, fields)), lambda f: f != "")
     # fields are kept apart by a character that no fragment can contain
     fragments = F.array_join(F.transform(present, lambda f: tx.fragment(f)), "\n")
-    staged = df.withColumns({"_raw": combined, "_frags": fragments}).withColumns(
-        {"_fold": tx.fold(F.col("_raw"))}
+    meta = tx.fragment("source_meta") if "source_meta" in df.columns else F.lit("")
+    texts = F.struct(
+        F.lower(F.array_join(present, " ")).alias("lower"),
+        F.lower(tx.fold(F.array_join(present, " "))).alias("folded"),
+        fragments.alias("frags"),
+        F.coalesce(
+            *[F.when(meta.contains(hint), F.lit(slug)) for hint, slug in sector_hints],
+            F.lit(None).cast("string"),
+        ).alias("hint"),
     )
-    frags, raw, folded = F.col("_frags"), F.col("_raw"), F.col("_fold")
 
-    alias_slug = F.coalesce(
-        *[
-            F.when(
-                tx.contains_any(frags, tx.dedupe_terms([_fragment_literal(a) for a in words])),
-                F.lit(slug),
+    def outcome(slug: Column, reason: str, score: Column, hint: Column) -> Column:
+        return F.struct(
+            slug.alias("slug"), F.lit(reason).alias("reason"), score.alias("score"), hint.alias("hint")
+        )
+
+    no_score, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def by_alias(t: Column) -> Column:
+        found = F.coalesce(
+            *[
+                F.when(
+                    tx.contains_any(t["frags"], tx.dedupe_terms([_fragment_literal(w) for w in words])),
+                    F.lit(slug),
+                )
+                for slug, words in aliases
+            ],
+            no_text,
+        )
+        return tx.let(
+            found,
+            lambda alias: F.when(
+                alias.isNotNull(), outcome(alias, "alias", no_score, no_text)
+            ).otherwise(by_weight(t)),
+        )
+
+    owned: dict[str, list[int]] = {
+        slug: [] for slug in [p[1] for p in patterns] + [s for _, s in sector_hints]
+    }
+    for position, (_, slug, _) in enumerate(patterns):
+        owned[slug].append(position)
+
+    def by_weight(t: Column) -> Column:
+        # every pattern is tested once per row; the hits are then only looked up
+        hits = F.array(*[_pattern_hit(t["lower"], t["folded"], pattern) for pattern, _, _ in patterns])
+
+        def best(hit: Column) -> Column:
+            options = []
+            for slug, positions in owned.items():
+                score = F.when(t["hint"] == slug, vocab.SECTOR_HINT_BONUS).otherwise(0.0)
+                first = F.lit(len(patterns))
+                for position in positions:
+                    score = score + F.when(hit[position], float(patterns[position][2])).otherwise(0.0)
+                for position in reversed(positions):
+                    first = F.when(hit[position], position).otherwise(first)
+                options.append(
+                    F.struct(score.alias("score"), (-first).alias("order"), F.lit(slug).alias("slug"))
+                )
+            return F.array_max(F.array(*options))
+
+        return tx.let(
+            tx.let(hits, best),
+            lambda top: F.when(
+                top["score"] >= accept,
+                outcome(top["slug"], "weighted", F.round(top["score"], 3), t["hint"]),
+            ).otherwise(by_token(t)),
+        )
+
+    def by_token(t: Column) -> Column:
+        def first_token(whole: Column) -> Column:
+            return F.coalesce(
+                *[F.when(whole.contains(token), F.lit(slug)) for token, slug in tokens], no_text
             )
-            for slug, words in aliases
-        ],
-        F.lit(None).cast("string"),
-    )
 
-    meta = tx.fragment("source_meta") if "source_meta" in df.columns else F.lit("")
-    hint_slug = F.coalesce(
-        *[F.when(meta.contains(hint), F.lit(slug)) for hint, slug in sector_hints],
-        F.lit(None).cast("string"),
-    )
-    slugs = list(dict.fromkeys([p[1] for p in patterns] + [s for _, s in sector_hints]))
-    options = []
-    for slug in slugs:
-        score = F.lit(0.0)
-        first = F.lit(len(patterns))
-        for position, (pattern, owner, weight) in reversed(list(enumerate(patterns))):
-            if owner == slug:
-                hit = _pattern_hit(raw, folded, pattern)
-                score = score + F.when(hit, float(weight)).otherwise(0.0)
-                first = F.when(hit, position).otherwise(first)
-        score = score + F.when(hint_slug == slug, vocab.SECTOR_HINT_BONUS).otherwise(0.0)
-        options.append(F.struct(score.alias("score"), (-first).alias("order"), F.lit(slug).alias("slug")))
-    token_text = tx.fragment(raw)
-    token_slug = F.coalesce(
-        *[F.when(token_text.contains(token), F.lit(slug)) for token, slug in tokens],
-        F.lit(None).cast("string"),
-    )
-    # the pattern and token steps run only for rows the earlier step left open
-    staged = staged.withColumn("_alias", alias_slug).withColumn(
-        "_best", F.when(F.col("_alias").isNull(), F.array_max(F.array(*options)))
-    )
-    weighted = F.when(F.col("_best.score") >= accept, F.col("_best.slug"))
-    staged = staged.withColumn("_weighted", weighted).withColumn(
-        "_token", F.when(F.col("_alias").isNull() & F.col("_weighted").isNull(), token_slug)
-    )
-    reason = (
-        F.when(F.col("_alias").isNotNull(), "alias")
-        .when(F.col("_weighted").isNotNull(), "weighted")
-        .when(F.col("_token").isNotNull(), "token")
-        .otherwise(UNKNOWN)
+        return tx.let(
+            tx.let(tx.fragment(t["lower"]), first_token),
+            lambda slug: F.when(
+                slug.isNotNull(), outcome(slug, "token", no_score, t["hint"])
+            ).otherwise(outcome(F.lit(UNKNOWN), UNKNOWN, F.lit(0.0), t["hint"])),
+        )
+
+    return df.withColumn("_class", tx.let(texts, by_alias)).select(
+        *df.columns,
+        F.col("_class.slug").alias("class_slug"),
+        F.col("_class.reason").alias("class_reason"),
+        F.col("_class.score").alias("class_score"),
+        F.col("_class.hint").alias("sector_hint"),
     )
-    return staged.withColumns(
-        {
-            "class_slug": F.coalesce("_alias", "_weighted", "_token", F.lit(UNKNOWN)),
-            "class_reason": reason,
-            "class_score": F.when(reason == "weighted", F.round(F.col("_best.score"), 3)).when(
-                reason == UNKNOWN, 0.0
-            ),
-            "sector_hint": F.when(reason != "alias", hint_slug),
-        }
-    ).drop("_raw", "_frags", "_fold", "_alias", "_best", "_weighted", "_token")
 
 
 def _fragment_literal(value: str) -> str:
@@ -196,14 +229,19 @@ def confusion(df: DataFrame, old: str, new: str) -> DataFrame:
 # --- rule scorer --------------------------------------------------------------
 
 def rule_scores(text: Column, patterns: Patterns = tuple(vocab.INDUSTRY_PATTERNS)) -> Column:
-    """Array of ``(score, slug)`` summed pattern weights, in alphabetical slug order."""
+    """Array of ``(score, slug)`` summed pattern weights over lower-case ``text``."""
     slugs = sorted({p[1] for p in patterns})
     options = []
     for slug in slugs:
         score = F.lit(0.0)
         for pattern, owner, weight in patterns:
             if owner == slug:
-                score = score + F.when(text.rlike("(?iu)" + pattern), float(weight)).otherwise(0.0)
+                hit = (
+                    tx.contains_any(text, pattern.split("|"))
+                    if _is_plain(pattern)
+                    else text.rlike("(?iu)" + pattern)
+                )
+                score = score + F.when(hit, float(weight)).otherwise(0.0)
         options.append(F.struct(score.alias("score"), F.lit(slug).alias("slug")))
     return F.array(*options)
 
@@ -220,26 +258,34 @@ def rule_classify(
     A row without any hit gets ``unknown_label``; with ``alphabetical_default``
     a row that has text but no hit gets the alphabetically first slug instead.
     """
-    corpus = F.array_join(
-        F.filter(F.array(*[tx.collapse_ws(c) for c in texts]), lambda t: t != ""), " \n "
+    corpus = F.lower(
+        F.array_join(F.filter(F.array(*[tx.collapse_ws(c) for c in texts]), lambda t: t != ""), " \n ")
     )
     slugs = sorted({p[1] for p in patterns})
-    ordered = F.transform(
-        rule_scores(F.col("_corpus"), patterns),
-        lambda s, i: F.struct(s["score"].alias("score"), (-i).alias("order"), s["slug"].alias("slug")),
+
+    def scored(text: Column) -> Column:
+        ordered = F.transform(
+            rule_scores(text, patterns),
+            lambda s, i: F.struct(s["score"].alias("score"), (-i).alias("order"), s["slug"].alias("slug")),
+        )
+        missing = F.lit(unknown_label)
+        if alphabetical_default:
+            missing = F.when(text == "", unknown_label).otherwise(slugs[0])
+        return tx.let(
+            F.array_max(ordered),
+            lambda top: F.struct(
+                F.when(top["score"] > 0, top["slug"]).otherwise(missing).alias("slug"),
+                top["score"].alias("score"),
+                mx.rule_confidence(top["score"]).alias("confidence"),
+            ),
+        )
+
+    return df.withColumn("_rule", tx.let(corpus, scored)).select(
+        *df.columns,
+        F.col("_rule.slug").alias("rule_slug"),
+        F.col("_rule.score").alias("rule_score"),
+        F.col("_rule.confidence").alias("rule_confidence"),
     )
-    staged = df.withColumn("_corpus", corpus).withColumn("_top", F.array_max(ordered))
-    has_hit = F.col("_top.score") > 0
-    missing = F.lit(unknown_label)
-    if alphabetical_default:
-        missing = F.when(F.col("_corpus") == "", unknown_label).otherwise(slugs[0])
-    return staged.withColumns(
-        {
-            "rule_slug": F.when(has_hit, F.col("_top.slug")).otherwise(missing),
-            "rule_score": F.col("_top.score"),
-            "rule_confidence": mx.rule_confidence(F.col("_top.score")),
-        }
-    ).drop("_corpus", "_top")
 
 
 def rule_description(

@@ -184,13 +184,15 @@ def near_string_match(
 
     Both sides are reduced to distinct token-sorted strings. A pair at ratio
     ``r`` differs by at most ``(a + b)(1 - r/100)`` insertions and deletions, so
-    if the longer string is cut into one more piece than that, some piece of one
-    side stands unchanged in the other. Pairs are found by an equi-join on such
-    pieces, at positions the edit budget allows; no query meets every choice.
+    if a query is cut into one more piece than the largest such budget, one piece
+    stands unchanged in the choice. Pairs are found by an equi-join on (piece,
+    position), positions shifted within the budget; no query meets every choice.
     """
     q = queries.select(F.col(query), sorted_tokens(query).alias("a"))
     c = choices.select(F.col(choice), sorted_tokens(choice).alias("b"))
     slack = 1.0 - floor / 100.0
+    if not 0.0 <= slack < 1.0 / 3.0:
+        raise ValueError("floor must be above 66.7: below it no unchanged piece is certain")
     qa = q.select("a").distinct().withColumn("_la", F.length("a")).filter("_la > 0")
     cb = c.select("b").distinct().withColumn("_lb", F.length("b")).filter("_lb > 0")
 
@@ -203,7 +205,13 @@ def near_string_match(
         .withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_edits"))))
         .withColumn("_at", F.col("_i") * F.col("_width") + 1)
         .filter(F.col("_at") + F.col("_width") - 1 <= F.col("_la"))
-        .select("a", "_la", "_edits", "_at", "_width", F.expr("substring(a, _at, _width)").alias("_piece"))
+        .withColumn(
+            "_pos",
+            F.explode(
+                F.sequence(F.greatest(F.lit(1), F.col("_at") - F.col("_edits")), F.col("_at") + F.col("_edits"))
+            ),
+        )
+        .select("a", "_la", "_edits", "_pos", "_width", F.expr("substring(a, _at, _width)").alias("_piece"))
     )
     widths = pieces.agg(F.sort_array(F.collect_set("_width")).alias("w"))
     grams = (
@@ -212,10 +220,8 @@ def near_string_match(
         .withColumn("_pos", F.explode(F.sequence(F.lit(1), F.col("_lb") - F.col("_width") + 1)))
         .select("b", "_lb", "_width", "_pos", F.expr("substring(b, _pos, _width)").alias("_piece"))
     )
-    near = (F.abs(F.col("_la") - F.col("_lb")) <= F.col("_edits")) & (
-        F.abs(F.col("_at") - F.col("_pos")) <= F.col("_edits")
-    )
-    pairs = pieces.join(grams, ["_width", "_piece"]).filter(near).select("a", "b").distinct()
+    near = F.abs(F.col("_la") - F.col("_lb")) <= F.col("_edits")
+    pairs = pieces.join(grams, ["_width", "_pos", "_piece"]).filter(near).select("a", "b").distinct()
     scored = pairs.mapInPandas(_ratio_batches, "a string, b string, ratio double")
     ranked = scored.filter(F.col("ratio") >= floor).join(c.groupBy("b").agg(F.min(choice).alias("match")), "b")
     best = keep_one(ranked, ["a"], [F.col("ratio").desc(), F.col("match").asc()])

@@ -162,14 +162,20 @@ def read_recursive(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
     """
     if not exists(spark, folder):
         return spark.createDataFrame([], EVENT)
-    # one row per file: its header line is all that is looked at here
+    # the header is the line with the lowest position of a file's first block
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .text(folder)
-        .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("at"),
+            F.monotonically_increasing_id().alias("line"),
+        )
     )
-    headers = lines.filter("at = 0").groupBy("path").agg(F.first("value").alias("header"))
+    headers = lines.filter("at = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    # file names only, one row per distinct layout: the driver lists them for any scan
     layouts = headers.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
     merged = None
     for row in layouts:

@@ -3,6 +3,12 @@
 from __future__ import annotations
 
 from foghorn.catalog.base import ORACLES, QUERIES
-from foghorn.catalog import scoring, radar_tables, text_tables  # noqa: F401
+from foghorn.catalog import (  # noqa: F401
+    matching_tables,
+    radar_tables,
+    sample_tables,
+    scoring,
+    text_tables,
+)
 
 __all__ = ["ORACLES", "QUERIES"]

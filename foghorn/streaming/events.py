@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from foghorn.operators.rows import keep_one
 from foghorn.plans.events import EVENT_KEY, enrich_strength, lexicon_compound
-from foghorn.functions import text as tx
 from foghorn.session import ensure_checkpoint_dir
 
 
@@ -50,11 +49,11 @@ def with_dimension(events: DataFrame, companies: DataFrame, key: str = "company_
     return events.join(companies, key, "left")
 
 
-def keep_last_writer(path: str, keys: Sequence[str] = EVENT_KEY) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that upserts each batch into a table, last arrival wins.
+def keep_last_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that keeps every batch under its id.
 
-    Every batch is written once under its batch id, so a replayed batch replaces
-    its own output. Readers see the newest batch per key.
+    A replayed batch replaces its own output; :func:`read_last` shows the newest
+    row per key.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -67,31 +66,27 @@ def keep_last_writer(path: str, keys: Sequence[str] = EVENT_KEY) -> Callable[[Da
 
 def read_last(spark: SparkSession, path: str, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
     """Current state of a table written by :func:`keep_last_writer`."""
-    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*").drop("batch")
+    rows = spark.read.parquet(path).drop("batch")
     rest = [c for c in rows.columns if c not in (*keys, "_batch")]
     order = [F.col("_batch").desc()] + [F.col(c).desc() for c in rest]
     return keep_one(rows, list(keys), order).drop("_batch")
 
 
-def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Process everything there is and return the result table (a reliable folder on disk)."""
+def run_available(
+    stream: DataFrame, name: str, keys: Sequence[str] | None = None
+) -> DataFrame:
+    """Process everything there is and return the result table, kept on shared storage.
+
+    Without ``keys`` the stream appends. With ``keys`` it runs in update mode:
+    every batch is written under its own id, and the newest row per key is the
+    result, so late updates and replayed batches replace earlier ones.
+    """
     spark = stream.sparkSession
     base = f"{ensure_checkpoint_dir(spark)}/stream-{name}"
-    if mode == "append":
-        writer = stream.writeStream.format("parquet").option("path", f"{base}/out")
-        done = writer.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
-        done.awaitTermination()
+    writer = stream.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True)
+    if keys is None:
+        writer.format("parquet").option("path", f"{base}/out").start().awaitTermination()
         return spark.read.schema(stream.schema).parquet(f"{base}/out")
-
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/out")
-
-    done = (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(replace)
-        .option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    done.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    write = keep_last_writer(f"{base}/out")
+    writer.outputMode("update").foreachBatch(write).start().awaitTermination()
+    return read_last(spark, f"{base}/out", keys)

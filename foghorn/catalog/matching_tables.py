@@ -145,7 +145,7 @@ _SPACED = "lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))"
 SELECT doc_id, item_id FROM d JOIN b ON contains(d.t, b.t)""")
 def mention_join(spark, sf_dir):
     return mentions.mention_join(
-        tb.table(spark, sf_dir, "documents"), "doc_id", "text",
+        tb.text_table(spark, sf_dir, "documents"), "doc_id", "text",
         tb.table(spark, sf_dir, "benchmark"), "item_id", "text",
     )
 
@@ -173,7 +173,7 @@ def _short_names(spark, sf_dir):
 c AS (SELECT conv_id, turn, {_SPACED} AS t FROM conversations)
 SELECT conv_id * 1000 + turn AS item, alias_id FROM c JOIN r ON contains(c.t, lower(alias))""")
 def short_mentions(spark, sf_dir):
-    c = tb.table(spark, sf_dir, "conversations").withColumn("item", F.col("conv_id") * 1000 + F.col("turn"))
+    c = tb.text_table(spark, sf_dir, "conversations").withColumn("item", F.col("conv_id") * 1000 + F.col("turn"))
     return mentions.mention_join(c, "item", "text", _short_names(spark, sf_dir), "alias_id", "alias")
 
 
@@ -181,7 +181,7 @@ def short_mentions(spark, sf_dir):
 c AS (SELECT conv_id, turn, ' ' || lower(trim(regexp_replace(strip_accents(text), '\\s+', ' ', 'g'))) || ' ' AS t FROM conversations)
 SELECT conv_id * 1000 + turn AS item, alias_id FROM c JOIN r ON contains(c.t, ' ' || lower(alias) || ' ')""")
 def word_mentions(spark, sf_dir):
-    c = tb.table(spark, sf_dir, "conversations").withColumn("item", F.col("conv_id") * 1000 + F.col("turn"))
+    c = tb.text_table(spark, sf_dir, "conversations").withColumn("item", F.col("conv_id") * 1000 + F.col("turn"))
     return mentions.mention_join(
         c, "item", "text", _short_names(spark, sf_dir), "alias_id", "alias", folded=True, whole_words=True
     )
@@ -268,7 +268,7 @@ SELECT page_id, country, round(0.5::DOUBLE + CASE WHEN language = 'SPANISH' THEN
 FROM c WHERE country IS NOT NULL""")
 def discovery_events(spark, sf_dir):
     pid = F.col("page_id")
-    articles = tb.table(spark, sf_dir, "pages").select(
+    articles = tb.text_table(spark, sf_dir, "pages").select(
         "page_id",
         "url",
         F.when(pid % 3 == 0, "SPANISH").when(pid % 3 == 1, "pt").otherwise("").alias("language"),
@@ -286,14 +286,14 @@ def discovery_events(spark, sf_dir):
 n AS (SELECT *, row_number() OVER (ORDER BY page_id) AS rn, count(*) OVER () AS total FROM a)
 SELECT page_id, url, rn <= floor(total * 0.25) AS full_text FROM n""")
 def full_text_budget(spark, sf_dir):
-    articles = dc.distinct_articles(tb.table(spark, sf_dir, "pages").select("page_id", "url"), "page_id")
+    articles = dc.distinct_articles(tb.text_table(spark, sf_dir, "pages").select("page_id", "url"), "page_id")
     return dc.mark_full_text(articles, "page_id", 0.25)
 
 
 @query("""SELECT doc_id, source FROM documents
 QUALIFY row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) <= 5""")
 def limit_per_source(spark, sf_dir):
-    d = tb.table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    d = tb.text_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
     return dc.limit_per_source(d, "source", [F.col("n_chars").desc(), F.col("doc_id").asc()], 5).drop("n_chars")
 
 
@@ -301,7 +301,7 @@ def limit_per_source(spark, sf_dir):
 h AS (SELECT doc_id, CAST(contains(t, 'thanedble') AS INTEGER) + CAST(contains(t, 'attion') AS INTEGER) + CAST(contains(t, 'que') AS INTEGER) AS hits FROM t)
 SELECT doc_id, hits, round(hits / 3.0::DOUBLE, 3) AS climate_score FROM h WHERE hits >= 1""")
 def scored_articles(spark, sf_dir):
-    d = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = tb.text_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dc.score_articles(d, F.col("text"), ["thanedble", "attion", "que"]).drop("text")
 
 
@@ -327,7 +327,7 @@ def near_string_match(spark, sf_dir):
 SELECT lang, count(*) FILTER (text IN (SELECT text FROM t)) AS done, count(*) FILTER (text NOT IN (SELECT text FROM t)) AS todo
 FROM documents GROUP BY ALL""")
 def incremental_skip(spark, sf_dir):
-    d = tb.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    d = tb.text_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     stored = (
         d.filter("lang = 'en'")
         .select(tx.payload_key(F.col("text")).alias("payload_key"))
@@ -345,7 +345,7 @@ def incremental_skip(spark, sf_dir):
 
 def _document_events(spark, sf_dir):
     """Documents as events: the source is the company, the language the industry."""
-    d = tb.table(spark, sf_dir, "documents")
+    d = tb.text_table(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").alias("event_id"),
         F.concat(F.lit("ext::"), F.col("source")).alias("company_id"),
@@ -379,7 +379,7 @@ def prospect_summary(spark, sf_dir):
 
 @query("""SELECT doc_id FROM documents WHERE lang = 'fr' OR contains(lower(strip_accents(text)), 'thanedble') OR contains(lower(strip_accents(text)), 'und ')""")
 def theme_candidates(spark, sf_dir):
-    d = tb.table(spark, sf_dir, "documents").select(
+    d = tb.text_table(spark, sf_dir, "documents").select(
         "doc_id", F.col("lang").alias("industry"), F.col("text").alias("text_snippet")
     )
     return pr.theme_candidates(d, ["fr"], ["thanedble", "und "]).select("doc_id")
@@ -389,7 +389,7 @@ def theme_candidates(spark, sf_dir):
 WHERE lang = 'en' OR contains(lower(strip_accents(text)), 'que') GROUP BY ALL""")
 def external_theme_events(spark, sf_dir):
     e = _document_events(spark, sf_dir).join(
-        tb.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "text"), "event_id"
+        tb.text_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "text"), "event_id"
     ).withColumn("text_snippet", F.col("text"))
     kept = pr.theme_candidates(e.filter(tx.is_external("company_id")), ["ind_en"], ["que"])
     return kept.groupBy("company_name").agg(F.count(F.lit(1)).alias("n"))
@@ -469,7 +469,7 @@ def job_events(spark, sf_dir):
 @query("""SELECT event_id, 'https://n.example/' || event_id AS url, event_type AS title, 'k ' || json_extract_string(props, '$.k') AS text_snippet,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events""")
 def json_articles(spark, sf_dir):
-    e = tb.table(spark, sf_dir, "events")
+    e = tb.text_table(spark, sf_dir, "events")
     article = F.struct(
         F.concat(F.lit("https://n.example/"), F.col("event_id").cast("string")).alias("url"),
         F.concat(F.lit(" "), "event_type").alias("title"),
@@ -560,16 +560,16 @@ def bcorp_members(spark, sf_dir):
 
 @query()
 def page_text(spark, sf_dir):
-    return pg.page_contents(tb.table(spark, sf_dir, "pages")).select("page_id", "title", "text")
+    return pg.page_contents(tb.text_table(spark, sf_dir, "pages")).select("page_id", "title", "text")
 
 
 @query()
 def page_links(spark, sf_dir):
-    return pg.page_links(pg.page_contents(tb.table(spark, sf_dir, "pages")))
+    return pg.page_links(pg.page_contents(tb.text_table(spark, sf_dir, "pages")))
 
 
 @query()
 def page_score(spark, sf_dir):
     terms = ["thanedble", r"\bund\b", "que", "atti(on|ng)"]
-    contents = pg.page_contents(tb.table(spark, sf_dir, "pages"))
+    contents = pg.page_contents(tb.text_table(spark, sf_dir, "pages"))
     return rounded(pg.page_scores(contents, tb.AS_OF, terms).select("page_id", "url", "density", "score"), 4, "density")

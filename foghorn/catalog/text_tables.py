@@ -25,7 +25,7 @@ def _sum_contains(column: str, terms) -> str:
 
 
 def documents(spark, sf_dir):
-    return tb.table(spark, sf_dir, "documents")
+    return tb.text_table(spark, sf_dir, "documents")
 
 
 # --- keywords -----------------------------------------------------------------
@@ -98,7 +98,7 @@ def enrich_strength(spark, sf_dir):
         F.col("text"),
         INCLUDE,
         EXCLUDE,
-        ev.lexicon_compound(F.col("text"), VALENCE),
+        VALENCE,
         F.col("n_chars") / 5000.0,
     )
     return rounded(

@@ -53,8 +53,13 @@ def collapse_ws(c: Column | str) -> Column:
 
 
 def fold(c: Column | str) -> Column:
-    """Drop accents from Latin letters without changing anything else."""
-    return F.translate(text_or_blank(c), _FOLD_FROM, _FOLD_TO)
+    """Drop accents from Latin letters without changing anything else.
+
+    Text with as many bytes as characters is plain ASCII and is passed through.
+    """
+    text = text_or_blank(c)
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, text).otherwise(F.translate(text, _FOLD_FROM, _FOLD_TO))
 
 
 def fold_match(c: Column | str) -> Column:

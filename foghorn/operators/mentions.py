@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foghorn.functions import text as tx
+from foghorn.session import broadcast_if_small
 
 # Interior words used as the join key of long names.
 ANCHOR_WORDS = 8
 
 
 def word_runs(words: Column, length: Column) -> Column:
-    """Distinct runs of ``length`` consecutive words, joined by one space."""
+    """Runs of ``length`` consecutive words, joined by one space."""
     starts = F.when(
         F.size(words) >= length, F.sequence(F.lit(1), F.size(words) - length + 1)
     ).otherwise(F.array().cast("array<int>"))
-    runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, length), " "))
-    return F.array_distinct(runs)
+    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, length), " "))
 
 
 def mention_join(
@@ -48,6 +48,8 @@ def mention_join(
     names = names.filter("_name <> ''")
     # equal spellings are matched once and expanded back to their ids at the end
     spellings = names.select("_name").distinct().withColumn("_nw", F.split("_name", " "))
+    # a registry proven small travels to the texts; otherwise the word runs are shuffled
+    spellings = broadcast_if_small(spellings)
 
     if whole_words:
         found = _whole_word_hits(texts, item_id, spellings)
@@ -71,18 +73,18 @@ def _whole_word_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> Da
 def _long_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFrame:
     """Names of three or more words: interior run as key, containment as proof."""
     inner = F.least(F.size("_nw") - 2, F.lit(ANCHOR_WORDS))
+    # the key is a hash: containment is checked afterwards, so a collision does no harm
     long_names = spellings.filter(F.size("_nw") >= 3).select(
         "_name",
         inner.alias("_len"),
-        F.array_join(F.slice("_nw", F.lit(2), inner), " ").alias("_key"),
+        F.xxhash64(F.array_join(F.slice("_nw", F.lit(2), inner), " ")).alias("_key"),
     )
     # at most ANCHOR_WORDS run lengths, whatever the registry holds
     anchors = texts.withColumn(
         "_len", F.explode(F.sequence(F.lit(1), F.lit(ANCHOR_WORDS)))
     ).join(F.broadcast(long_names.select("_len").distinct()), "_len", "left_semi")
-    runs = anchors.select(
-        item_id, "_len", F.explode(word_runs(F.col("_words"), F.col("_len"))).alias("_key")
-    )
+    hashes = F.transform(word_runs(F.col("_words"), F.col("_len")), lambda r: F.xxhash64(r))
+    runs = anchors.select(item_id, "_len", F.explode(hashes).alias("_key"))
     keyed = runs.join(long_names, ["_len", "_key"]).select(item_id, "_name").distinct()
     return (
         keyed.join(texts.select(item_id, "_text"), item_id)
@@ -111,7 +113,7 @@ def _pieces(word: str, kind: str) -> Column:
 def _short_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFrame:
     """One- and two-word names, resolved on the distinct words and word pairs."""
     singles = spellings.filter(F.size("_nw") == 1).select("_name")
-    vocabulary = texts.select(F.explode(F.array_distinct("_words")).alias("_w")).distinct()
+    vocabulary = texts.select(F.explode("_words").alias("_w")).distinct()
     # a word is cut into pieces only as long as the longest single-word name
     longest = singles.agg(F.coalesce(F.max(F.length("_name")), F.lit(0)).alias("_max"))
     cut = (
@@ -122,7 +124,7 @@ def _short_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFra
         .select("_w", F.expr("substring(_w, _from, _n)").alias("_name"))
     )
     word_hits = cut.join(singles, "_name").distinct()
-    in_items = texts.select(item_id, F.explode(F.array_distinct("_words")).alias("_w"))
+    in_items = texts.select(item_id, F.explode("_words").alias("_w"))
     one = in_items.join(word_hits, "_w").select(item_id, "_name")
 
     pairs = spellings.filter(F.size("_nw") == 2).select(

@@ -24,25 +24,46 @@ def _fields(df: DataFrame, fields: Sequence[str]) -> list[Column]:
     return [tx.text_or_blank(c) for c in fields if c in df.columns]
 
 
-def _is_plain(pattern: str) -> bool:
-    """Alternatives of literal lower-case words only."""
-    return re.fullmatch(r"[a-z0-9 \-|]+", pattern) is not None
+def _alternatives(pattern: str) -> list[str]:
+    """Top-level alternatives of a pattern."""
+    parts, depth = [""], 0
+    for char in pattern:
+        depth += (char in "([") - (char in ")]")
+        if char == "|" and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += char
+    return parts
+
+
+def _search(text: Column, pattern: str) -> Column:
+    """Pattern found in lower-case text; literal alternatives are tested by containment."""
+    result = F.lit(False)
+    for part in _alternatives(pattern):
+        if re.fullmatch(r"[a-z0-9áéíóúüñ -]+", part):
+            result = result | text.contains(part)
+        elif part == part.lower():
+            result = result | text.rlike(part)
+        else:
+            result = result | text.rlike("(?iu)" + part)
+    return result
 
 
 def _pattern_hit(lower: Column, folded: Column, pattern: str) -> Column:
-    """Pattern found in the text or in its accent-free form, ignoring case.
+    """Pattern found in the text or in its accent-free form, both in lower case.
 
-    Both texts are lower case already. A pattern of plain ASCII letters that
-    matches the text also matches the folded text, so only patterns with
-    accented letters or exclusions look at both, and alternatives of literals
-    are tested by containment instead of by a regular expression.
+    A class that offers a letter with and without its accent is the plain letter
+    in folded text. What then is plain ASCII matches the folded text whenever it
+    matches the text; anything else is looked for in both.
     """
-    if _is_plain(pattern):
-        return tx.contains_any(folded, pattern.split("|"))
-    if pattern == pattern.lower() and pattern.isascii() and not re.search(r"\[\^|\(\?|\\", pattern):
-        return folded.rlike(pattern)
-    java = "(?iu)" + pattern
-    return folded.rlike(java) | lower.rlike(java)
+    simple = re.sub(
+        r"\[([a-z])(\w)\]",
+        lambda m: m.group(1) if tx.fold_literal(m.group(2)) == m.group(1) else m.group(0),
+        pattern,
+    )
+    if simple.isascii() and not re.search(r"\[\^|\(\?|\\", simple):
+        return _search(folded, simple)
+    return _search(folded, pattern) | _search(lower, pattern)
 
 
 def classify(
@@ -68,9 +89,10 @@ def classify(
     # fields are kept apart by a character that no fragment can contain
     fragments = F.array_join(F.transform(present, lambda f: tx.fragment(f)), "\n")
     meta = tx.fragment("source_meta") if "source_meta" in df.columns else F.lit("")
+    combined = F.lower(F.array_join(present, " "))
     texts = F.struct(
-        F.lower(F.array_join(present, " ")).alias("lower"),
-        F.lower(tx.fold(F.array_join(present, " "))).alias("folded"),
+        combined.alias("lower"),
+        tx.let(combined, tx.fold).alias("folded"),
         fragments.alias("frags"),
         F.coalesce(
             *[F.when(meta.contains(hint), F.lit(slug)) for hint, slug in sector_hints],
@@ -236,12 +258,7 @@ def rule_scores(text: Column, patterns: Patterns = tuple(vocab.INDUSTRY_PATTERNS
         score = F.lit(0.0)
         for pattern, owner, weight in patterns:
             if owner == slug:
-                hit = (
-                    tx.contains_any(text, pattern.split("|"))
-                    if _is_plain(pattern)
-                    else text.rlike("(?iu)" + pattern)
-                )
-                score = score + F.when(hit, float(weight)).otherwise(0.0)
+                score = score + F.when(_search(text, pattern), float(weight)).otherwise(0.0)
         options.append(F.struct(score.alias("score"), F.lit(slug).alias("slug")))
     return F.array(*options)
 

@@ -95,14 +95,17 @@ def alias_registry(companies: DataFrame, aliases: DataFrame | None = None) -> Da
 
 
 def match_organisations(mentions: DataFrame, organisation: str, registry: DataFrame) -> DataFrame:
-    """Organisations resolved through the registry; their variants are tried in order."""
-    variants = mentions.withColumn("_variants", tx.company_variants(organisation))
-    exploded = variants.select(
-        *mentions.columns, F.posexplode("_variants").alias("_pos", "_name")
+    """Organisations resolved through the registry; their variants are tried in order.
+
+    Each distinct spelling is resolved once and joined back to its mentions.
+    """
+    spellings = mentions.select(organisation).distinct()
+    exploded = spellings.select(
+        organisation, F.posexplode(tx.company_variants(organisation)).alias("_pos", "_name")
     ).withColumn("alias_key", tx.fold_match("_name"))
-    hits = exploded.join(registry, "alias_key").drop("_name")
-    keys = mentions.columns
-    return keep_one(hits, keys, [F.col("_pos").asc()]).drop("_pos", "source_rank")
+    hits = exploded.join(registry, "alias_key").drop("_name", "source_rank")
+    resolved = keep_one(hits, [organisation], [F.col("_pos").asc()]).drop("_pos")
+    return mentions.join(resolved, organisation)
 
 
 def infer_country(

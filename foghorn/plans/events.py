@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -279,58 +279,75 @@ def enrich_strength(
     text: Column,
     include: Sequence[str],
     exclude: Sequence[str],
-    sentiment: Column,
+    valence: Mapping[str, float],
     base: Column,
 ) -> DataFrame:
     """Relevance, sentiment and adjusted strength; zero-strength events are dropped.
 
-    ``include``/``exclude`` are matched as folded literals inside the folded text.
+    ``include``/``exclude`` are matched as folded literals inside the folded
+    text. The text is folded once, and the row is dropped or passed on by a
+    generator, so the filter cannot be pushed below and evaluate it again.
     """
     include = tx.dedupe_terms(include, folded=True)
     exclude = tx.dedupe_terms(exclude, folded=True)
-    staged = events.withColumn("_folded", tx.fold_match(text)).withColumns(
-        {
-            "_excluded": tx.contains_any(F.col("_folded"), exclude),
-            "_relevance": tx.relevance_tier(tx.term_hits(F.col("_folded"), include)),
-            "_compound": sentiment,
-            "_base": F.coalesce(base, F.lit(0.0)),
-        }
-    )
-    label = mx.sentiment_label(F.col("_compound"))
-    dead = F.col("_excluded") | (F.col("_relevance") == 0)
-    strength = mx.adjusted_strength(F.col("_base"), F.col("_relevance"), label, F.col("_compound"))
-    return (
-        staged.withColumns(
-            {
-                "signal_strength": F.when(dead, 0.0).otherwise(strength),
-                "climate_score": F.when(dead, 0.0).otherwise(F.col("_relevance")),
-                "sentiment_label": F.when(F.col("_excluded"), "excluded")
-                .when(dead, "irrelevant")
-                .otherwise(label),
-                "sentiment_score": F.when(dead, 0.0).otherwise(F.col("_compound")),
-            }
+
+    def measured(plain: Column) -> Column:
+        return F.struct(
+            F.lower(tx.collapse_ws(plain)).alias("shape"),
+            compound_of_words(F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " ")), valence).alias("compound"),
+        )
+
+    def judged(m: Column) -> Column:
+        return F.struct(
+            tx.contains_any(m["shape"], exclude).alias("excluded"),
+            tx.relevance_tier(tx.term_hits(m["shape"], include)).alias("relevance"),
+            m["compound"].alias("compound"),
+            mx.sentiment_label(m["compound"]).alias("label"),
+            F.coalesce(base, F.lit(0.0)).alias("base"),
+        )
+
+    def enriched(j: Column) -> Column:
+        dead = j["excluded"] | (j["relevance"] == 0)
+        return F.struct(
+            F.when(dead, 0.0)
+            .otherwise(mx.adjusted_strength(j["base"], j["relevance"], j["label"], j["compound"]))
+            .alias("signal_strength"),
+            j["relevance"].alias("climate_score"),
+            j["label"].alias("sentiment_label"),
+            j["compound"].alias("sentiment_score"),
         )
-        .filter(F.col("signal_strength") != 0.0)
-        .drop("_folded", "_excluded", "_relevance", "_compound", "_base")
+
+    outcome = tx.let(
+        F.lower(tx.fold(text)),
+        lambda plain: tx.let(measured(plain), lambda m: tx.let(judged(m), enriched)),
     )
+    out = ["signal_strength", "climate_score", "sentiment_label", "sentiment_score"]
+    kept = F.filter(F.array(outcome), lambda e: e["signal_strength"] != 0.0)
+    rest = [c for c in events.columns if c not in out]
+    return events.withColumn("_e", F.explode(kept)).select(*rest, *[F.col(f"_e.{c}").alias(c) for c in out])
 
 
-def lexicon_compound(text: Column, valence: dict[str, float]) -> Column:
+def compound_of_words(words: Column, valence: Mapping[str, float]) -> Column:
     """Sum of word valences squashed by ``s / sqrt(s^2 + 15)``, four decimals.
 
-    Words are grouped by valence so each token costs one hash-set probe per
-    distinct value, inside the projection.
+    ``words`` is folded text with single spaces. Only words of the lexicon, found
+    by one set probe each, are looked at further.
     """
     levels: dict[float, list[str]] = {}
     for word, value in valence.items():
         levels.setdefault(value, []).append(word)
-    tokens = F.split(tx.fold_words(text), " ")
 
     def value_of(token: Column) -> Column:
         score = F.lit(0.0)
-        for value, words in levels.items():
-            score = F.when(token.isin(*words), F.lit(value)).otherwise(score)
+        for value, listed in levels.items():
+            score = F.when(token.isin(*listed), F.lit(value)).otherwise(score)
         return score
 
-    total = F.aggregate(tokens, F.lit(0.0), lambda acc, t: acc + value_of(t))
-    return F.round(total / F.sqrt(total * total + 15.0), 4)
+    known = F.filter(F.split(words, " "), lambda t: t.isin(*valence))
+    total = F.aggregate(known, F.lit(0.0), lambda acc, t: acc + value_of(t))
+    return tx.let(total, lambda s: F.round(s / F.sqrt(s * s + 15.0), 4))
+
+
+def lexicon_compound(text: Column, valence: Mapping[str, float]) -> Column:
+    """Lexicon sentiment of any text."""
+    return compound_of_words(tx.fold_words(text), valence)

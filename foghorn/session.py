@@ -66,3 +66,13 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
     """
     seen = df.limit(limit + 1).count()
     return F.broadcast(df) if seen <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input that has fewer splits than the session has cores.
+
+    For per-row work that costs far more than moving the row once. Inputs with
+    at least one split per core, which is every large one, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from foghorn.session import spread
+
 AS_OF = "2024-01-31"
 
 # (group, cap, signal_type, weight) for the event types of the provided tables
@@ -21,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are expensive to process: small files are spread over the cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as companies: nation is the country, market segment the industry."""
     customer = table(spark, sf_dir, "customer")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from foghorn.operators.rows import keep_one
-from foghorn.plans.events import EVENT_KEY, enrich_strength, lexicon_compound
+from foghorn.plans.events import EVENT_KEY, enrich_strength
 from foghorn.session import ensure_checkpoint_dir
 
 
@@ -41,7 +41,7 @@ def enrich_stream(
     """Stateless enrichment of a news stream, the same plan as in batch."""
     text = F.concat_ws(" ", "title", "text_snippet")
     base = F.coalesce(F.col("signal_strength"), F.lit(0.5))
-    return enrich_strength(news, text, include, exclude, lexicon_compound(text, valence), base)
+    return enrich_strength(news, text, include, exclude, valence, base)
 
 
 def with_dimension(events: DataFrame, companies: DataFrame, key: str = "company_id") -> DataFrame:

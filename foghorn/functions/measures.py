@@ -101,7 +101,7 @@ def term_density(text: Column, patterns: Sequence[str] = vocab.PAGE_TERMS) -> Co
 def page_score(url: Column, density: Column, age: Column) -> Column:
     anchor = F.when(url.rlike("(?i)" + vocab.PAGE_ANCHOR_PATTERN), 0.2).otherwise(0.0)
     whole_days = F.greatest(F.floor(age), F.lit(0))
-    recency = F.coalesce(F.exp(-whole_days / F.lit(365.0)), F.lit(0.7))
+    recency = F.when(age.isNull(), 0.7).otherwise(F.exp(-whole_days / F.lit(365.0)))
     return F.round(F.least(F.lit(1.0), recency * (anchor + density)), 4)
 
 

@@ -66,8 +66,8 @@ def rebase(df: DataFrame, values: Sequence[str], p: float = 0.95) -> DataFrame:
     def stretched(v: str) -> Column:
         low, high = F.col(f"_b.lo_{v}"), F.col(f"_b.hi_{v}")
         return F.when(
-            high > low, 100.0 * (F.least(F.col(v), high) - low) / (high - low)
-        ).otherwise(0.0)
+            F.col(v).isNotNull() & (high > low), 100.0 * (F.least(F.col(v), high) - low) / (high - low)
+        ).when(F.col(v).isNotNull(), 0.0)
 
     return df.withColumns({v: stretched(v) for v in values}).drop("_b")
 

@@ -76,7 +76,7 @@ def company_scores(scored: DataFrame, weights: Weights = vocab.SIGNAL_WEIGHTS) -
         *sums, F.count(F.lit(1)).alias("signals_count"), F.max("ts").alias("_last")
     )
     capped = [
-        F.coalesce(F.least(F.col(f"_s_{g}"), F.lit(cap)), F.lit(0.0)).alias(f"group_{g}")
+        F.least(F.coalesce(F.col(f"_s_{g}"), F.lit(0.0)), F.lit(cap)).alias(f"group_{g}")
         for g, cap in caps.items()
     ]
     return grouped.select(

@@ -28,7 +28,7 @@ def prepare_events(events: DataFrame) -> DataFrame:
             "abs_strength": F.abs(weighted),
             "sentiment_score": F.col("sentiment_score").try_cast("double"),
             "company_id": blank_to_null("company_id"),
-            "company_numeric_id": F.col("company_id").cast("string").try_cast("double").cast("bigint"),
+            "company_numeric_id": F.col("company_id").cast("string").try_cast("double").try_cast("bigint"),
             "company_key": F.coalesce(
                 blank_to_null("company_id"),
                 blank_to_null("company_qid"),

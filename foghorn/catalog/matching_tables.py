@@ -556,6 +556,53 @@ def bcorp_members(spark, sf_dir):
     )
 
 
+_MEMBER_CONTEXT_SQL = """WITH m AS (
+  SELECT c_custkey, c_mktsegment AS sector, CASE WHEN c_acctbal < 0 THEN 'Banco de prueba' ELSE '' END AS about FROM customer
+)
+SELECT c_custkey, CASE WHEN about <> '' THEN 'finance_insurance_capital' WHEN sector = 'AUTOMOBILE' THEN 'professional_services_consulting'
+    WHEN sector = 'MACHINERY' THEN 'industrial_manufacturing' ELSE 'professional_services_consulting' END AS industry,
+  CASE WHEN about <> '' THEN round(least(3.0::DOUBLE / 5 + 0.2::DOUBLE, 0.75::DOUBLE), 6) WHEN sector = 'MACHINERY' THEN 0.6::DOUBLE ELSE 0.35::DOUBLE END AS confidence,
+  'Source=bcorp | sector: ' || sector || CASE WHEN about <> '' THEN ' | description: ' || about ELSE '' END AS description
+FROM m"""
+
+
+@query(_MEMBER_CONTEXT_SQL)
+def member_classification(spark, sf_dir):
+    members = tb.table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.lit("").alias("industry"),
+        F.col("c_mktsegment").alias("context_sector"),
+        F.lit(None).cast("string").alias("context_type"),
+        F.when(F.col("c_acctbal") < 0, "Banco de prueba").otherwise(" ").alias("context_description"),
+        F.lit("").alias("text_snippet"),
+    )
+    ready = cl.context_fields(members)
+    pick = lambda key: F.try_element_at("context", F.lit(key))
+    texts = ready.withColumns({"_s": pick("sector"), "_d": pick("description")})
+    ruled = cl.rule_classify(texts, ["_s", "_d"])
+    described = ruled.withColumn(
+        "rule_description",
+        cl.rule_description(F.lit("bcorp"), F.col("_s"), F.col("industry"), F.col("_d"), F.col("text_snippet"), F.col("rule_slug")),
+    )
+    out = cl.overlay_classification(described)
+    return out.select(
+        "c_custkey", "industry", F.round("rule_confidence", 6).alias("confidence"), "description"
+    )
+
+
+@query("""WITH s AS (SELECT CASE event_type WHEN 'view' THEN 'solar energy' WHEN 'click' THEN 'banco' ELSE event_type END AS industry FROM events
+  UNION ALL SELECT 'hospital' FROM orders)
+SELECT CASE industry WHEN 'solar energy' THEN 'energy_power_utilities' WHEN 'banco' THEN 'finance_insurance_capital'
+  WHEN 'hospital' THEN 'healthcare_pharma_biotech' ELSE 'unknown' END AS industry, count(*) AS n FROM s GROUP BY ALL""")
+def combined_signals(spark, sf_dir):
+    kind = F.col("signal_type")
+    e = tb.signal_events(spark, sf_dir).withColumn(
+        "industry", F.when(kind == "view", "solar energy").when(kind == "click", "banco").otherwise(kind)
+    )
+    o = tb.order_events(spark, sf_dir).withColumn("industry", F.lit("hospital"))
+    return cl.combine_signals([e, o]).groupBy("industry").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- pages --------------------------------------------------------------------
 
 @query()

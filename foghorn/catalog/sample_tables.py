@@ -170,6 +170,13 @@ def ranked_within_groups(spark, sf_dir):
     return ranked.select(*keys, "rn")
 
 
+@query("""SELECT c_mktsegment AS segment, min(c_custkey) AS first_seen,
+  CASE c_mktsegment WHEN 'MACHINERY' THEN 0 WHEN 'BUILDING' THEN 1 ELSE 2 END AS preferred_rank FROM customer GROUP BY c_mktsegment""")
+def ordered_segments(spark, sf_dir):
+    c = tb.table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("segment"), "c_custkey")
+    return rows.ordered_categories(c, "segment", "c_custkey", ["MACHINERY", "BUILDING"])
+
+
 # --- streaming ----------------------------------------------------------------
 
 def _event_stream(spark, sf_dir):

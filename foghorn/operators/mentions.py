@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foghorn.functions import text as tx
-from foghorn.session import broadcast_if_small
+from foghorn.session import BROADCAST_ROW_LIMIT
 
 # Interior words used as the join key of long names.
 ANCHOR_WORDS = 8
@@ -48,15 +50,29 @@ def mention_join(
     names = names.filter("_name <> ''")
     # equal spellings are matched once and expanded back to their ids at the end
     spellings = names.select("_name").distinct().withColumn("_nw", F.split("_name", " "))
-    # a registry proven small travels to the texts; otherwise the word runs are shuffled
-    spellings = broadcast_if_small(spellings)
+    # one look at the registry: a small one travels to the texts instead of the
+    # word runs being shuffled, and name lengths that do not occur are not searched
+    words = F.size("_nw")
+    sizes = spellings.agg(
+        F.count(F.lit(1)).alias("all"),
+        F.count_if(words == 1).alias("one"),
+        F.count_if(words == 2).alias("two"),
+        F.count_if(words >= 3).alias("long"),
+    ).first()
+    if sizes["all"] <= BROADCAST_ROW_LIMIT:
+        spellings = F.broadcast(spellings)
 
     if whole_words:
         found = _whole_word_hits(texts, item_id, spellings)
     else:
-        found = _long_hits(texts, item_id, spellings).unionByName(
-            _short_hits(texts, item_id, spellings)
-        )
+        parts = []
+        if sizes["long"]:
+            parts.append(_long_hits(texts, item_id, spellings))
+        if sizes["one"]:
+            parts.append(_one_word_hits(texts, item_id, spellings))
+        if sizes["two"] or not parts:
+            parts.append(_two_word_hits(texts, item_id, spellings))
+        found = reduce(DataFrame.unionByName, parts)
     return found.distinct().join(names, "_name").select(item_id, alias_id).distinct()
 
 
@@ -94,30 +110,25 @@ def _long_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFram
 
 
 def _pieces(word: str, kind: str) -> Column:
-    """Suffixes, prefixes or all substrings of a word."""
-    n = F.length(word)
+    """All suffixes or all prefixes of a word."""
+    starts = F.sequence(F.lit(1), F.length(word))
     if kind == "suffix":
-        return F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(F.col(word), i))
-    if kind == "prefix":
-        return F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(F.col(word), F.lit(1), i))
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), n),
-            lambda i: F.transform(
-                F.sequence(F.lit(1), n - i + 1), lambda k: F.substr(F.col(word), i, k)
-            ),
-        )
-    )
+        return F.transform(starts, lambda i: F.substr(F.col(word), i))
+    return F.transform(starts, lambda i: F.substr(F.col(word), F.lit(1), i))
+
+
+def _vocabulary(texts: DataFrame) -> DataFrame:
+    return texts.select(F.explode("_words").alias("_w")).distinct()
 
 
-def _short_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFrame:
-    """One- and two-word names, resolved on the distinct words and word pairs."""
+def _one_word_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFrame:
+    """One-word names, resolved on the distinct words of the corpus."""
     singles = spellings.filter(F.size("_nw") == 1).select("_name")
-    vocabulary = texts.select(F.explode("_words").alias("_w")).distinct()
     # a word is cut into pieces only as long as the longest single-word name
     longest = singles.agg(F.coalesce(F.max(F.length("_name")), F.lit(0)).alias("_max"))
     cut = (
-        vocabulary.withColumn("_from", F.explode(F.sequence(F.lit(1), F.length("_w"))))
+        _vocabulary(texts)
+        .withColumn("_from", F.explode(F.sequence(F.lit(1), F.length("_w"))))
         .withColumn("_most", F.least(longest.scalar(), F.length("_w") - F.col("_from") + 1))
         .filter("_most > 0")
         .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_most"))))
@@ -125,24 +136,29 @@ def _short_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFra
     )
     word_hits = cut.join(singles, "_name").distinct()
     in_items = texts.select(item_id, F.explode("_words").alias("_w"))
-    one = in_items.join(word_hits, "_w").select(item_id, "_name")
+    return in_items.join(word_hits, "_w").select(item_id, "_name")
 
+
+def _two_word_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFrame:
+    """Two-word names, resolved on the distinct word pairs of the corpus.
+
+    The first word of a name ends a corpus word and the second starts the next.
+    """
     pairs = spellings.filter(F.size("_nw") == 2).select(
         "_name", F.col("_nw")[0].alias("_a"), F.col("_nw")[1].alias("_b")
     )
+    vocabulary = _vocabulary(texts)
     runs = texts.select(
         item_id, F.explode(word_runs(F.col("_words"), F.lit(2))).alias("_run")
     )
-    first_words = pairs.select("_a").distinct()
-    second_words = pairs.select("_b").distinct()
     heads = (
         vocabulary.select("_w", F.explode(_pieces("_w", "suffix")).alias("_a"))
-        .join(first_words, "_a")
+        .join(pairs.select("_a").distinct(), "_a")
         .withColumnRenamed("_w", "_w1")
     )
     tails = (
         vocabulary.select("_w", F.explode(_pieces("_w", "prefix")).alias("_b"))
-        .join(second_words, "_b")
+        .join(pairs.select("_b").distinct(), "_b")
         .withColumnRenamed("_w", "_w2")
     )
     split_runs = runs.select("_run").distinct().select(
@@ -157,5 +173,4 @@ def _short_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFra
         .select("_run", "_name")
         .distinct()
     )
-    two = runs.join(run_hits, "_run").select(item_id, "_name")
-    return one.unionByName(two)
+    return runs.join(run_hits, "_run").select(item_id, "_name")

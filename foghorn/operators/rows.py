@@ -92,3 +92,14 @@ def seeded_head(df: DataFrame, id_col: str, seed: int, n: int = 0) -> DataFrame:
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
     ordered = df.orderBy(key, F.col(id_col))
     return ordered.limit(n) if n and n > 0 else ordered
+
+
+def ordered_categories(
+    df: DataFrame, value: str, arrival: str, preferred: Sequence[str]
+) -> DataFrame:
+    """Distinct values, preferred ones first in their order, then by first arrival."""
+    rank = F.lit(len(preferred))
+    for position, name in reversed(list(enumerate(preferred))):
+        rank = F.when(F.col(value) == name, position).otherwise(rank)
+    seen = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.min(arrival).alias("first_seen"))
+    return seen.withColumn("preferred_rank", rank).orderBy("preferred_rank", "first_seen", value)

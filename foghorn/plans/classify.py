@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foghorn import vocab
 from foghorn.functions import measures as mx, text as tx
+from foghorn.plans.events import union_events
 
 CONTEXT_FIELDS = (
     "industry", "company_name", "display_name", "source_meta",
@@ -179,6 +180,17 @@ def classify(
     )
 
 
+def combine_signals(frames: Sequence[DataFrame], **tables) -> DataFrame:
+    """Union of signal sources as canonical events with their industry normalised.
+
+    Each distinct industry text is classified once and joined back.
+    """
+    merged = union_events(frames)
+    slugs = classify(merged.select("industry").distinct(), fields=("industry",), **tables)
+    joined = merged.join(slugs.select("industry", "class_slug"), "industry")
+    return joined.withColumn("industry", F.col("class_slug")).select(*merged.columns)
+
+
 def _fragment_literal(value: str) -> str:
     return re.sub(r"[^a-z0-9&/\\]+", " ", tx.fold_literal(value)).strip()
 

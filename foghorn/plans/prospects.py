@@ -62,10 +62,14 @@ def summarise_prospects(events: DataFrame, limit: int = 25, order_id: str = "eve
         first = keep_one(kept, ["company_name"], [F.col("ts").desc_nulls_last(), F.col(order_id).asc()])
         return first.select("company_name", f"_{c}")
 
-    base = e.groupBy("company_name").agg(
+    # one row per company and type before a company's types are put together
+    kinds = e.groupBy("company_name", "_type").agg(
+        F.max("ts").alias("_last"), F.count("signal_type").alias("_named")
+    )
+    base = kinds.groupBy("company_name").agg(
         F.array_sort(F.collect_set("_type")).alias("_types"),
-        F.max("ts").alias("_last"),
-        F.count_distinct("signal_type").alias("type_count"),
+        F.max("_last").alias("_last"),
+        F.count_if(F.col("_named") > 0).alias("type_count"),
     )
     joined = base
     for part in (_mode(e, "company_name", "country"), _mode(e, "company_name", "industry"),

@@ -71,22 +71,35 @@ def company_rollup(
     """One row per company key, name, country and industry, from prepared events."""
     cutoff = F.lit(recent_since).cast("timestamp") if recent_since else recent_cutoff(as_of)
     recent = F.coalesce(F.col("ts") >= cutoff, F.lit(False))
-    grouped = (
+    # First pass over the events: numeric buffers only, so it hashes without a
+    # sort. Text attributes are grouped along and reduced on its small result.
+    texts = ["company_id", "company_qid"]
+    partial = (
         events.dropna(subset=ROLLUP_KEYS)
-        .groupBy(*ROLLUP_KEYS)
+        .groupBy(*ROLLUP_KEYS, *texts)
         .agg(
-            F.avg("weighted_strength").alias("avg_strength"),
-            F.avg("abs_strength").alias("avg_abs_strength"),
-            F.count(F.lit(1)).alias("total_events"),
-            F.max("ts").alias("last_ts"),
-            F.avg("sentiment_score").alias("avg_sentiment"),
-            F.min("company_id").alias("company_id"),
-            F.min("company_numeric_id").alias("company_numeric_id"),
-            F.min("company_qid").alias("company_qid"),
-            F.bool_or(recent).alias("recent_activity"),
-            F.count_if(recent).alias("recent_events"),
+            F.sum("weighted_strength").alias("_w"),
+            F.sum("abs_strength").alias("_a"),
+            F.count(F.lit(1)).alias("_n"),
+            F.sum("sentiment_score").alias("_s"),
+            F.count("sentiment_score").alias("_sn"),
+            F.max("ts").alias("_last"),
+            F.min("company_numeric_id").alias("_num"),
+            F.count_if(recent).alias("_recent"),
         )
     )
+    grouped = partial.groupBy(*ROLLUP_KEYS).agg(
+        (F.sum("_w") / F.sum("_n")).alias("avg_strength"),
+        (F.sum("_a") / F.sum("_n")).alias("avg_abs_strength"),
+        F.sum("_n").alias("total_events"),
+        F.max("_last").alias("last_ts"),
+        F.try_divide(F.sum("_s"), F.sum("_sn")).alias("avg_sentiment"),
+        F.min("company_id").alias("company_id"),
+        F.min("_num").alias("company_numeric_id"),
+        F.min("company_qid").alias("company_qid"),
+        (F.sum("_recent") > 0).alias("recent_activity"),
+        F.sum("_recent").alias("recent_events"),
+    )
     boost = mx.volume_boost(F.col("total_events"))
     return grouped.withColumns(
         {

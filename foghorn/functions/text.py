@@ -32,6 +32,7 @@ def _fold_table() -> tuple[str, str]:
 
 
 _FOLD_FROM, _FOLD_TO = _fold_table()
+_ALNUM = "abcdefghijklmnopqrstuvwxyz0123456789"
 
 
 def let(value: Column, body) -> Column:
@@ -48,8 +49,37 @@ def text_or_blank(c: Column | str) -> Column:
 
 
 def collapse_ws(c: Column | str) -> Column:
-    """Any whitespace run becomes one space; ends trimmed; null becomes blank."""
-    return F.trim(F.regexp_replace(text_or_blank(c), r"(?U)\s+", " "))
+    """Any whitespace run becomes one space; ends trimmed; null becomes blank.
+
+    Line ends and tabs are swapped for spaces by plain replacement; the regular
+    expression then only has to join doubled spaces, or to treat rarer spaces.
+    """
+    text = text_or_blank(c)
+    for space in "\n\r\t":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    rare = text.rlike(r"(?U)[\s&&[^ ]]")
+    joined = F.when(rare, F.regexp_replace(text, r"(?U)\s+", " ")).otherwise(_single_spaces(text))
+    return F.trim(joined)
+
+
+def _single_spaces(text: Column) -> Column:
+    return F.when(text.contains("  "), F.regexp_replace(text, "  +", " ")).otherwise(text)
+
+
+def _keep_only(lower: Column, kept: str, pattern: str) -> Column:
+    """Lower-case text in which every run of other characters is one space.
+
+    ASCII characters outside ``kept`` become spaces by translation; only text
+    with other characters left needs the regular expression.
+    """
+    others = "".join(
+        chr(i) for i in range(128) if chr(i) not in kept and chr(i) != " " and not chr(i).isupper()
+    )
+    spaced = F.translate(lower, others, " " * len(others))
+    left = F.octet_length(spaced) != F.length(spaced)
+    return F.trim(
+        F.when(left, F.regexp_replace(spaced, pattern, " ")).otherwise(_single_spaces(spaced))
+    )
 
 
 def fold(c: Column | str) -> Column:
@@ -77,18 +107,23 @@ def fold_literal(value: str) -> str:
 
 def fold_words(c: Column | str) -> Column:
     """Folded words only: every other character run is one space."""
-    return F.trim(F.regexp_replace(F.lower(fold(c)), r"[^a-z0-9]+", " "))
+    return _keep_only(F.lower(fold(c)), _ALNUM, r"[^a-z0-9]+")
+
+
+def plain_words(folded: Column) -> Column:
+    """:func:`fold_words` of text that is folded and lower case already."""
+    return _keep_only(folded, _ALNUM, r"[^a-z0-9]+")
 
 
 def fragment(c: Column | str) -> Column:
     """Classification fragment: folded, lower, keeping letters, digits, ``&``, ``/``, ``\\``."""
-    return F.trim(F.regexp_replace(F.lower(fold(c)), r"[^a-z0-9&/\\]+", " "))
+    return _keep_only(F.lower(fold(c)), _ALNUM + "&/\\", r"[^a-z0-9&/\\]+")
 
 
 def normalise_name(c: Column | str, fold_first: bool = True) -> Column:
     """Company-name key. ``fold_first=False`` keeps the Spanish accented letters instead."""
     source = fold(c) if fold_first else text_or_blank(c)
-    return F.trim(F.regexp_replace(F.lower(source), r"[^a-z0-9áéíóúüñ]+", " "))
+    return _keep_only(F.lower(source), _ALNUM, r"[^a-z0-9áéíóúüñ]+")
 
 
 def name_tokens(norm: Column | str, stopwords: Sequence[str] = vocab.NAME_STOPWORDS) -> Column:

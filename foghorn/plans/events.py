@@ -294,7 +294,7 @@ def enrich_strength(
     def measured(plain: Column) -> Column:
         return F.struct(
             F.lower(tx.collapse_ws(plain)).alias("shape"),
-            compound_of_words(F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " ")), valence).alias("compound"),
+            compound_of_words(tx.plain_words(plain), valence).alias("compound"),
         )
 
     def judged(m: Column) -> Column:

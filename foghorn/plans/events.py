@@ -80,10 +80,14 @@ def added_rows(merged: DataFrame, current: DataFrame) -> int:
 # --- filters ------------------------------------------------------------------
 
 def complete_rows(events: DataFrame, since: Column) -> DataFrame:
-    """Rows with a time, type, strength and company, not older than ``since``."""
+    """Rows with a time, type, strength and company, not older than ``since``.
+
+    The bound takes the type of the column, not the other way round, so that the
+    comparison reaches the scan.
+    """
     return events.dropna(
         subset=["ts", "signal_type", "signal_strength", "company_id"]
-    ).filter(F.col("ts") >= since)
+    ).filter(F.col("ts") >= since.cast(events.schema["ts"].dataType))
 
 
 def positive_strength(events: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def signal_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("signal_type"),
         F.concat(F.lit("feed"), (k % 4).cast("string")).alias("source"),
         (sign * F.col("value") / 500.0).alias("signal_strength"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
         F.concat(F.lit("https://example.com/"), k.cast("string")).alias("url"),
         (k / 100.0).alias("climate_score"),
         ((k - 50) / 50.0).alias("sentiment_score"),
@@ -73,7 +73,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("signal_type"),
         F.col("o_orderstatus").alias("source"),
         (F.col("o_totalprice") / 1000000.0).alias("signal_strength"),
-        F.col("o_orderdate").cast("timestamp").alias("ts"),
+        F.col("o_orderdate").alias("ts"),
         F.lit(None).cast("double").alias("climate_score"),
         F.lit(None).cast("double").alias("sentiment_score"),
     )

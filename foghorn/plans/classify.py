@@ -37,21 +37,29 @@ def _alternatives(pattern: str) -> list[str]:
     return parts
 
 
-def _search(text: Column, pattern: str) -> Column:
+def _quoted(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _contains(field: str, words: Sequence[str]) -> str:
+    return "(" + " OR ".join(f"contains({field}, {_quoted(w)})" for w in words) + ")"
+
+
+def _search(field: str, pattern: str) -> str:
     """Pattern found in lower-case text; literal alternatives are tested by containment."""
-    result = F.lit(False)
+    tests = []
     for part in _alternatives(pattern):
         if re.fullmatch(r"[a-z0-9áéíóúüñ -]+", part):
-            result = result | text.contains(part)
-        elif part == part.lower():
-            result = result | text.rlike(part)
+            tests.append(f"contains({field}, {_quoted(part)})")
         else:
-            result = result | text.rlike("(?iu)" + part)
-    return result
+            flags = "" if part == part.lower() else "(?iu)"
+            tests.append(f"rlike({field}, {_quoted(flags + part)})")
+    return "(" + " OR ".join(tests) + ")"
 
 
-def _pattern_hit(lower: Column, folded: Column, pattern: str) -> Column:
-    """Pattern found in the text or in its accent-free form, both in lower case.
+def _pattern_hit(pattern: str) -> str:
+    """Pattern found in ``t.lower`` or in its accent-free form ``t.folded``.
 
     A class that offers a letter with and without its accent is the plain letter
     in folded text. What then is plain ASCII matches the folded text whenever it
@@ -63,8 +71,13 @@ def _pattern_hit(lower: Column, folded: Column, pattern: str) -> Column:
         pattern,
     )
     if simple.isascii() and not re.search(r"\[\^|\(\?|\\", simple):
-        return _search(folded, simple)
-    return _search(folded, pattern) | _search(lower, pattern)
+        return _search("t.folded", simple)
+    return f"({_search('t.folded', pattern)} OR {_search('t.lower', pattern)})"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
 def classify(
@@ -84,7 +97,8 @@ def classify(
        going to the slug that scored first in listed order;
     3. else the first listed token found; else ``unknown``.
 
-    One generated projection over the row: no join and no shuffle.
+    One generated projection over the row: no join and no shuffle. Every pattern
+    is tested once per row, and only if no alias was found.
     """
     present = F.filter(F.array(*_fields(df, fields)), lambda f: f != "")
     # fields are kept apart by a character that no fragment can contain
@@ -100,84 +114,81 @@ def classify(
             F.lit(None).cast("string"),
         ).alias("hint"),
     )
-
-    def outcome(slug: Column, reason: str, score: Column, hint: Column) -> Column:
-        return F.struct(
-            slug.alias("slug"), F.lit(reason).alias("reason"), score.alias("score"), hint.alias("hint")
+    return (
+        df.withColumn("_texts", texts)
+        .withColumn("_class", F.expr(_class_sql(aliases, patterns, tokens, sector_hints, accept)))
+        .select(
+            *df.columns,
+            F.col("_class.slug").alias("class_slug"),
+            F.col("_class.reason").alias("class_reason"),
+            F.col("_class.score").alias("class_score"),
+            F.col("_class.hint").alias("sector_hint"),
         )
+    )
 
-    no_score, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-
-    def by_alias(t: Column) -> Column:
-        found = F.coalesce(
-            *[
-                F.when(
-                    tx.contains_any(t["frags"], tx.dedupe_terms([_fragment_literal(w) for w in words])),
-                    F.lit(slug),
-                )
-                for slug, words in aliases
-            ],
-            no_text,
-        )
-        return tx.let(
-            found,
-            lambda alias: F.when(
-                alias.isNotNull(), outcome(alias, "alias", no_score, no_text)
-            ).otherwise(by_weight(t)),
+
+def _class_sql(
+    aliases: Aliases,
+    patterns: Patterns,
+    tokens: Sequence[tuple[str, str]],
+    sector_hints: Sequence[tuple[str, str]],
+    accept: float,
+) -> str:
+    """The classification of the struct column ``_texts`` as one SQL expression."""
+
+    def outcome(slug: str, reason: str, score: str, hint: str) -> str:
+        return (
+            f"named_struct('slug', {slug}, 'reason', '{reason}', "
+            f"'score', CAST({score} AS DOUBLE), 'hint', CAST({hint} AS STRING))"
         )
 
+    # 3. tokens, over the fragments of all fields
+    first_token = " ".join(f"WHEN contains(w, {_quoted(t)}) THEN {_quoted(s)}" for t, s in tokens)
+    whole = "trim(regexp_replace(replace(t.frags, '\\n', ' '), '  +', ' '))"
+    token = _let("w", whole, f"CASE {first_token} END")
+    by_token = _let(
+        "k",
+        token,
+        f"CASE WHEN k IS NOT NULL THEN {outcome('k', 'token', 'NULL', 't.hint')} "
+        f"ELSE {outcome(_quoted(UNKNOWN), UNKNOWN, '0', 't.hint')} END",
+    )
+
+    # 2. weighted patterns: the hits are computed once and then only looked up
     owned: dict[str, list[int]] = {
         slug: [] for slug in [p[1] for p in patterns] + [s for _, s in sector_hints]
     }
     for position, (_, slug, _) in enumerate(patterns):
         owned[slug].append(position)
-
-    def by_weight(t: Column) -> Column:
-        # every pattern is tested once per row; the hits are then only looked up
-        hits = F.array(*[_pattern_hit(t["lower"], t["folded"], pattern) for pattern, _, _ in patterns])
-
-        def best(hit: Column) -> Column:
-            options = []
-            for slug, positions in owned.items():
-                score = F.when(t["hint"] == slug, vocab.SECTOR_HINT_BONUS).otherwise(0.0)
-                first = F.lit(len(patterns))
-                for position in positions:
-                    score = score + F.when(hit[position], float(patterns[position][2])).otherwise(0.0)
-                for position in reversed(positions):
-                    first = F.when(hit[position], position).otherwise(first)
-                options.append(
-                    F.struct(score.alias("score"), (-first).alias("order"), F.lit(slug).alias("slug"))
-                )
-            return F.array_max(F.array(*options))
-
-        return tx.let(
-            tx.let(hits, best),
-            lambda top: F.when(
-                top["score"] >= accept,
-                outcome(top["slug"], "weighted", F.round(top["score"], 3), t["hint"]),
-            ).otherwise(by_token(t)),
-        )
-
-    def by_token(t: Column) -> Column:
-        def first_token(whole: Column) -> Column:
-            return F.coalesce(
-                *[F.when(whole.contains(token), F.lit(slug)) for token, slug in tokens], no_text
-            )
-
-        return tx.let(
-            tx.let(tx.fragment(t["lower"]), first_token),
-            lambda slug: F.when(
-                slug.isNotNull(), outcome(slug, "token", no_score, t["hint"])
-            ).otherwise(outcome(F.lit(UNKNOWN), UNKNOWN, F.lit(0.0), t["hint"])),
+    options = []
+    for slug, positions in owned.items():
+        score = [f"IF(t.hint = {_quoted(slug)}, {float(vocab.SECTOR_HINT_BONUS)}D, 0D)"]
+        score += [f"IF(h[{i}], {float(patterns[i][2])}D, 0D)" for i in positions]
+        first = " ".join(f"WHEN h[{i}] THEN {-i}" for i in positions)
+        order = f"CASE {first} ELSE {-len(patterns)} END" if positions else f"{-len(patterns)}"
+        options.append(
+            f"named_struct('score', {' + '.join(score)}, 'order', {order}, 'slug', {_quoted(slug)})"
         )
-
-    return df.withColumn("_class", tx.let(texts, by_alias)).select(
-        *df.columns,
-        F.col("_class.slug").alias("class_slug"),
-        F.col("_class.reason").alias("class_reason"),
-        F.col("_class.score").alias("class_score"),
-        F.col("_class.hint").alias("sector_hint"),
+    hits = "array(" + ", ".join(_pattern_hit(pattern) for pattern, _, _ in patterns) + ")"
+    best = _let("h", hits, f"array_max(array({', '.join(options)}))")
+    by_weight = _let(
+        "b",
+        best,
+        f"CASE WHEN b.score >= {float(accept)}D "
+        f"THEN {outcome('b.slug', 'weighted', 'round(b.score, 3)', 't.hint')} ELSE {by_token} END",
+    ) if patterns else by_token
+
+    # 1. aliases in listed order
+    arms = " ".join(
+        f"WHEN {_contains('t.frags', tx.dedupe_terms([_fragment_literal(w) for w in words]))} THEN {_quoted(slug)}"
+        for slug, words in aliases
     )
+    alias = f"CASE {arms} END" if arms else "CAST(NULL AS STRING)"
+    by_alias = _let(
+        "a",
+        alias,
+        f"CASE WHEN a IS NOT NULL THEN {outcome('a', 'alias', 'NULL', 'NULL')} ELSE {by_weight} END",
+    )
+    return _let("t", "_texts", by_alias)
 
 
 def combine_signals(frames: Sequence[DataFrame], **tables) -> DataFrame:
@@ -262,17 +273,20 @@ def confusion(df: DataFrame, old: str, new: str) -> DataFrame:
 
 # --- rule scorer --------------------------------------------------------------
 
-def rule_scores(text: Column, patterns: Patterns = tuple(vocab.INDUSTRY_PATTERNS)) -> Column:
-    """Array of ``(score, slug)`` summed pattern weights over lower-case ``text``."""
-    slugs = sorted({p[1] for p in patterns})
+def _best_rule_sql(text: str, patterns: Patterns) -> str:
+    """``(score, order, slug)`` with the largest summed weight over lower-case ``text``.
+
+    The alphabetically first slug wins a tie.
+    """
     options = []
-    for slug in slugs:
-        score = F.lit(0.0)
-        for pattern, owner, weight in patterns:
-            if owner == slug:
-                score = score + F.when(_search(text, pattern), float(weight)).otherwise(0.0)
-        options.append(F.struct(score.alias("score"), F.lit(slug).alias("slug")))
-    return F.array(*options)
+    for i, slug in enumerate(sorted({p[1] for p in patterns})):
+        score = " + ".join(
+            f"IF({_search(text, pattern)}, {float(weight)}D, 0D)"
+            for pattern, owner, weight in patterns
+            if owner == slug
+        )
+        options.append(f"named_struct('score', {score}, 'order', {-i}, 'slug', {_quoted(slug)})")
+    return f"array_max(array({', '.join(options)}))"
 
 
 def rule_classify(
@@ -290,30 +304,23 @@ def rule_classify(
     corpus = F.lower(
         F.array_join(F.filter(F.array(*[tx.collapse_ws(c) for c in texts]), lambda t: t != ""), " \n ")
     )
-    slugs = sorted({p[1] for p in patterns})
-
-    def scored(text: Column) -> Column:
-        ordered = F.transform(
-            rule_scores(text, patterns),
-            lambda s, i: F.struct(s["score"].alias("score"), (-i).alias("order"), s["slug"].alias("slug")),
-        )
-        missing = F.lit(unknown_label)
-        if alphabetical_default:
-            missing = F.when(text == "", unknown_label).otherwise(slugs[0])
-        return tx.let(
-            F.array_max(ordered),
-            lambda top: F.struct(
-                F.when(top["score"] > 0, top["slug"]).otherwise(missing).alias("slug"),
-                top["score"].alias("score"),
-                mx.rule_confidence(top["score"]).alias("confidence"),
-            ),
-        )
-
-    return df.withColumn("_rule", tx.let(corpus, scored)).select(
+    missing = _quoted(unknown_label)
+    if alphabetical_default:
+        missing = f"IF(c = '', {missing}, {_quoted(min(p[1] for p in patterns))})"
+    ruled = _let(
+        "c",
+        "_corpus",
+        _let(
+            "b",
+            _best_rule_sql("c", patterns),
+            f"named_struct('slug', IF(b.score > 0, b.slug, {missing}), 'score', b.score)",
+        ),
+    )
+    return df.withColumn("_corpus", corpus).withColumn("_rule", F.expr(ruled)).select(
         *df.columns,
         F.col("_rule.slug").alias("rule_slug"),
         F.col("_rule.score").alias("rule_score"),
-        F.col("_rule.confidence").alias("rule_confidence"),
+        mx.rule_confidence(F.col("_rule.score")).alias("rule_confidence"),
     )
 
 
@@ -354,12 +361,8 @@ def parse_stored_responses(
     block = F.regexp_extract(tx.text_or_blank(content), r"(?s)\{.*\}", 0)
     parsed = df.withColumn("_r", F.from_json(F.nullif(block, F.lit("")), RESPONSE_SCHEMA))
     slug = tx.text_or_blank("_r.industry_slug")
-    best = F.array_max(
-        F.transform(
-            rule_scores(F.lower(F.trim(slug)), patterns),
-            lambda s, i: F.struct(s["score"].alias("score"), (-i).alias("order"), s["slug"].alias("slug")),
-        )
-    )
+    parsed = parsed.withColumn("_s", F.lower(F.trim(slug)))
+    best = F.expr(_let("c", "_s", _best_rule_sql("c", patterns)))
     repaired = F.when(slug.isin(*known) | (slug == ""), slug).otherwise(best["slug"])
     return parsed.select(
         *df.columns,

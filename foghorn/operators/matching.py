@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foghorn.functions import text as tx
 from foghorn.operators.rows import keep_one
+from foghorn.session import materialise
 
 # Names with more distinct tokens than this take the token-join path instead of
 # enumerating token subsets (2**n keys). Real company names stay far below it.
@@ -15,13 +16,15 @@ SUBSET_TOKENS = 10
 
 
 def _subset_keys(tokens: Column, smallest: int = 2) -> Column:
-    """Every subset of a sorted token array with at least ``smallest`` members."""
-    power = F.aggregate(
-        tokens,
-        F.array(F.array().cast("array<string>")),
-        lambda acc, t: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(t)))),
+    """Every subset of a token array with at least ``smallest`` members, one per bit mask."""
+    masks = F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), F.size(tokens)) - 1)
+    wanted = F.filter(masks, lambda m: F.bit_count(m) >= smallest)
+    return F.transform(
+        wanted,
+        lambda m: F.filter(
+            tokens, lambda _t, i: F.call_function("shiftright", m, i).bitwiseAND(1) == 1
+        ),
     )
-    return F.filter(power, lambda s: F.size(s) >= smallest)
 
 
 def best_token_match(
@@ -46,16 +49,23 @@ def best_token_match(
     candidate must also contain the query's first token as a substring; the
     index is then keyed by (first token, subset).
     """
+    # both name lists are read several times below: written once, not recomputed
     q = queries.withColumn("_qset", F.array_sort(F.array_distinct(query_tokens))).filter(
         F.size(query_tokens) >= 2
     )
     if candidate_norm:
         q = q.withColumn("_first", F.element_at(F.col(query_tokens), 1))
+    q = materialise(q)
     c = candidates.select(
         F.array_sort(F.array_distinct(candidate_tokens)).alias("_cset"),
         F.col(candidate_rank).alias("_rank"),
         *([F.col(candidate_norm).alias("_cnorm")] if candidate_norm else []),
     ).filter(F.size("_cset") >= 2)
+    c = materialise(c)
+    any_long = not (
+        q.filter(F.size("_qset") > SUBSET_TOKENS).isEmpty()
+        and c.filter(F.size("_cset") > SUBSET_TOKENS).isEmpty()
+    )
 
     keys = ["_key"]
     if candidate_norm:
@@ -77,7 +87,8 @@ def best_token_match(
         .drop("_subset")
     )
     hits = probes.join(index, keys).drop("_key")
-    hits = hits.unionByName(_long_name_hits(q, c, short_q.columns, candidate_norm))
+    if any_long:
+        hits = hits.unionByName(_long_name_hits(q, c, short_q.columns, candidate_norm))
     best = keep_one(hits, queries.columns, [F.col("_shared").desc(), F.col("_rank").asc()])
     return best.select(*queries.columns, "_rank", "_shared")
 

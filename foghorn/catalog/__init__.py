@@ -5,7 +5,7 @@ from __future__ import annotations
 from foghorn.catalog.base import ORACLES, QUERIES
 from foghorn.catalog import (  # noqa: F401
     matching_tables,
-    radar_tables,
+    rollup_tables,
     sample_tables,
     scoring,
     text_tables,

@@ -1,11 +1,11 @@
-"""Company rollup and the published radar tables."""
+"""Company rollup and the published coverage tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from foghorn.catalog.base import query, rounded
-from foghorn.plans import radar as rd
+from foghorn.plans import rollup as rd
 from foghorn.sources import tables as tb
 
 RECENT = "2024-01-20"

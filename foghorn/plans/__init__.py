@@ -1 +1 @@
-"""Domain plans composed from operators: scoring, radar, matching, sampling."""
+"""Domain plans composed from operators: scoring, rollup, matching, sampling."""

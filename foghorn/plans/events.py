@@ -23,7 +23,7 @@ def canonical_events(
     """Event columns in order, missing or null values filled with defaults.
 
     ``default_climate=None`` leaves an unknown relevance null, so that it counts
-    as 1 in the radar; pass 0.0 to zero such events instead.
+    as 1 in the rollup; pass 0.0 to zero such events instead.
     """
     defaults = {
         "source": source,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -175,6 +175,13 @@ def targeted_view(
     )
 
 
+def shipped_views(
+    scores: DataFrame, views: Mapping[str, tuple[Sequence[str], Sequence[str]]] = vocab.TARGET_VIEWS
+) -> dict[str, DataFrame]:
+    """The standing targeted views by name."""
+    return {name: targeted_view(scores, *scope) for name, scope in views.items()}
+
+
 def median_heat(scores: DataFrame, value: str = "score_0_100") -> DataFrame:
     """Median score per stratum (bounded domain, as in :func:`stratum_summary`)."""
     return small_domain_quantiles(

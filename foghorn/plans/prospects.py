@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from foghorn import vocab
 from foghorn.functions import measures as mx, text as tx
 from foghorn.operators.rows import keep_one
 
@@ -101,6 +102,14 @@ def theme_list(
     return summarise_prospects(theme_candidates(outside, industries, keywords), limit)
 
 
+def shipped_themes(events: DataFrame, limit: int = 25) -> dict[str, DataFrame]:
+    """The two standing theme lists."""
+    return {
+        "renewables": theme_list(events, vocab.RENEWABLE_INDUSTRIES, vocab.RENEWABLE_KEYWORDS, limit),
+        "digital_assets": theme_list(events, vocab.DIGITAL_INDUSTRIES, vocab.DIGITAL_KEYWORDS, limit),
+    }
+
+
 def price_moves(
     prices: DataFrame, since: Column, period: str, order: Sequence[str] = ("ts",)
 ) -> DataFrame:

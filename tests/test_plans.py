@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from foghorn import vocab
 from foghorn.functions import measures as mx, text as tx
 from foghorn.plans import classify as cl, documented as doc, events as ev, interest as it
-from foghorn.plans import discovery as dc, prospects as pr, radar as rd, sampling as sp
+from foghorn.plans import discovery as dc, prospects as pr, rollup as rd, sampling as sp
 
 AS_OF = "2024-01-31"
 UTC = dt.timezone.utc
@@ -208,9 +208,9 @@ def test_enrichment_rules(spark):
     assert got[texts[2][0]]["signal_strength"] == pytest.approx(0.5 * 0.65 * 0.5)
 
 
-# --- radar --------------------------------------------------------------------
+# --- rollup --------------------------------------------------------------------
 
-def _radar_events(spark, rows):
+def _rollup_events(spark, rows):
     return rd.prepare_events(
         spark.createDataFrame(
             rows,
@@ -228,7 +228,7 @@ def test_company_key_falls_back(spark):
         ("", "", "Big  Co", "ar", None, None, None, None, 1.0, 0.0, DAY),
         ("nan", None, None, "ar", "x", "news", "s", 1.0, 1.0, 0.0, DAY),
     ]
-    got = [(r["company_key"], r["country"], r["weighted_strength"]) for r in _radar_events(spark, rows).collect()]
+    got = [(r["company_key"], r["country"], r["weighted_strength"]) for r in _rollup_events(spark, rows).collect()]
     assert got == [("5", "AR", 0.5), ("Q2", "AR", 1.0), ("big_co", "AR", 0.0), ("unknown_company", "AR", 1.0)]
 
 
@@ -236,7 +236,7 @@ def test_ranking_keeps_the_winner_with_summed_events(spark):
     rows = [("1", "", "A", "BR", "x", "news", "s", 1.0, 1.0, 0.0, DAY)] * 3
     rows += [("1", "", "A", "AR", "x", "news", "s", 1.0, 1.0, 0.0, DAY)]
     rows += [("2", "", "B", "CL", "x", "news", "s", 1.0, 1.0, 0.0, dt.datetime(2024, 2, 20, tzinfo=UTC))]
-    ranking = rd.recency_ranking(rd.company_rollup(_radar_events(spark, rows), AS_OF), AS_OF).collect()
+    ranking = rd.recency_ranking(rd.company_rollup(_rollup_events(spark, rows), AS_OF), AS_OF).collect()
     assert [(r["company_key"], r["country"], r["total_events"]) for r in ranking] == [("1", "BR", 4), ("2", "CL", 1)]
     assert ranking[0]["priority_score"] == pytest.approx(3 * ranking[0]["recency_factor"])
     assert ranking[1]["recency_factor"] == 1.2  # a future event counts as today's
@@ -248,7 +248,7 @@ def test_boost_is_capped(spark):
 
 
 def test_empty_universe_empties_the_events(spark):
-    events = _radar_events(spark, [("1", "", "A", "BR", "x", "news", "s", 1.0, 1.0, 0.0, DAY)])
+    events = _rollup_events(spark, [("1", "", "A", "BR", "x", "news", "s", 1.0, 1.0, 0.0, DAY)])
     nobody = rd.prepare_universe(spark.createDataFrame([], "company_id string, industry string, country string"))
     assert rd.only_universe(events, nobody).count() == 0
 
@@ -263,6 +263,30 @@ def test_all_null_country_gives_a_null_mode(spark):
     assert row["country"] is None and row["justification"] == "signals: news | last_update: 2024-01-30 | x"
 
 
+def test_theme_lists_take_outside_companies_only(spark):
+    df = spark.createDataFrame(
+        [(1, "5", "In", "CO", "energy_power_utilities", "news", DAY, "t", "d", "s"),
+         (2, "ext::a", "Out", "CO", "x", "news", DAY, "Planta fotovoltáica", "d", "s"),
+         (3, "102.0", "Float", "CO", "energy_power_utilities", "news", DAY, "t", "d", "s")],
+        "event_id long, company_id string, company_name string, country string, industry string, signal_type string, "
+        "ts timestamp, title string, description string, text_snippet string",
+    )
+    lists = pr.shipped_themes(df)
+    assert [r["company_name"] for r in lists["renewables"].collect()] == ["Out"]
+    assert lists["digital_assets"].count() == 0
+
+
+def test_shipped_views_use_their_scope(spark):
+    scores = spark.createDataFrame(
+        [("1", "A", "CO", "energy_power", "m", 40.0, 1, ""), ("2", "B", "CO", "energy_power", "m", 39.99, 1, ""),
+         ("3", "C", "AR", "ict_telecom", "m", 80.0, 1, "")],
+        "company_id string, company_name string, country string, industry string, size_bin string, "
+        "score_0_100 double, signals_count long, last_ts string",
+    )
+    views = it.shipped_views(scores)
+    assert {n: [r["company_id"] for r in v.collect()] for n, v in views.items()} == {"solar": ["1"], "digital": ["3"]}
+
+
 # --- sampling -----------------------------------------------------------------
 
 def test_sample_never_passes_the_target_when_quotas_allow(spark):

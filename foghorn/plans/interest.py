@@ -133,8 +133,11 @@ def stratum_summary(scores: DataFrame) -> DataFrame:
         mx.round_scaled(cents / 100.0 / F.count(F.lit(1)), 2).alias("avg_score"),
         mx.round_scaled(F.avg((F.col("score_0_100") >= 60).cast("double")), 3).alias("high_share"),
     )
-    p90 = small_domain_quantiles(scores, keys, "score_0_100", {"p90_score": 0.9})
-    return base.join(p90.withColumn("p90_score", mx.round_scaled(F.col("p90_score"), 2)), keys)
+    hundredths = scores.withColumn("_cents", F.round(F.col("score_0_100") * 100).cast("bigint"))
+    p90 = small_domain_quantiles(hundredths, keys, "_cents", {"p90_score": 0.9})
+    # tenths between whole hundredths: six decimals remove what the interpolation adds
+    p90 = p90.withColumn("p90_score", F.round(F.round("p90_score", 6), 0) / 100.0)
+    return base.join(p90, keys)
 
 
 def top_by_stratum(scores: DataFrame, k: int = 10) -> DataFrame:

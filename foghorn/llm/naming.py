@@ -19,7 +19,7 @@ from foghorn.llm.common import text_of
 from foghorn.session import materialise
 
 BLOCK_BYTES = 2048
-#: A value is hot when it holds more than this share of the rows, so there are fewer than its inverse.
+#: A value is hot when it has over HOT_VALUES rows more than one in HOT_VALUES, so there are fewer than that.
 HOT_VALUES = 512
 
 
@@ -37,7 +37,7 @@ def with_group_values(rows: DataFrame, keys: list[str], values: list[Column], nu
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     hot = [
         r[0]
-        for r in counted.join(F.broadcast(total), F.col("n") * HOT_VALUES > F.col("total") + 4096 * HOT_VALUES)
+        for r in counted.join(F.broadcast(total), F.col("n") * HOT_VALUES > F.col("total") + HOT_VALUES * HOT_VALUES)
         .select("_h")
         .limit(HOT_VALUES)
         .collect()

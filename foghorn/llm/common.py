@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from foghorn.session import spread
+from foghorn.session import ensure_checkpoint_dir, spread
 from foghorn.sources.tables import table
 
 #: Words of a text: runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
@@ -53,6 +54,17 @@ class Shipped:
         return pickle.loads(self._bytes.value)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared checkpoint folder and read again.
+
+    For tables of many rows, which take a fraction of the space of a checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    folder = f"{df.sparkSession.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def slices(texts: Sequence[str], chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``chars`` characters each, one row at least."""
     begin, held = 0, 0

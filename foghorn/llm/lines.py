@@ -5,7 +5,8 @@
    a key per band. Lines that share a key are candidates: only names travel, never text.
 3. The members of a key become a candidate set; sets that several bands agree on are taken once, and
    a key with more than ``CELL`` members is dealt out as cells of two parts, spread over the tasks.
-4. The text of candidates, one copy of each, joins the sets; exact Jaccard similarity is computed
+4. A bitmap of fixed size marks the candidates, so that a second pass over the texts emits hardly
+   any other line; these texts, one copy of each, join the sets; exact Jaccard similarity is computed
    within a set until its members are connected or compared, and only linking pairs leave the task.
 5. Connected components of the links are found by distributed union-find; the earliest line of a
    component is kept.
@@ -21,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foghorn.llm.common import SPACES, slices, text_of
+from foghorn.llm.common import SPACES, Shipped, slices, stored, text_of
 from foghorn.llm.components import connected_components, runs, whole_groups
 from foghorn.llm.naming import with_group_values
 from foghorn.session import materialise
@@ -29,6 +30,10 @@ from foghorn.session import materialise
 CELL = 256
 SLICE_CHARS = 1_000_000
 SEEN_LINES = 400_000
+#: The seed of Spark's xxhash64, and what it makes of a leading literal "line".
+HASH_SEED = 42
+SECOND_SEED = xxhash.xxh64_intdigest(b"line", HASH_SEED)
+BITMAP_BITS = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -133,7 +138,7 @@ def band_keys(docs: DataFrame, text_col: str, settings: Settings) -> DataFrame:
                 for text in texts[begin:end]:
                     for line in text.split("\n"):
                         if line.strip(SPACES):
-                            name = xxhash.xxh64_intdigest(line.encode(), 42)  # as the engine's own
+                            name = xxhash.xxh64_intdigest(line.encode(), HASH_SEED)
                             if name not in seen:
                                 fresh.setdefault(name, line)
                 seen.update(fresh)
@@ -238,7 +243,7 @@ def candidate_sets(keys: DataFrame, cell: int = CELL) -> DataFrame:
         yield out(reader.close())
 
     met = keys.select("key", "h1").repartition(F.col("key")).sortWithinPartitions("key", "h1")
-    found = materialise(met.mapInArrow(run, "set_id bigint, h1 bigint, part bigint"))
+    found = stored(met.mapInArrow(run, "set_id bigint, h1 bigint, part bigint"))
     sets = found.filter("part < 0").select("set_id", "h1").distinct()
     large = found.filter("part >= 0")
     if large.isEmpty():
@@ -251,6 +256,51 @@ def candidate_sets(keys: DataFrame, cell: int = CELL) -> DataFrame:
     return sets.unionByName(cells)
 
 
+def candidate_marks(sets: DataFrame) -> np.ndarray:
+    """Bitmap over h1 modulo its size, as 64-bit words: 2 MB on the driver, whatever the input."""
+    bit = F.pmod("h1", F.lit(BITMAP_BITS))
+    words = sets.select(F.shiftright(bit, 6).alias("word"), F.expr("1L << cast(pmod(h1, 64) AS int)").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    marks = np.zeros(BITMAP_BITS // 64, np.uint64)
+    marks[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return marks
+
+
+def marked_lines(docs: DataFrame, text_col: str, marks: np.ndarray) -> DataFrame:
+    """h1, h2 and text of the lines whose bit is set, repeated lines once per task."""
+    shipped = Shipped(docs.sparkSession, marks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen = shipped.get(), set()
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for begin, end in slices(texts, SLICE_CHARS):
+                lines = [x for text in texts[begin:end] for x in text.split("\n") if x.strip(SPACES)]
+                if not lines:
+                    continue
+                digest = xxhash.xxh64_intdigest
+                names = np.array([digest(x.encode(), HASH_SEED) for x in lines], np.uint64)
+                place = (names % np.uint64(BITMAP_BITS)).astype(np.int64)
+                hit = np.flatnonzero(own[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1))
+                fresh = {int(names[i]): lines[i] for i in hit.tolist() if int(names[i]) not in seen}
+                seen.update(fresh)
+                if len(seen) > SEEN_LINES:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.fromiter(fresh, np.uint64, len(fresh)).view(np.int64)),
+                        pa.array(
+                            np.array([digest(x.encode(), SECOND_SEED) for x in fresh.values()], np.uint64).view(np.int64)
+                        ),
+                        pa.array(list(fresh.values()), pa.string()),
+                    ],
+                    ["h1", "h2", "line"],
+                )
+
+    rows = docs.select(text_of(text_col).alias("text"))
+    return rows.mapInArrow(run, "h1 bigint, h2 bigint, line string")
+
+
 def verified_links(members: DataFrame, settings: Settings) -> DataFrame:
     """Links ``a``, ``b`` (names as strings) that connect the similar lines of each set.
 
@@ -305,26 +355,21 @@ def line_classes(
     sorts first. Repeated rows repeat their lines. An empty table gives no rows; other columns are
     dropped.
     """
-    names = materialise(line_names(docs, id_col, text_col))
+    names = stored(line_names(docs, id_col, text_col))
+    sets = materialise(candidate_sets(band_keys(docs, text_col, settings)))
+    texts = marked_lines(docs, text_col, candidate_marks(sets))
+    texts = texts.repartition(F.col("h1")).dropDuplicates(["h1", "h2"])
+    roots = connected_components(verified_links(sets.join(texts, "h1"), settings))
+
     place = F.struct(F.col("doc_id"), F.col("line_no"), F.col("row"))
+    half = lambda at: F.conv(F.substring("node", at, 16), 16, -10).cast("bigint")
+    nodes = materialise(roots.select("root", half(1).alias("h1"), half(17).alias("h2")))
+    inside = names.join(nodes, ["h1", "h2"]).groupBy("h1", "h2", "root").agg(F.min(place).alias("first"))
+    inside = materialise(inside)
+    best = materialise(inside.groupBy("root").agg(F.min("first").alias("keep")))
+    near = materialise(inside.join(best, "root").select("h1", "h2", "keep"))
     named = with_group_values(names, ["h1", "h2"], [F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")])
-    firsts = named.filter(F.col("first") == place)
-    sets = materialise(candidate_sets(band_keys(docs, text_col, settings)))
-    wanted = firsts.join(sets.select("h1").distinct(), "h1").select("doc_id", "line_no", "h1", "h2")
-    lines = docs.select(
-        F.col(id_col).alias("_id"), F.posexplode(F.split(text_of(text_col), "\n")).alias("_no", "line")
-    ).filter(_counts(F.col("line")))
-    at = (F.col("_id").eqNullSafe(F.col("doc_id"))) & (F.col("_no") == F.col("line_no"))
-    texts = lines.join(wanted, at & (F.xxhash64("line") == F.col("h1"))).select("h1", "h2", "line")
-    members = sets.join(texts.dropDuplicates(["h1", "h2"]), "h1")
-    roots = connected_components(verified_links(members, settings))
-
-    name = F.concat(F.lpad(F.lower(F.hex("h1")), 16, "0"), F.lpad(F.lower(F.hex("h2")), 16, "0"))
-    inside = roots.join(firsts.select(name.alias("node"), "h1", "h2", "first"), "node")
-    inside = materialise(inside.select("root", "h1", "h2", "first"))
-    best = inside.groupBy("root").agg(F.min("first").alias("keep"))
-    near = inside.join(materialise(best), "root").select("h1", "h2", "keep")
-    out = named.join(materialise(near), ["h1", "h2"], "left").withColumn("keep", F.coalesce("keep", "first"))
+    out = named.join(near, ["h1", "h2"], "left").withColumn("keep", F.coalesce("keep", "first"))
     return out.select(
         "doc_id",
         "line_no",

@@ -56,13 +56,14 @@ class Rules:
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words in windows of three that occur twice or more in the text, the first included."""
+    """Words in windows of three that occur twice or more in the text, the first included.
+
+    Windows are compared by 64 bits of hash, within one text only.
+    """
 
     def windows(w: Column) -> Column:
         n = F.size(w) - PER_WORD + 1
-        return F.transform(
-            F.sequence(F.lit(0), n - 1), lambda i: F.concat_ws(" ", w[i], w[i + 1], w[i + 2])
-        )
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2]))
 
     def covered(placed: Column) -> Column:
         n = F.size(placed)
@@ -89,7 +90,7 @@ def features(text: Column) -> Column:
     letters = [chr(0x2460 + i) for i in range(len(WORDS))]  # one character per common word
 
     def of_words(words: Column, classes: Column) -> Column:
-        hits = F.filter(F.transform(words, F.lower), lambda w: w.isin(WORDS))
+        hits = F.transform(F.filter(words, lambda w: F.lower(w).isin(WORDS)), F.lower)
         order = F.array(*[F.lit(w) for w in WORDS])
         symbols = F.array(*[F.lit(c) for c in letters])
         spelt = F.array_join(F.transform(hits, lambda w: symbols[F.array_position(order, w).cast("int") - 1]), "")

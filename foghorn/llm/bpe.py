@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from foghorn.llm.common import Shipped, slices, text_of
 
@@ -278,7 +279,10 @@ class Encoder:
         self.vocabulary = vocabulary
         self.white = regex.compile(WHITE)
         self.rare_white = regex.compile(RARE_WHITE)
-        self.word = regex.compile(WORD.replace(r"\s", ""))
+        # classes and cases of rarer letters follow the library's version of Unicode
+        self.words = pre_tokenizers.Split(Regex(WORD), "removed", invert=True)
+        self.case = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.rare = regex.compile("[\u0250-\u1fff\u2070-\U0010ffff]")
         self.special = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")")
         space = np.zeros(256, bool)
         space[[9, 10, 11, 12, 13, 32]] = True
@@ -322,9 +326,11 @@ class Encoder:
 
     def plain_segment(self, text: str) -> bytes:
         if not text.isascii():
+            text = self.rare_white.sub(" ", text)
+            if self.rare.search(text):
+                return self.case.normalize_str(text).encode()
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
-            text = self.rare_white.sub(" ", text).replace("Σ", "σ")
         return text.lower().encode()
 
     def numbers(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -393,7 +399,7 @@ class Encoder:
                 special[i] = self.vocabulary.special[run[1:].decode()]
                 owners[i] = 0
                 continue
-            found = self.word.findall(run.decode())
+            found = [w for w, _ in self.words.pre_tokenize_str(run.decode())]
             owners[i] = len(found)
             for word in found:
                 mixed.append(words.setdefault(word.encode(), len(words)))

@@ -336,16 +336,16 @@ def company_variants(spark, sf_dir):
     return parts.select("p_partkey", F.array_join(tx.company_variants("name"), "|").alias("variants"))
 
 
-@query(f"""SELECT p_partkey, substring(coalesce(nullif(trim(regexp_replace(lower({_COMPANY}), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unknown'), 1, 60) AS dash,
-  substring(trim(regexp_replace({_COMPANY}, '[^a-zA-Z0-9]+', '_', 'g'), '_'), 1, 40) AS path FROM part""")
+@query(f"""SELECT p_partkey, coalesce(nullif(trim(regexp_replace(lower({_COMPANY}), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unknown') AS dash,
+  trim(regexp_replace({_COMPANY}, '[^a-zA-Z0-9]+', '_', 'g'), '_') AS path FROM part""")
 def slugs(spark, sf_dir):
     return _companies(spark, sf_dir).select(
         "p_partkey", tx.slug_dash("name").alias("dash"), tx.slug_path("name").alias("path")
     )
 
 
-@query(f"""SELECT p_partkey, CAST('0x' || substring(sha1({_COMPANY}), 1, 8) AS BIGINT) AS numeric_hash,
-  'sbti-' || substring(sha1('sbti::' || {_COMPANY} || '::AR'), 1, 12) AS text_hash,
+@query(f"""SELECT p_partkey, CAST('0x' || substring(sha1({_COMPANY}), 1, 15) AS BIGINT) AS numeric_hash,
+  'sbti-' || sha1('sbti::' || {_COMPANY} || '::AR') AS text_hash,
   regexp_replace(CAST(p_partkey AS VARCHAR) || '.0', '\\.0$', '') AS cleaned, p_partkey AS numeric_id FROM part""")
 def stable_ids(spark, sf_dir):
     raw = F.concat(F.col("p_partkey").cast("string"), F.lit(".0"))
@@ -444,13 +444,17 @@ def lenient_dates(spark, sf_dir):
 
 def _profile_sql(column: str) -> str:
     return f"""SELECT '{column}' AS "column", count(*) AS rows, count({column}) AS non_null,
-  round(100.0::DOUBLE * (count(*) - count({column})) / count(*), 2) AS null_pct, count(DISTINCT {column}) AS distinct_values FROM customer"""
+  round(100.0::DOUBLE * (count(*) - count({column})) / count(*), 2) AS null_pct, count(DISTINCT {column}) AS distinct_values,
+  replace(replace(lower(any_value(typeof({column}))), 'varchar', 'string'), 'integer', 'int') AS data_type,
+  CAST(min({column}) AS VARCHAR) AS smallest, CAST(max({column}) AS VARCHAR) AS largest,
+  (SELECT string_agg(v, ' | ' ORDER BY v) FROM (SELECT DISTINCT CAST({column} AS VARCHAR) AS v FROM customer
+   WHERE {column} IS NOT NULL ORDER BY v LIMIT 3)) AS samples FROM customer"""
 
 
 @query(" UNION ALL ".join(_profile_sql(c) for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")))
 def column_profile(spark, sf_dir):
     c = tb.table(spark, sf_dir, "customer")
-    return profile.column_profile(c, c.columns).drop("data_type", "smallest", "largest")
+    return profile.column_profile(c, c.columns)
 
 
 @query("""SELECT token, count(*) AS n FROM (

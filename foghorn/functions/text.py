@@ -146,15 +146,20 @@ def company_variants(c: Column | str) -> Column:
     return F.filter(F.array_distinct(F.array(base, cleaned, core)), lambda v: v != "")
 
 
-def slug_dash(c: Column | str, max_len: int = 60) -> Column:
+def cut(c: Column, limit: int | None) -> Column:
+    """The first ``limit`` characters; everything by default."""
+    return c if limit is None else F.substring(c, 1, limit)
+
+
+def slug_dash(c: Column | str, max_len: int | None = None) -> Column:
     raw = text_or_blank(c)
     slug = F.trim(F.regexp_replace(F.lower(raw), "[^a-z0-9]+", "-"), F.lit("-"))
-    return F.substring(F.when(slug == "", F.lit("unknown")).otherwise(slug), 1, max_len)
+    return cut(F.when(slug == "", F.lit("unknown")).otherwise(slug), max_len)
 
 
-def slug_path(c: Column | str, fallback: str = "ALL", max_len: int = 40) -> Column:
+def slug_path(c: Column | str, fallback: str = "ALL", max_len: int | None = None) -> Column:
     slug = F.trim(F.regexp_replace(F.trim(text_or_blank(c)), "[^a-zA-Z0-9]+", "_"), F.lit("_"))
-    return F.substring(F.when(slug == "", F.lit(fallback)).otherwise(slug), 1, max_len)
+    return cut(F.when(slug == "", F.lit(fallback)).otherwise(slug), max_len)
 
 
 # --- keywords -----------------------------------------------------------------
@@ -396,13 +401,17 @@ def is_external(c: Column | str) -> Column:
 
 
 def hash_id(c: Column) -> Column:
-    """Integer from the first eight hex digits of the SHA-1."""
-    return F.conv(F.substring(F.sha1(c), 1, 8), 16, 10).cast("bigint")
+    """Integer from the first fifteen hex digits of the SHA-1, as many as a long holds.
+
+    Sixty bits: for use as a number only. Where rows are told apart by it, use the whole digest.
+    """
+    return F.conv(F.substring(F.sha1(c), 1, 15), 16, 10).cast("bigint")
 
 
 def prefixed_hash_id(prefix: str, *parts: Column) -> Column:
+    """The prefix and the whole SHA-1 of all parts."""
     joined = F.concat_ws("::", F.lit(prefix), *parts)
-    return F.concat(F.lit(prefix + "-"), F.substring(F.sha1(joined), 1, 12))
+    return F.concat(F.lit(prefix + "-"), F.sha1(joined))
 
 
 def parse_number(c: Column | str) -> Column:

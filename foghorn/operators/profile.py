@@ -6,11 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from foghorn.operators.rows import top_k
 
-def column_profile(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """Type, non-null count, null share, distinct count, smallest and largest value.
 
-    Null counts and extremes come from one pass. Exact distinct counts are taken
+def column_profile(
+    df: DataFrame, columns: Sequence[str], exact: bool = True, samples: int = 3
+) -> DataFrame:
+    """Type, non-null count, null share, distinct count, extremes and sample values.
+
+    Extremes are compared in the column's own type and only then rendered as text;
+    the samples are the first values in text order. Exact distinct counts are taken
     over (column, value) pairs that are grouped before they are counted, so no
     task sees all the values of one column; ``exact=False`` uses the sketch.
     """
@@ -36,9 +41,21 @@ def column_profile(df: DataFrame, columns: Sequence[str], exact: bool = True) ->
         F.sum("n").alias("rows"),
         F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
         distinct.alias("distinct_values"),
-        F.min("value").alias("smallest"),
-        F.max("value").alias("largest"),
     )
+    ends = df.agg(*[f(c).cast("string").alias(f"{k}_{i}") for i, c in enumerate(columns) for k, f in (("a", F.min), ("z", F.max))])
+    ends = ends.select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column"), F.col(f"a_{i}").alias("smallest"), F.col(f"z_{i}").alias("largest"))
+                    for i, c in enumerate(columns)
+                ]
+            )
+        ).alias("_end")
+    ).select("_end.*")
+    shown = top_k(values.filter("value IS NOT NULL").select("column", "value").distinct(), ["column"], [F.col("value")], samples)
+    shown = shown.groupBy("column").agg(F.array_join(F.sort_array(F.collect_list("value")), " | ").alias("samples"))
+    stats = stats.join(ends, "column").join(shown, "column", "left")
     type_of = F.create_map(*[F.lit(x) for c in columns for x in (c, types[c])])
     return stats.select(
         "column",
@@ -49,6 +66,7 @@ def column_profile(df: DataFrame, columns: Sequence[str], exact: bool = True) ->
         F.col("distinct_values").cast("bigint").alias("distinct_values"),
         "smallest",
         "largest",
+        "samples",
     )
 
 

@@ -325,9 +325,10 @@ def rule_classify(
 
 
 def rule_description(
-    source: Column, sector: Column, industry: Column, description: Column, snippet: Column, slug: Column
+    source: Column, sector: Column, industry: Column, description: Column, snippet: Column, slug: Column,
+    limit: int | None = None,
 ) -> Column:
-    """Joined ``key: value`` parts, 400 characters, or a fixed sentence when all are blank."""
+    """Joined ``key: value`` parts, cut to ``limit`` characters if given, or a fixed sentence when all are blank."""
     def part(key: str, value: Column) -> Column:
         text = F.trim(tx.text_or_blank(value))
         return F.when(text != "", F.concat(F.lit(f"{key}: "), F.regexp_replace(text, "\n", " ")))
@@ -341,8 +342,7 @@ def rule_description(
         part("text_snippet", snippet),
     )
     fallback = F.concat(F.lit("Classified as "), slug, F.lit(" using fallback patterns."))
-    cut = F.substring(joined, 1, 400)
-    return F.when(cut == "", fallback).otherwise(cut)
+    return F.when(joined == "", fallback).otherwise(tx.cut(joined, limit))
 
 
 # --- stored responses ---------------------------------------------------------
@@ -420,6 +420,6 @@ def overlay_classification(
     return df.withColumns(
         {
             "industry": F.coalesce(F.nullif(F.col(slug), F.lit("")), F.col("industry")),
-            "description": F.substring(tx.collapse_ws(text), 1, 400),
+            "description": tx.collapse_ws(text),
         }
     )

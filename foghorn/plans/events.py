@@ -202,9 +202,15 @@ def member_events(matched: DataFrame) -> DataFrame:
 
 
 def external_id(signal_type: Column, name: Column, country: Column) -> Column:
-    """Stable id of a member outside the universe."""
+    """Stable id of a member outside the universe: type, whole name key and country.
+
+    A name without a Latin letter or digit has no slug; the digest of the name stands for it.
+    """
+    slug = tx.slug_dash(name)
+    digest = F.concat(F.lit("unknown-"), F.sha1(F.lower(F.trim(tx.text_or_blank(name)))))
+    key = F.when((slug == "unknown") & (F.lower(F.trim(tx.text_or_blank(name))) != "unknown"), digest).otherwise(slug)
     suffix = F.when(country != "", F.concat(F.lit("-"), F.lower(country))).otherwise("")
-    return F.concat(F.lit("ext::"), signal_type, F.lit("::"), tx.slug_dash(name), suffix)
+    return F.concat(F.lit("ext::"), signal_type, F.lit("::"), key, suffix)
 
 
 def indexed_member_events(matches: DataFrame, universe: DataFrame) -> DataFrame:
@@ -254,9 +260,9 @@ def indexed_member_events(matches: DataFrame, universe: DataFrame) -> DataFrame:
 
 def priority_description(
     source: Column, sector: Column, description: Column, status: Column, snippet: Column,
-    limit: int = 400,
+    limit: int | None = None,
 ) -> Column:
-    """Description by source priority, repeated sentences dropped, ``limit`` characters."""
+    """Description by source priority, repeated sentences dropped, cut to ``limit`` characters if given."""
     parts = F.filter(
         F.array(description, F.concat(F.lit("Sector: "), F.nullif(sector, F.lit(""))), status, snippet),
         lambda p: p.isNotNull() & (F.trim(p) != ""),
@@ -271,7 +277,7 @@ def priority_description(
         )
     )
     lead = F.concat(F.upper(source), F.lit(": "))
-    return F.substring(F.concat(lead, F.array_join(sentences, " | ")), 1, limit)
+    return tx.cut(F.concat(lead, F.array_join(sentences, " | ")), limit)
 
 
 def event_projection(extra: Sequence[str] = ()) -> list[str]:

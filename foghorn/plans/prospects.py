@@ -45,7 +45,13 @@ def _mode(df: DataFrame, key: str, value: str) -> DataFrame:
     return tied.groupBy(key).agg(F.min(value).alias(value))
 
 
-def summarise_prospects(events: DataFrame, limit: int = 25, order_id: str = "event_id") -> DataFrame:
+def summarise_prospects(
+    events: DataFrame,
+    limit: int = 25,
+    order_id: str = "event_id",
+    snippet_limit: int | None = None,
+    justification_limit: int | None = None,
+) -> DataFrame:
     """One row per company with modal attributes, signal types and a justification.
 
     Sorted by number of types, last time and name. Companies whose country is
@@ -82,7 +88,7 @@ def summarise_prospects(events: DataFrame, limit: int = 25, order_id: str = "eve
         " | ",
         F.concat(F.lit("signals: "), F.array_join("_types", ", ")),
         F.concat(F.lit("last_update: "), F.date_format("_last", "yyyy-MM-dd")),
-        F.when(snippet != "", F.substring(snippet, 1, 220)),
+        F.when(snippet != "", tx.cut(snippet, snippet_limit)),
     )
     ranked = joined.orderBy(F.col("type_count").desc(), F.col("_last").desc_nulls_last(), "company_name")
     return ranked.limit(limit).select(
@@ -90,7 +96,7 @@ def summarise_prospects(events: DataFrame, limit: int = 25, order_id: str = "eve
         "country",
         "industry",
         F.array_join("_types", "|").alias("source"),
-        F.substring(justification, 1, 320).alias("justification"),
+        tx.cut(justification, justification_limit).alias("justification"),
     )
 
 

@@ -86,7 +86,7 @@ def _read_page(url: str, html: str, max_parts: int | None = None) -> dict:
     reader.feed(html or "")
     reader.close()
     return {
-        "title": " ".join(reader.title)[:200],
+        "title": " ".join(reader.title),
         "text": " ".join(" ".join(p) for p in reader.parts[:max_parts]),
         "hrefs": [urljoin(url, h.strip()) if not h.startswith("http") else h for h in reader.links],
         "time_tag": reader.time,
@@ -157,7 +157,7 @@ def page_events(scored: DataFrame, universe: DataFrame, as_of: str) -> DataFrame
                 "signal_type": F.lit("web_esg"),
                 "signal_strength": F.col("score"),
                 "ts": F.coalesce("published", dx.as_of_lit(as_of)),
-                "text_snippet": F.substring("text", 1, 1000),
+                "text_snippet": F.col("text"),
             }
         )
         .drop("_domain")

@@ -361,3 +361,26 @@ def test_term_lists():
     assert tx.dedupe_terms(["A", "a ", "", "b"]) == ["A", "b"]
     assert tx.expand_terms(["solar", "SOLAR", "x"])[:2] == ["solar", "fotovoltaica"]
     assert tx.expand_terms(["x"]) == ["x"]
+
+
+def test_ids_tell_long_names_apart(spark):
+    from foghorn.functions import text as tx
+    from foghorn.plans.events import external_id
+    from pyspark.sql import functions as F
+
+    names = ["x" * 70 + " uno", "x" * 70 + " dos", "日本", "中国", "", "Unknown"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    ids = df.select(
+        external_id(F.lit("ungc"), F.col("name"), F.lit("AR")), tx.prefixed_hash_id("sbti", F.col("name")),
+        tx.slug_path("name"),
+    ).collect()
+    assert len({r[0] for r in ids}) == len({r[1] for r in ids}) == len(names)
+    assert len({r[2] for r in ids[:2]}) == 2
+
+
+def test_profile_extremes_keep_their_type(spark):
+    from foghorn.operators.profile import column_profile
+
+    df = spark.createDataFrame([(9, -10.5), (100, -2.0), (None, 3.25)], "a int, b double")
+    got = {r["column"]: (r["smallest"], r["largest"], r["samples"], r["non_null"]) for r in column_profile(df, ["a", "b"]).collect()}
+    assert got == {"a": ("9", "100", "100 | 9", 2), "b": ("-10.5", "3.25", "-10.5 | -2.0 | 3.25", 3)}

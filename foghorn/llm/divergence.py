@@ -229,16 +229,17 @@ def judge_documents(
 
 
 def keep_regular(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; nothing is shuffled.
+    """The rows of ``docs`` that are kept, with all their columns; no text is shuffled.
 
-    The references come from a first pass over all rows, the verdicts from a second.
+    The references come from a first pass over all rows, whose counts are checkpointed so that they
+    are computed once, and the verdicts from a second.
     """
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
         F.col(lang_col).alias("lang"),
         features(text_of(text_col)).alias("f"),
     )
-    known = references(rows, rules)
+    known = references(materialise(rows.select("lang", "f")), rules)
     judged = rows.select("_row", let(F.col("f"), lambda f: verdict(f, known, rules)).alias("v"))
     return judged.filter("v.kept").select("_row.*")
 

@@ -228,20 +228,34 @@ def judge_documents(
     )
 
 
-def keep_regular(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; no text is shuffled.
+def keep_regular(
+    docs: DataFrame,
+    rules: Rules = Rules(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns.
 
-    The references come from a first pass over all rows, whose counts are checkpointed so that they
-    are computed once, and the verdicts from a second.
+    Counts are computed once and checkpointed; the verdicts on them pick rows by id and text digest,
+    on which equal rows agree.
     """
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-        F.col(lang_col).alias("lang"),
-        features(text_of(text_col)).alias("f"),
+    sha = F.sha2(text_of(text_col).cast("binary"), 256)
+    rows = materialise(
+        docs.select(
+            F.col(id_col).alias("_kept_id"),
+            sha.alias("_kept_sha"),
+            F.col(lang_col).alias("lang"),
+            features(text_of(text_col)).alias("f"),
+        )
+    )
+    known = references(rows, rules)
+    kept = rows.filter(verdict(F.col("f"), known, rules)["kept"]).select("_kept_id", "_kept_sha").distinct()
+    data = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id"), sha.alias("_sha")
     )
-    known = references(materialise(rows.select("lang", "f")), rules)
-    judged = rows.select("_row", let(F.col("f"), lambda f: verdict(f, known, rules)).alias("v"))
-    return judged.filter("v.kept").select("_row.*")
+    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
+    return data.join(kept, same, "left_semi").select("_row.*")
 
 
 def judge_sql(rules: Rules = Rules()) -> str:

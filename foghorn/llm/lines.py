@@ -34,6 +34,8 @@ SEEN_LINES = 400_000
 HASH_SEED = 42
 SECOND_SEED = xxhash.xxh64_intdigest(b"line", HASH_SEED)
 BITMAP_BITS = 1 << 24
+BUCKETS = 1024
+SKETCH_LINES = 4096
 
 
 @dataclass(frozen=True)
@@ -57,6 +59,42 @@ def similarity(a: set[str], b: set[str]) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def shingle_hashes(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all lines, and where each line's begin and how many they are, repeats included."""
+    gap = "\n" * size  # no shingle of a line reaches into the next
+    text = np.frombuffer((gap.join(lines) + gap).encode("utf-32-le"), np.uint32)
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    starts = np.cumsum(sizes + size) - sizes - size
+    n = len(text) - size + 1
+    hashes = np.zeros(n, np.uint32)
+    for i in range(size):
+        hashes = hashes * np.uint32(0x01000193) + text[i : i + n]
+    hashes ^= hashes >> np.uint32(15)
+    hashes *= np.uint32(0x85EBCA6B)
+    hashes ^= hashes >> np.uint32(13)
+    return hashes, starts, np.maximum(1, sizes - size + 1)
+
+
+def sketches(lines: list[str], size: int) -> tuple[list[int], list[int]]:
+    """For each line the buckets that its shingles hash to, as bits of a number, and its number of shingles.
+
+    Buckets that only one of two lines has are no more than shingles that only one of them has, so
+    the bits in which two sketches differ bound their similarity from above.
+    """
+    bits, sizes = [], []
+    for at in range(0, len(lines), SKETCH_LINES):
+        block = lines[at : at + SKETCH_LINES]
+        for begin, end in slices(block, SLICE_CHARS):
+            hashes, starts, counts = shingle_hashes(block[begin:end], size)
+            first = np.cumsum(counts) - counts
+            place = np.arange(int(counts.sum())) + np.repeat(starts - first, counts)
+            held = np.zeros((end - begin, BUCKETS), bool)
+            held[np.repeat(np.arange(end - begin), counts), hashes[place] % np.uint32(BUCKETS)] = True
+            bits.extend(int.from_bytes(row.tobytes()) for row in np.packbits(held, axis=1))
+            sizes.extend(counts.tolist())
+    return bits, sizes
+
+
 class Signatures:
     """Band keys of many lines at once."""
 
@@ -71,18 +109,7 @@ class Signatures:
     def keys(self, lines: list[str]) -> np.ndarray:
         """A matrix of lines by bands of 64-bit keys."""
         s = self.settings
-        gap = "\n" * s.shingle  # no shingle of a line reaches into the next
-        text = np.frombuffer((gap.join(lines) + gap).encode("utf-32-le"), np.uint32)
-        sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-        starts = np.cumsum(sizes + s.shingle) - sizes - s.shingle
-        counts = np.maximum(1, sizes - s.shingle + 1)
-        n = len(text) - s.shingle + 1
-        hashes = np.zeros(n, np.uint32)
-        for i in range(s.shingle):
-            hashes = hashes * np.uint32(0x01000193) + text[i : i + n]
-        hashes ^= hashes >> np.uint32(15)
-        hashes *= np.uint32(0x85EBCA6B)
-        hashes ^= hashes >> np.uint32(13)
+        hashes, starts, counts = shingle_hashes(lines, s.shingle)
         order = np.argsort(counts, kind="stable")
         least = np.full((len(lines), len(self.flip)), 0xFFFFFFFF, np.uint32)
         at = 0
@@ -305,27 +332,34 @@ def verified_links(members: DataFrame, settings: Settings) -> DataFrame:
     """Links ``a``, ``b`` (names as strings) that connect the similar lines of each set.
 
     ``members`` has set_id, h1, h2 and the line. A search from each line not yet reached compares it
-    with those not yet reached, so a set of n lines gives fewer than n links.
+    with those not yet reached, so a set of n lines gives fewer than n links. Lines whose sketches
+    differ in more bits than similar lines can are not compared further; they can't be similar.
     """
+    apart = (1 - settings.similarity) / (1 + settings.similarity) + 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, h1, h2, lines in whole_groups(batches):
             a, b = [], []
             starts, sizes = runs(ids)
+            bits, counts = sketches(lines, settings.shingle)
             for start, size in zip(starts.tolist(), sizes.tolist(), strict=True):
-                sets = [shingles(x, settings.shingle) for x in lines[start : start + size]]
+                sets: dict[int, set[str]] = {}
+
+                def alike(i: int, j: int) -> bool:
+                    if (bits[i] ^ bits[j]).bit_count() > apart * (counts[i] + counts[j]):
+                        return False
+                    for k in (i, j):
+                        if k not in sets:
+                            sets[k] = shingles(lines[k], settings.shingle)
+                    return similarity(sets[i], sets[j]) >= settings.similarity
+
                 open_ = list(range(1, size))
                 stack = [0]
                 while stack or open_:
                     if not stack:
                         stack.append(open_.pop(0))
                     i = stack.pop()
-                    near = [
-                        j
-                        for j in open_
-                        if min(len(sets[i]), len(sets[j])) >= settings.similarity * max(len(sets[i]), len(sets[j]))
-                        and similarity(sets[i], sets[j]) >= settings.similarity
-                    ]
+                    near = [j for j in open_ if alike(start + i, start + j)]
                     if near:
                         reached = set(near)
                         open_ = [j for j in open_ if j not in reached]

@@ -144,6 +144,18 @@ def test_lines_against_brute_force(docs):
     assert found_lines(lines.line_classes(part)) == brute_lines(rows)
 
 
+def test_sketches_never_part_similar_lines():
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abcdé ", k=k)) for k in (1, 5, 6, 7, 40, 300, 5000)]
+    found = base + [x[:at] + "z" + x[at + 1 :] for x in base for at in (0, len(x) // 2)] + ["", "aaaaaaaaaaaaaaaa"]
+    bits, sizes = lines.sketches(found, 6)
+    for i, x in enumerate(found):
+        for j, y in enumerate(found):
+            a, b = lines.shingles(x, 6), lines.shingles(y, 6)
+            assert (bits[i] ^ bits[j]).bit_count() <= len(a ^ b)
+            assert len(a) <= sizes[i] and len(b) <= sizes[j]
+
+
 @pytest.mark.parametrize("cell", [8, 256])
 def test_lines_of_one_large_group(spark, monkeypatch, cell):
     rnd = random.Random(4)

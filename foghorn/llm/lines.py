@@ -390,7 +390,7 @@ def line_classes(
     dropped.
     """
     names = stored(line_names(docs, id_col, text_col))
-    sets = materialise(candidate_sets(band_keys(docs, text_col, settings)))
+    sets = stored(candidate_sets(band_keys(docs, text_col, settings)))
     texts = marked_lines(docs, text_col, candidate_marks(sets))
     texts = texts.repartition(F.col("h1")).dropDuplicates(["h1", "h2"])
     roots = connected_components(verified_links(sets.join(texts, "h1"), settings))

@@ -294,7 +294,7 @@ def candidate_marks(sets: DataFrame) -> np.ndarray:
 
 
 def marked_lines(docs: DataFrame, text_col: str, marks: np.ndarray) -> DataFrame:
-    """h1, h2 and text of the lines whose bit is set, repeated lines once per task."""
+    """The lines whose bit is set, repeated lines once per task."""
     shipped = Shipped(docs.sparkSession, marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,32 +313,29 @@ def marked_lines(docs: DataFrame, text_col: str, marks: np.ndarray) -> DataFrame
                 seen.update(fresh)
                 if len(seen) > SEEN_LINES:
                     seen.clear()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.fromiter(fresh, np.uint64, len(fresh)).view(np.int64)),
-                        pa.array(
-                            np.array([digest(x.encode(), SECOND_SEED) for x in fresh.values()], np.uint64).view(np.int64)
-                        ),
-                        pa.array(list(fresh.values()), pa.string()),
-                    ],
-                    ["h1", "h2", "line"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(list(fresh.values()), pa.string())], ["line"])
 
     rows = docs.select(text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, "h1 bigint, h2 bigint, line string")
+    return rows.mapInArrow(run, "line string")
+
+
+def line_name(line: str) -> str:
+    """Both halves of a line's name in hexadecimal."""
+    digest, data = xxhash.xxh64_intdigest, line.encode()
+    return f"{digest(data, HASH_SEED):016x}{digest(data, SECOND_SEED):016x}"
 
 
 def verified_links(members: DataFrame, settings: Settings) -> DataFrame:
     """Links ``a``, ``b`` (names as strings) that connect the similar lines of each set.
 
-    ``members`` has set_id, h1, h2 and the line. A search from each line not yet reached compares it
+    ``members`` has set_id and the line; the names follow from the line and do not travel. A search from each line not yet reached compares it
     with those not yet reached, so a set of n lines gives fewer than n links. Lines whose sketches
     differ in more bits than similar lines can are not compared further; they can't be similar.
     """
     apart = (1 - settings.similarity) / (1 + settings.similarity) + 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, h1, h2, lines in whole_groups(batches):
+        for ids, lines in whole_groups(batches):
             a, b = [], []
             starts, sizes = runs(ids)
             bits, counts = sketches(lines, settings.shingle)
@@ -367,12 +364,12 @@ def verified_links(members: DataFrame, settings: Settings) -> DataFrame:
                         a.extend([start + i] * len(near))
                         b.extend(start + j for j in near)
             if a:
-                name = [f"{x & (1 << 64) - 1:016x}{y & (1 << 64) - 1:016x}" for x, y in zip(h1.tolist(), h2.tolist(), strict=True)]
+                name = {i: line_name(lines[i]) for i in {*a, *b}}
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name[i] for i in a]), pa.array([name[j] for j in b])], ["a", "b"]
                 )
 
-    dealt = members.select("set_id", "h1", "h2", "line").repartition(F.col("set_id")).sortWithinPartitions("set_id")
+    dealt = members.select("set_id", "line").repartition(F.col("set_id")).sortWithinPartitions("set_id")
     return dealt.mapInArrow(run, "a string, b string")
 
 
@@ -392,7 +389,7 @@ def line_classes(
     names = stored(line_names(docs, id_col, text_col))
     sets = stored(candidate_sets(band_keys(docs, text_col, settings)))
     texts = marked_lines(docs, text_col, candidate_marks(sets))
-    texts = texts.repartition(F.col("h1")).dropDuplicates(["h1", "h2"])
+    texts = texts.repartition(F.xxhash64("line")).select(F.xxhash64("line").alias("h1"), "line").distinct()
     roots = connected_components(verified_links(sets.join(texts, "h1"), settings))
 
     place = F.struct(F.col("doc_id"), F.col("line_no"), F.col("row"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foghorn.functions import text as tx
-from foghorn.session import BROADCAST_ROW_LIMIT
+from foghorn.session import BROADCAST_BYTE_LIMIT, BROADCAST_ROW_LIMIT
 
 # Interior words used as the join key of long names.
 ANCHOR_WORDS = 8
@@ -37,11 +37,14 @@ def mention_join(
     drops accents. With ``whole_words`` a name must start and end at word
     boundaries (spaces); otherwise any substring counts.
 
-    A name of three or more words can only occur where its interior words stand
-    as whole words, so items and names are joined on a run of those and the hit
-    is then confirmed. One- and two-word names may start or end inside a word:
-    they are resolved once per distinct word or word pair of the corpus and
-    joined back. No item is compared with every name.
+    Interior words of a name stand as whole words; its first word may begin, and
+    its last may end, inside a word. So a long name is joined on its interior
+    words together with its first and last word: the word before the run must end
+    with the first, the word after it begin with the last. A name such as
+    "X de Y" is thus met by texts that hold X and Y around "de", not by every
+    text with "de". One- and two-word names are resolved once per distinct word
+    or word pair of the corpus and joined back. A hit of a long name is
+    confirmed in the text. No item is compared with every name.
     """
     shape = tx.fold_match if folded else (lambda c: F.lower(tx.collapse_ws(c)))
     texts = items.select(F.col(item_id), shape(F.col(text)).alias("_text")).filter("_text <> ''")
@@ -57,21 +60,25 @@ def mention_join(
         F.count(F.lit(1)).alias("all"),
         F.count_if(words == 1).alias("one"),
         F.count_if(words == 2).alias("two"),
-        F.count_if(words >= 3).alias("long"),
+        F.sort_array(F.collect_set(F.when(words >= 3, _inner_words()))).alias("inner"),
+        F.sum(F.octet_length("_name")).alias("bytes"),
+        F.max(F.array_max(F.transform("_nw", F.length))).alias("longest"),
     ).first()
-    if sizes["all"] <= BROADCAST_ROW_LIMIT:
+    if sizes["all"] <= BROADCAST_ROW_LIMIT and (sizes["bytes"] or 0) <= BROADCAST_BYTE_LIMIT:
         spellings = F.broadcast(spellings)
+    longest = sizes["longest"] or 0
 
     if whole_words:
         found = _whole_word_hits(texts, item_id, spellings)
     else:
         parts = []
-        if sizes["long"]:
-            parts.append(_long_hits(texts, item_id, spellings))
+        if sizes["inner"]:
+            keyed = _long_candidates(texts, item_id, spellings, sizes["inner"], longest)
+            parts.append(_confirmed(keyed, texts, item_id))
         if sizes["one"]:
             parts.append(_one_word_hits(texts, item_id, spellings))
         if sizes["two"] or not parts:
-            parts.append(_two_word_hits(texts, item_id, spellings))
+            parts.append(_two_word_hits(texts, item_id, spellings, longest))
         found = reduce(DataFrame.unionByName, parts)
     return found.distinct().join(names, "_name").select(item_id, alias_id).distinct()
 
@@ -86,22 +93,56 @@ def _whole_word_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> Da
     return runs.join(spellings.select("_name"), "_name").select(item_id, "_name")
 
 
-def _long_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFrame:
-    """Names of three or more words: interior run as key, containment as proof."""
-    inner = F.least(F.size("_nw") - 2, F.lit(ANCHOR_WORDS))
-    # the key is a hash: containment is checked afterwards, so a collision does no harm
-    long_names = spellings.filter(F.size("_nw") >= 3).select(
+def _inner_words() -> Column:
+    """How many interior words of a long name are keyed."""
+    return F.least(F.size("_nw") - 2, F.lit(ANCHOR_WORDS))
+
+
+def _framed_runs(words: str, length: int) -> Column:
+    """Runs of ``length`` words, hashed, with the word before and the word after."""
+    starts = F.when(F.size(words) >= length + 2, F.sequence(F.lit(1), F.size(words) - length - 1))
+    return F.transform(
+        F.coalesce(starts, F.array().cast("array<int>")),
+        lambda i: F.struct(
+            F.element_at(words, i).alias("_w1"),
+            _run_key(F.lit(length), F.slice(words, i + 1, length)).alias("_key"),
+            F.element_at(words, i + length + 1).alias("_w2"),
+        ),
+    )
+
+
+def _run_key(length: Column, words: Column) -> Column:
+    # a hash will do: containment is checked afterwards, so a collision does no harm
+    return F.xxhash64(length, F.array_join(words, " "))
+
+
+def _long_candidates(
+    texts: DataFrame, item_id: str, spellings: DataFrame, lengths: list[int], longest: int
+) -> DataFrame:
+    """Names of three or more words whose interior, first and last word fit a run of the text.
+
+    A run yields one row per suffix of the word before it that begins a name with its interior, and
+    then one per prefix of the word after it: never one per name that shares the interior alone.
+    ``lengths`` are the interior lengths that occur, at most ``ANCHOR_WORDS``;
+    ``longest`` is the length of the longest word of a name.
+    """
+    inner = _inner_words()
+    names = spellings.filter(F.size("_nw") >= 3).select(
         "_name",
-        inner.alias("_len"),
-        F.xxhash64(F.array_join(F.slice("_nw", F.lit(2), inner), " ")).alias("_key"),
+        _run_key(inner, F.slice("_nw", F.lit(2), inner)).alias("_key"),
+        F.col("_nw")[0].alias("_a"),
+        F.get("_nw", inner + 1).alias("_b"),
     )
-    # at most ANCHOR_WORDS run lengths, whatever the registry holds
-    anchors = texts.withColumn(
-        "_len", F.explode(F.sequence(F.lit(1), F.lit(ANCHOR_WORDS)))
-    ).join(F.broadcast(long_names.select("_len").distinct()), "_len", "left_semi")
-    hashes = F.transform(word_runs(F.col("_words"), F.col("_len")), lambda r: F.xxhash64(r))
-    runs = anchors.select(item_id, "_len", F.explode(hashes).alias("_key"))
-    keyed = runs.join(long_names, ["_len", "_key"]).select(item_id, "_name").distinct()
+    found = F.flatten(F.array(*[_framed_runs("_words", n) for n in lengths]))
+    runs = texts.select(item_id, F.explode(found).alias("_run")).select(item_id, "_run.*")
+    runs = runs.join(names.select("_key").distinct(), "_key", "left_semi")
+    heads = runs.select(item_id, "_key", "_w2", F.explode(_pieces("_w1", "suffix", longest)).alias("_a"))
+    heads = heads.join(names.select("_key", "_a").distinct(), ["_key", "_a"], "left_semi")
+    tails = heads.select(item_id, "_key", "_a", F.explode(_pieces("_w2", "prefix", longest)).alias("_b"))
+    return tails.join(names, ["_key", "_a", "_b"]).select(item_id, "_name").distinct()
+
+
+def _confirmed(keyed: DataFrame, texts: DataFrame, item_id: str) -> DataFrame:
     return (
         keyed.join(texts.select(item_id, "_text"), item_id)
         .filter(F.col("_text").contains(F.col("_name")))
@@ -109,12 +150,16 @@ def _long_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFram
     )
 
 
-def _pieces(word: str, kind: str) -> Column:
-    """All suffixes or all prefixes of a word."""
-    starts = F.sequence(F.lit(1), F.length(word))
+def _pieces(word: str, kind: str, longest: int) -> Column:
+    """All suffixes or all prefixes of a word, none longer than the longest word looked for."""
+    first, size = F.lit(1), F.length(word)
     if kind == "suffix":
+        starts = F.sequence(F.greatest(first, size - longest + 1), size)
         return F.transform(starts, lambda i: F.substr(F.col(word), i))
-    return F.transform(starts, lambda i: F.substr(F.col(word), F.lit(1), i))
+    return F.transform(
+        F.sequence(first, F.greatest(first, F.least(size, F.lit(longest)))),
+        lambda i: F.substr(F.col(word), F.lit(1), i),
+    )
 
 
 def _vocabulary(texts: DataFrame) -> DataFrame:
@@ -135,11 +180,11 @@ def _one_word_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> Data
         .select("_w", F.expr("substring(_w, _from, _n)").alias("_name"))
     )
     word_hits = cut.join(singles, "_name").distinct()
-    in_items = texts.select(item_id, F.explode("_words").alias("_w"))
+    in_items = texts.select(item_id, F.explode(F.array_distinct("_words")).alias("_w"))
     return in_items.join(word_hits, "_w").select(item_id, "_name")
 
 
-def _two_word_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> DataFrame:
+def _two_word_hits(texts: DataFrame, item_id: str, spellings: DataFrame, longest: int) -> DataFrame:
     """Two-word names, resolved on the distinct word pairs of the corpus.
 
     The first word of a name ends a corpus word and the second starts the next.
@@ -149,15 +194,15 @@ def _two_word_hits(texts: DataFrame, item_id: str, spellings: DataFrame) -> Data
     )
     vocabulary = _vocabulary(texts)
     runs = texts.select(
-        item_id, F.explode(word_runs(F.col("_words"), F.lit(2))).alias("_run")
+        item_id, F.explode(F.array_distinct(word_runs(F.col("_words"), F.lit(2)))).alias("_run")
     )
     heads = (
-        vocabulary.select("_w", F.explode(_pieces("_w", "suffix")).alias("_a"))
+        vocabulary.select("_w", F.explode(_pieces("_w", "suffix", longest)).alias("_a"))
         .join(pairs.select("_a").distinct(), "_a")
         .withColumnRenamed("_w", "_w1")
     )
     tails = (
-        vocabulary.select("_w", F.explode(_pieces("_w", "prefix")).alias("_b"))
+        vocabulary.select("_w", F.explode(_pieces("_w", "prefix", longest)).alias("_b"))
         .join(pairs.select("_b").distinct(), "_b")
         .withColumnRenamed("_w", "_w2")
     )

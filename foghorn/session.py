@@ -1,4 +1,4 @@
-"""Session construction and the two scale guards used across the package."""
+"""Session construction, checkpoints and the scale guards used across the package."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A side is broadcast only after its row count has been checked against this.
+# A side is broadcast only after its rows, and the bytes of its texts, have been checked against these.
 BROADCAST_ROW_LIMIT = 200_000
+BROADCAST_BYTE_LIMIT = 32 << 20
 
 
 def build_session(app: str = "foghorn", cpus: str | int | None = None, **conf: str) -> SparkSession:
@@ -58,16 +59,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only when a bounded count proves ``df`` small.
-
-    Beyond the limit the frame is returned unhinted, so the join falls back to
-    a shuffled join with adaptive skew handling.
-    """
-    seen = df.limit(limit + 1).count()
-    return F.broadcast(df) if seen <= limit else df
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on an input that has fewer splits than the session has cores.
 

@@ -191,6 +191,25 @@ def test_long_names_beyond_the_anchor(spark):
     assert [tuple(r) for r in mentions.mention_join(texts, "t", "text", names, "n", "name").collect()] == [(1, 7)]
 
 
+def test_common_middle_words_do_not_multiply(spark):
+    n = 300
+    texts = spark.createDataFrame([(i, f"grupo de xa{i} de b{i}y de c") for i in range(n)], "t int, _text string")
+    names = spark.createDataFrame([(f"a{i} de b{i}",) for i in range(n)], "_name string")
+    keyed = mentions._long_candidates(
+        texts.withColumn("_words", F.split("_text", " ")), "t", names.withColumn("_nw", F.split("_name", " ")), [1], 4
+    )
+    hits = {(i, f"a{j}" + f" de b{j}") for i in range(n) for j in range(n) if f"a{j} de b{j}" in f"grupo de xa{i} de b{i}y de c"}
+    assert sorted(tuple(r) for r in keyed.collect()) == sorted(hits)
+
+
+def test_mentions_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(mentions, "BROADCAST_BYTE_LIMIT", 0)
+    texts = spark.createDataFrame([(1, "el grupo de aceros sur"), (2, None), (3, "")], "t int, text string")
+    names = spark.createDataFrame([(7, "Grupo de Aceros"), (8, "aceros"), (9, "los sur"), (10, None)], "n int, name string")
+    got = mentions.mention_join(texts, "t", "text", names, "n", "name")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 7), (1, 8)]
+
+
 @pytest.mark.parametrize("floor", [70.0, 85.0, 92.0])
 def test_near_strings_equal_brute_force(spark, floor):
     random.seed(6)

@@ -196,14 +196,14 @@ def _event_stream(spark, sf_dir):
 @query("""SELECT user_id::VARCHAR AS company_id, event_type AS signal_type, 'https://example.com/' || json_extract_string(props, '$.k') AS url, count(DISTINCT ts) AS n
 FROM events GROUP BY ALL""")
 def streaming_append(spark, sf_dir):
-    kept = st.run_available(st.dedupe_stream(_event_stream(spark, sf_dir)), _run_name("append"))
+    kept = st.run_available(_event_stream(spark, sf_dir), _run_name("append"), st.EVENT_KEY)
     return kept.groupBy("company_id", "signal_type", "url").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""SELECT strftime(time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d') AS window_start, event_type AS signal_type,
   count(*) AS total_signals, round(sum(value / 500.0::DOUBLE), 4) AS total_strength FROM events GROUP BY ALL""")
 def streaming_volume(spark, sf_dir):
-    volume = st.volume_stream(_event_stream(spark, sf_dir), "signal_type", "5 days")
+    volume = st.volume_stream(_event_stream(spark, sf_dir), "signal_type", "5 days", late=None)
     out = st.run_available(volume, _run_name("volume"), ["window_start", "signal_type"])
     return rounded(out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd")), 4, "total_strength")
 

@@ -17,19 +17,30 @@ def read_event_stream(spark: SparkSession, folder: str, schema: T.StructType) ->
 
 
 def dedupe_stream(
-    events: DataFrame, keys: Sequence[str] = EVENT_KEY, ts: str = "ts", late: str = "7 days"
+    events: DataFrame, keys: Sequence[str] = EVENT_KEY, ts: str = "ts", late: str | None = "7 days"
 ) -> DataFrame:
-    """First arrival per key; state for a key is dropped once the watermark passes it."""
+    """First arrival per key; state for a key is dropped once the watermark passes it.
+
+    Rows behind the watermark are lost. With ``late=None`` none is, and every key stays in the state.
+    To keep the last arrival instead, as the batch append does, pass the stream with its keys to
+    :func:`run_available`, which needs neither.
+    """
+    if late is None:
+        return events.dropDuplicates(list(keys))
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
 
 
 def volume_stream(
-    events: DataFrame, by: str, width: str = "30 days", late: str = "1 day", ts: str = "ts"
+    events: DataFrame, by: str, width: str = "30 days", late: str | None = "1 day", ts: str = "ts"
 ) -> DataFrame:
-    """Events and strength per tumbling window and key; rows behind the watermark are dropped."""
+    """Events and strength per tumbling window and key.
+
+    Rows behind the watermark are dropped; with ``late=None`` every row counts and the state holds
+    one row per window and key, as the result does.
+    """
+    timed = events if late is None else events.withWatermark(ts, late)
     return (
-        events.withWatermark(ts, late)
-        .groupBy(F.window(ts, width), by)
+        timed.groupBy(F.window(ts, width), by)
         .agg(F.count(F.lit(1)).alias("total_signals"), F.sum("signal_strength").alias("total_strength"))
         .select(F.col("window.start").alias("window_start"), by, "total_signals", "total_strength")
     )

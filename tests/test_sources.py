@@ -261,6 +261,20 @@ def test_stream_updates_replace_earlier_windows(spark, tmp_path):
     assert [(r["total_signals"], r["total_strength"]) for r in got] == [(2, 3.0)]
 
 
+def test_streams_without_a_watermark_keep_late_rows(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    schema = spark.createDataFrame([], EVENT_SPEC).schema
+    days = [dt.datetime(2024, 3, 1), dt.datetime(2024, 6, 1), dt.datetime(2023, 1, 1), dt.datetime(2022, 1, 1)]
+    for i, day in enumerate(days):  # one file and one batch each, the last two far behind
+        _land(spark, folder, [("1", "news", f"u{i}", day, 1.0)])
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    volume = st.volume_stream(stream(), "signal_type", "5 days", late=None)
+    got = st.run_available(volume, f"t-{uuid.uuid4().hex[:6]}", ["window_start", "signal_type"])
+    assert [r["total_signals"] for r in got.collect()] == [1, 1, 1, 1]
+    assert st.run_available(st.dedupe_stream(stream(), late=None), f"t-{uuid.uuid4().hex[:6]}").count() == 4
+    assert st.run_available(stream(), f"t-{uuid.uuid4().hex[:6]}", st.EVENT_KEY).count() == 4
+
+
 def test_keep_last_stream(spark, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     ts = dt.datetime(2024, 1, 1)

@@ -54,17 +54,29 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, keyed: bool = False
 ) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long, one row per row of ``docs``."""
+    """``doc_id`` and ``fp``, the fingerprint as a signed long, one row per row of ``docs``.
+
+    With ``keyed`` also ``sha`` and ``row``, the digest of the text and the hash of all columns.
+    """
+    names = ["doc_id", "fp", *(["sha", "row"] if keyed else [])]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         marks = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
         marks = np.array(marks, np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks)], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks), *batch.columns[2:]], names)
+
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), *(_row_key(docs, text_col) if keyed else [])
+    )
+    return map_batches(rows, run, "doc_id bigint, fp bigint" + (", sha string, row bigint" if keyed else ""))
+
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    return map_batches(rows, run, "doc_id bigint, fp bigint")
+def _row_key(docs: DataFrame, text_col: str) -> list[Column]:
+    """``sha`` and ``row``: with the id they tell rows apart, equal copies aside."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return [F.sha2(text_of(text_col).cast("binary"), 256).alias("sha"), F.xxhash64(whole).alias("row")]
 
 
 def block_count(distinct: int, distance: int) -> int:
@@ -167,6 +179,13 @@ def links(marks: DataFrame, distance: int = DISTANCE, cell: int = CELL) -> DataF
     return parts.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def rooted(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``marks``, distinct fingerprints ``fp``, with the ``root`` fingerprint of their component."""
+    found = connected_components(links(marks.select("fp"), distance))
+    roots = found.select(F.col("node").alias("fp"), "root")
+    return marks.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -185,9 +204,7 @@ def near_duplicates(
     """
     rows = materialise(fingerprints(docs, id_col, text_col, shingle))
     marks = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    found = connected_components(links(marks.select("fp"), distance))
-    roots = found.select(F.col("node").alias("fp"), "root")
-    named = marks.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = rooted(marks, distance)
     # written, so that the next join shuffles both sides and adaptive execution can split a hot root
     names = materialise(named.groupBy("root").agg(F.min("least").alias("component_id")))
     named = named.join(names, "root").select("fp", "component_id")
@@ -195,19 +212,25 @@ def near_duplicates(
 
 
 def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with all their columns.
+    """Of each component of near copies one row of ``docs``, with all its columns.
 
-    Rows that share an id are one document: of them the row whose columns hash lowest stays. Rows
-    without an id stay if their whole component has none.
+    It is the row of smallest id, among equal ids that of smallest text digest, then that whose columns
+    hash lowest. Rows without an id come last, so one of them stays only if its whole component has
+    no id. Every component keeps a row, also where ids repeat with different texts.
     """
     from pyspark.sql import Window
 
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
+    rows = materialise(fingerprints(docs, id_col, text_col, keyed=True))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha", "row")
+    marks = materialise(rows.groupBy("fp").agg(F.min(first).alias("first")))
+    kept = rooted(marks).groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(*[F.col(f"first.{c}").alias(f"_kept_{c}") for c in ("doc_id", "sha", "row")])
     data = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id")
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col(id_col).cast("bigint").alias("_id"),
+        *[c.alias(f"_{n}") for c, n in zip(_row_key(docs, text_col), ("sha", "hash"), strict=True)],
     )
-    data = data.join(kept, F.col("_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    order = Window.partitionBy("_id").orderBy(F.xxhash64("_row"))
+    same = F.col("_id").eqNullSafe(F.col("_kept_doc_id")) & (F.col("_sha") == F.col("_kept_sha"))
+    data = data.join(kept, same & (F.col("_hash") == F.col("_kept_row")), "left_semi")
+    order = Window.partitionBy("_id", "_sha", "_hash").orderBy("_hash")  # equal copies of the row kept
     return data.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select("_row.*")

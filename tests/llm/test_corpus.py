@@ -335,6 +335,24 @@ def test_simhash_against_brute_force(docs, odd):
         assert collections.Counter((r.doc_id, r.fp & (1 << 64) - 1, r.component_id) for r in got) == want
 
 
+def test_one_row_per_component_without_or_with_repeated_ids(spark):
+    far = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcde"]  # no two share a word
+    for i, x in enumerate(far):
+        assert all((simhash.fingerprint(x) ^ simhash.fingerprint(y)).bit_count() > 4 for y in far[:i])
+    rows = [
+        (None, far[0], "x"), (None, far[0], "x"), (None, far[0], "y"),  # copies without an id: one stays
+        (None, far[1], "x"),
+        (None, far[2], "x"), (7, far[2], "x"),  # the numbered one stays
+        (5, far[3], "x"), (9, far[3], "x"),  # 5 names two groups with different texts
+        (5, far[4], "x"), (5, far[4].upper(), "x"), (3, far[4], "x"), (3, far[4], "x"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, name string")
+    got = simhash.keep_one_per_component(frame).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(
+        [(None, far[0]), (None, far[1]), (7, far[2]), (5, far[3]), (3, far[4])], key=repr
+    )
+
+
 @pytest.mark.parametrize("cell", [32, 1024])
 def test_links_of_dense_groups(spark, cell):
     rnd = random.Random(3)

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from foghorn.llm import bpe, chat, divergence, licences, lines, naming, neighbours, packing, simhash, toxicity
@@ -278,6 +279,21 @@ def test_distance_is_a_distance(spark):
     assert r[0] == 0.0 and r[1] == 1.0
 
 
+def test_text_without_common_words_is_rejected_by_that_alone(spark, docs):
+    known = {r.doc_id for r in divergence.judge_documents(docs).filter("kept AND n_words >= 150").collect()}
+    source = docs.filter(docs["lang"] == "en").filter(docs["doc_id"].isin(sorted(known))).orderBy("doc_id").first()
+    shift = str.maketrans("abcdefghijklmnopqrstuvwxyz", "fghijklmnopqrstuvwxyzabcde")
+    new = lambda m: m[0].lower().translate(shift) if m[0].lower() in divergence.WORDS else m[0]
+    invented = re.sub(r"[^ \t-\r]+", new, source.text)
+    assert not {w.lower() for w in re.split(r"[ \t-\r]+", invented)} & set(divergence.WORDS)
+    other = spark.createDataFrame([(-1, invented, None)], "doc_id bigint, text string, lang string")
+    rows = docs.select("doc_id", "text", "lang").unionByName(other)
+    got = {r.doc_id: r for r in divergence.judge_documents(rows).filter(F.col("doc_id").isin(-1, source.doc_id)).collect()}
+    assert got[source.doc_id].kept and not got[-1].kept
+    assert not got[-1].base_failed and got[-1].class_distance <= divergence.Rules().max_class_distance
+    assert {r.doc_id for r in divergence.keep_regular(rows).filter(F.col("doc_id") == -1).collect()} == set()
+
+
 # --- op5 -------------------------------------------------------------------------------------------
 
 

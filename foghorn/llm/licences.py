@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foghorn.functions.text import let
 from foghorn.llm.common import text_of
+from foghorn.llm.licence_texts import known_texts
 
 #: The known texts are broadcast, so the table of them is refused beyond this many rows.
 KNOWN_LIMIT = 20_000
@@ -103,6 +104,10 @@ KNOWN = [
         "TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
 ]
+# the same under another title, or the ISC text without one, then texts, headers, notices and tags of others
+KNOWN += [(n, f"{t}\n" + x.split("\n", 1)[1]) for n, x in KNOWN if n == "MIT" and "\n" in x for t in ("The MIT License", "The MIT License (MIT)")]
+KNOWN += [(n, x.split("\n", 1)[1]) for n, x in KNOWN if n == "ISC" and "\n" in x]
+KNOWN += known_texts()
 
 # Characters that count as white space when a text is made canonical.
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\t\x0b\x0c\r©“”‘’–—•"

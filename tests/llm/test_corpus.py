@@ -13,7 +13,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from foghorn.llm import bpe, chat, divergence, licences, lines, naming, neighbours, packing, simhash, toxicity
+from foghorn.llm import bpe, chat, divergence, licence_texts, licences, lines, naming, neighbours, packing, simhash, toxicity
 from foghorn.llm.common import SPACES, documents, table
 from foghorn.llm.components import connected_components
 from foghorn.llm.queries import ORACLES, QUERIES
@@ -307,6 +307,29 @@ def test_licence_in_other_dress(spark):
     }
 
 
+def test_common_licences_headers_and_tags(spark):
+    full = {n: (licence_texts.FOLDER / f"{n}.txt").read_text() for n in ("Apache-2.0", "GPL-3.0-only", "BSD-3-Clause")}
+    rows = [
+        (1, full["Apache-2.0"], "Apache-2.0"),
+        (2, full["GPL-3.0-only"].replace("\n", "\n  "), "GPL-3.0-only"),
+        (3, "Copyright (c) 2020, A. Person\nAll rights reserved.\n\n" + full["BSD-3-Clause"], "BSD-3-Clause"),
+        (4, "// SPDX-License-Identifier: MIT\nint x;", "MIT"),
+        (5, "a\nThis library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+            "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+            "License, or (at your option) any later version.\nb", "LGPL-2.1-or-later"),
+        (6, "a\nThis work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.\nb", "CC-BY-SA-4.0"),
+    ]
+    frame = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    got = {r.doc_id: r.license or r.line_licenses for r in licences.scan_licences(frame).collect()}
+    assert got == {i: want for i, _, want in rows}
+
+
+def test_no_known_form_names_two_licences(spark):
+    known = spark.createDataFrame(licences.KNOWN, "license string, text string")
+    forms = known.groupBy(licences.canonical(F.col("text")).alias("form")).agg(F.collect_set("license").alias("names"))
+    assert [r.names for r in forms.filter(F.size("names") > 1).collect()] == []
+
+
 def test_licences_of_odd_rows(odd):
     assert licences.scan_licences(odd).count() == len(ODD)
 

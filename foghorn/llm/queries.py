@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foghorn.llm import (
     bpe,
+    centroids,
     chat,
     divergence,
     licences,
@@ -19,7 +20,9 @@ from foghorn.llm import (
     naming,
     neighbours,
     packing,
+    ranked,
     simhash,
+    superminhash,
     toxicity,
 )
 from foghorn.llm.common import documents, table
@@ -77,6 +80,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("loss_tokens")
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_bpe,
         op10_packing,
+        op11_centroid_clusters,
+        op12_minhash_dedup,
+        op13_ranked_search,
     )
 }
 
@@ -114,4 +132,7 @@ SELECT conv_id, count(*) AS n_turns,
        regexp_full_match(string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u'
          WHEN 'assistant' THEN 'a' ELSE 'x' END, '' ORDER BY turn, role, text), 's?(ua)+') AS valid
 FROM c GROUP BY conv_id""",
+    "op11_centroid_clusters": centroids.clusters_sql(),
+    "op12_minhash_dedup": superminhash.near_duplicates_sql(),
+    "op13_ranked_search": ranked.search_sql(),
 }

@@ -11,7 +11,11 @@
 3. The full sets of the texts on edges, and no others, are computed in a second pass and joined to the
    edges; their intersection decides. Where an edge fails, its candidate sets are searched again
    without the failed pairs, until no edge fails: every forest then consists of true links.
-4. Components of the links are found by distributed union-find.
+4. A key with more than ``CELL`` texts isn't dealt out as pairs. First each of its texts is compared with
+   one hub, the text that has most of the large keys: where the key is one group of near copies, that
+   connects them by as many links as texts. Only keys that still hold several components are cut into
+   cells, in which those outside the hub's component meet the rest.
+5. Components of the links are found by distributed union-find.
 
 Texts of one word sequence are one node throughout, so copies cost a row each.
 """
@@ -177,22 +181,28 @@ class Searched:
         return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def forest(searched: Searched, failed: dict[int, set[int]]) -> list[tuple[int, int]]:
-    """Edges that connect the members between which no bound stands, and which haven't failed."""
+def forest(searched: Searched, failed: dict[int, set[int]], roots: Sequence) -> list[tuple[int, int]]:
+    """Edges that connect the members between which no bound stands, and which haven't failed.
+
+    Members of one root are connected already.
+    """
+    kin: dict[object, list[int]] = {}
+    for i, root in enumerate(roots):
+        kin.setdefault(root, []).append(i)
     edges = []
     for seed in range(len(searched.sizes)):
         if not searched.open[seed]:
             continue
-        searched.open[seed] = False
-        stack = [seed]
+        stack = kin[roots[seed]].copy()
+        searched.open[stack] = False
         while stack and searched.open.any():
             i = stack.pop()
-            near = searched.near(i)
-            if i in failed:
-                near = near[[j not in failed[i] for j in near.tolist()]]
-            searched.open[near] = False
-            edges.extend((i, j) for j in near.tolist())
-            stack.extend(sorted(near.tolist(), reverse=True))
+            near = searched.near(i).tolist()
+            for j in near:
+                if searched.open[j] and j not in failed.get(i, ()):
+                    edges.append((i, j))
+                    stack.extend(kin[roots[j]])
+                    searched.open[kin[roots[j]]] = False
     return edges
 
 
@@ -270,7 +280,7 @@ def forests(members: DataFrame, failed: DataFrame | None, settings: Settings) ->
     """``set_id``, ``a``, ``b``: a forest of each candidate set, whose failed pairs are given by set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, nodes, sizes, sketches, others in whole_groups(batches):
+        for ids, nodes, sizes, sketches, roots, others in whole_groups(batches):
             out: list[tuple[int, bytes, bytes]] = []
             for start, size in zip(*(x.tolist() for x in runs(ids)), strict=True):
                 group = slice(start, start + size)
@@ -283,7 +293,7 @@ def forests(members: DataFrame, failed: DataFrame | None, settings: Settings) ->
                         apart.setdefault(names[b], set()).add(names[a])
                 held = [np.frombuffer(sketches[i], np.uint64) for i in given]
                 searched = Searched(sizes[given].astype(np.int64), held, settings)
-                for i, j in forest(searched, apart):
+                for i, j in forest(searched, apart, [roots[i] for i in given]):
                     out.append((ids[start], *sorted((nodes[given[i]], nodes[given[j]]))))
             columns = zip(*out, strict=True) if out else ([], [], [])
             kinds = (pa.int64(), pa.binary(), pa.binary())
@@ -291,7 +301,7 @@ def forests(members: DataFrame, failed: DataFrame | None, settings: Settings) ->
                 [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["set_id", "a", "b"]
             )
 
-    rows = members.select("set_id", "node", "n", "sketch", F.lit(None).cast("binary").alias("other"))
+    rows = members.select("set_id", "node", "n", "sketch", "root", F.lit(None).cast("binary").alias("other"))
     if failed is not None:
         rows = rows.unionByName(
             failed.select(
@@ -299,6 +309,7 @@ def forests(members: DataFrame, failed: DataFrame | None, settings: Settings) ->
                 F.col("a").alias("node"),
                 F.lit(0).cast("bigint").alias("n"),
                 F.lit(None).cast("binary").alias("sketch"),
+                F.lit(None).cast("binary").alias("root"),
                 F.col("b").alias("other"),
             )
         )
@@ -316,15 +327,74 @@ def verified(edges: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame
     return pairs.select("a", "b", alike.alias("alike"))
 
 
+def hubs(inside: DataFrame) -> DataFrame:
+    """``key`` and ``hub``: of the members ``h1`` of each large key the one that has most large keys."""
+    degree = materialise(inside.groupBy("h1").agg(F.count(F.lit(1)).alias("degree")))
+    most = inside.join(degree, "h1").groupBy("key").agg(F.max(F.struct("degree", "h1")).alias("most"))
+    return materialise(most.select("key", F.col("most.h1").alias("hub"), F.col("most.degree").alias("degree")))
+
+
+def cells(inside: DataFrame, hub: DataFrame, rooted: DataFrame, cell: int) -> DataFrame:
+    """``set_id`` and ``h1`` of the large keys that are several components.
+
+    ``rooted`` has h1 and root. The members of the hub's component are cut into parts, and so are the
+    others; each part of the others meets every part of either.
+    """
+    named = materialise(inside.join(rooted, "h1").select("key", "h1", "root"))
+    centre = hub.join(rooted.select(F.col("h1").alias("hub"), F.col("root").alias("centre")), "hub").select("key", "centre")
+    named = named.join(materialise(centre), "key")
+    named = named.withColumn("out", (F.col("root") != F.col("centre")).cast("int")).drop("root", "centre")
+    parts = lambda n: F.ceil(n / (cell // 2)).cast("int")
+    count = named.groupBy("key").agg(
+        parts(F.sum(1 - F.col("out"))).alias("near_parts"), parts(F.sum("out")).alias("far_parts")
+    )
+    named = named.join(materialise(count.filter("far_parts > 0")), "key")
+    own = F.pmod(F.xxhash64("h1"), F.when(F.col("out") == 1, F.col("far_parts")).otherwise(F.col("near_parts")))
+    named = named.withColumn("part", own.cast("int"))
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    near = F.transform(upto("far_parts"), lambda q: F.xxhash64("key", F.lit("near"), "part", q))
+    far = F.concat(
+        F.transform(upto("near_parts"), lambda p: F.xxhash64("key", F.lit("near"), p, "part")),
+        F.transform(
+            upto("far_parts"),
+            lambda q: F.xxhash64("key", F.lit("far"), F.least(q, F.col("part")), F.greatest(q, F.col("part"))),
+        ),
+    )
+    return named.select(F.explode(F.when(F.col("out") == 1, far).otherwise(near)).alias("set_id"), "h1")
+
+
 def links(rows: DataFrame, docs: DataFrame, text_col: str, settings: Settings, cell: int = CELL) -> DataFrame:
     """Verified links ``a``, ``b`` between nodes, which connect all nodes that the bands bring together."""
-    nodes = rows.filter("keys is not null")
-    sets = stored(candidate_sets(nodes.select(F.explode("keys").alias("key"), "h1"), cell))
-    sketches = nodes.select("h1", "node", "n", "sketch").dropDuplicates(["node"])
-    members = stored(sets.join(sketches, "h1").select("set_id", "node", "h1", "n", "sketch"))
+    nodes = stored(rows.filter("keys is not null").dropDuplicates(["node"]).select("node", "h1", "n", "keys", "sketch"))
+    met = nodes.select(F.explode("keys").alias("key"), "h1")
+    count = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    large = materialise(count.filter(F.col("n") > cell).select("key"))
+    hot = not large.isEmpty()
+    sets = stored(candidate_sets(met.join(large, "key", "left_anti") if hot else met, cell))
+    wanted = sets.select("h1")
+    if hot:
+        inside = stored(met.join(large, "key"))
+        wanted = wanted.unionByName(inside.select("h1"))
+    full = stored(marked_sets(docs, text_col, candidate_marks(wanted), settings))
+    slim = nodes.select("h1", "node", "n", "sketch")
+    if hot:
+        hub = hubs(inside)
+        pairs = inside.join(hub, "key").groupBy("h1").agg(F.max(F.struct("degree", "hub")).alias("most"))
+        pairs = pairs.select("h1", F.col("most.hub").alias("hub")).filter("h1 <> hub")
+        name = slim.select("h1", F.col("node").alias("a"))
+        pairs = pairs.join(name, "h1").join(name.withColumnsRenamed({"h1": "hub", "a": "b"}), "hub")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        stars = stored(verified(pairs, full, settings))
+        roots = connected_components(stars.filter("alike")).select("node", "root")
+        slim = slim.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        slim = stored(slim.select("h1", "node", "n", "sketch", "root"))
+        sets = sets.unionByName(cells(inside, hub, slim.select("h1", "root"), cell))
+    else:
+        slim = slim.withColumn("root", F.col("node"))
+    members = stored(sets.join(slim, "h1").select("set_id", "node", "n", "sketch", "root"))
     found = stored(forests(members, None, settings))
-    full = stored(marked_sets(docs, text_col, candidate_marks(members), settings))
-    known = stored(verified(found.select("a", "b").distinct(), full, settings))
+    known = verified(found.select("a", "b").distinct(), full, settings)
+    known = stored(known.unionByName(stars).distinct() if hot else known)
     while True:
         wrong = known.filter("not alike").select("a", "b")
         again = materialise(found.join(wrong, ["a", "b"]).select("set_id").distinct())
@@ -336,7 +406,8 @@ def links(rows: DataFrame, docs: DataFrame, text_col: str, settings: Settings, c
         failed = wrong.join(held.withColumnRenamed("node", "a"), "a").join(
             held.withColumnRenamed("node", "b"), ["set_id", "b"]
         )
-        found = stored(forests(part, failed, settings))
+        # read back, for a union of frames that are partitioned alike may not be dealt out anew
+        found = stored(forests(stored(part), stored(failed), settings))
         fresh = found.select("a", "b").distinct().join(known, ["a", "b"], "left_anti")
         known = stored(known.unionByName(verified(fresh, full, settings)))
 

@@ -9,8 +9,8 @@
    Parity bits in which two sketches differ never exceed the elements that only one set has, so they
    rule pairs out strictly. A search through the pairs left gives a forest of edges for each set.
 3. The full sets of the texts on edges, and no others, are computed in a second pass and joined to the
-   edges; their intersection decides. Where an edge fails, its candidate sets are searched again
-   without the failed pairs, until no edge fails: every forest then consists of true links.
+   edges; their intersection decides. The candidate sets of edges that fail, as far as true links don't
+   connect their members anyway, are searched once more with the full sets at hand.
 4. A key with more than ``CELL`` texts isn't dealt out as pairs. First each of its texts is compared with
    one hub, the text that has most of the large keys: where the key is one group of near copies, that
    connects them by as many links as texts. Only keys that still hold several components are cut into
@@ -181,14 +181,23 @@ class Searched:
         return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def forest(searched: Searched, failed: dict[int, set[int]], roots: Sequence) -> list[tuple[int, int]]:
-    """Edges that connect the members between which no bound stands, and which haven't failed.
+def forest(searched: Searched, roots: Sequence, exact: Sequence[np.ndarray] | None) -> list[tuple[int, int]]:
+    """Edges that connect the members between which no bound stands; with full sets, the similar ones.
 
     Members of one root are connected already.
     """
     kin: dict[object, list[int]] = {}
     for i, root in enumerate(roots):
         kin.setdefault(root, []).append(i)
+    full: dict[int, set[int]] = {}
+
+    def alike(i: int, j: int) -> bool:
+        for k in (i, j):
+            if k not in full:
+                full[k] = set(exact[k].tolist())
+        both = len(full[i] & full[j])
+        return searched.s.denominator * both >= searched.s.numerator * (len(full[i]) + len(full[j]) - both)
+
     edges = []
     for seed in range(len(searched.sizes)):
         if not searched.open[seed]:
@@ -197,9 +206,8 @@ def forest(searched: Searched, failed: dict[int, set[int]], roots: Sequence) ->
         searched.open[stack] = False
         while stack and searched.open.any():
             i = stack.pop()
-            near = searched.near(i).tolist()
-            for j in near:
-                if searched.open[j] and j not in failed.get(i, ()):
+            for j in searched.near(i).tolist():
+                if searched.open[j] and (exact is None or alike(i, j)):
                     edges.append((i, j))
                     stack.extend(kin[roots[j]])
                     searched.open[kin[roots[j]]] = False
@@ -276,44 +284,30 @@ def marked_sets(docs: DataFrame, text_col: str, marks: np.ndarray, settings: Set
     return sets.dropDuplicates(["node"])
 
 
-def forests(members: DataFrame, failed: DataFrame | None, settings: Settings) -> DataFrame:
-    """``set_id``, ``a``, ``b``: a forest of each candidate set, whose failed pairs are given by set."""
+def forests(members: DataFrame, settings: Settings, exact: bool = False) -> DataFrame:
+    """``set_id``, ``a``, ``b``: a forest of each candidate set, of true links if the members have their ``items``.
+
+    A task holds one set at a time, which is bounded by ``CELL`` members.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, nodes, sizes, sketches, roots, others in whole_groups(batches):
+        for ids, nodes, sizes, sketches, roots, *items in whole_groups(batches):
             out: list[tuple[int, bytes, bytes]] = []
             for start, size in zip(*(x.tolist() for x in runs(ids)), strict=True):
                 group = slice(start, start + size)
-                given = [i for i in range(start, start + size) if others[i] is None]
-                names = {nodes[i]: at for at, i in enumerate(given)}
-                apart: dict[int, set[int]] = {}
-                for a, b in zip(nodes[group], others[group], strict=True):
-                    if b is not None:
-                        apart.setdefault(names[a], set()).add(names[b])
-                        apart.setdefault(names[b], set()).add(names[a])
-                held = [np.frombuffer(sketches[i], np.uint64) for i in given]
-                searched = Searched(sizes[given].astype(np.int64), held, settings)
-                for i, j in forest(searched, apart, [roots[i] for i in given]):
-                    out.append((ids[start], *sorted((nodes[given[i]], nodes[given[j]]))))
+                held = [np.frombuffer(x, np.uint64) for x in sketches[group]]
+                searched = Searched(sizes[group].astype(np.int64), held, settings)
+                full = items[0][group] if exact else None
+                for i, j in forest(searched, roots[group].tolist(), full):
+                    out.append((ids[start], *sorted((nodes[start + i], nodes[start + j]))))
             columns = zip(*out, strict=True) if out else ([], [], [])
             kinds = (pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["set_id", "a", "b"]
             )
 
-    rows = members.select("set_id", "node", "n", "sketch", "root", F.lit(None).cast("binary").alias("other"))
-    if failed is not None:
-        rows = rows.unionByName(
-            failed.select(
-                "set_id",
-                F.col("a").alias("node"),
-                F.lit(0).cast("bigint").alias("n"),
-                F.lit(None).cast("binary").alias("sketch"),
-                F.lit(None).cast("binary").alias("root"),
-                F.col("b").alias("other"),
-            )
-        )
-    dealt = rows.repartition(F.col("set_id")).sortWithinPartitions("set_id", "node", "other")
+    rows = members.select("set_id", "node", "n", "sketch", "root", *(["items"] if exact else []))
+    dealt = rows.repartition(F.col("set_id")).sortWithinPartitions("set_id", "node")
     return dealt.mapInArrow(run, "set_id bigint, a binary, b binary")
 
 
@@ -365,9 +359,9 @@ def cells(inside: DataFrame, hub: DataFrame, rooted: DataFrame, cell: int) -> Da
 
 def links(rows: DataFrame, docs: DataFrame, text_col: str, settings: Settings, cell: int = CELL) -> DataFrame:
     """Verified links ``a``, ``b`` between nodes, which connect all nodes that the bands bring together."""
-    nodes = stored(rows.filter("keys is not null").dropDuplicates(["node"]).select("node", "h1", "n", "keys", "sketch"))
-    met = nodes.select(F.explode("keys").alias("key"), "h1")
-    count = met.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    nodes = rows.filter("keys is not null")
+    met = nodes.select("node", "h1", "keys").dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "h1")
+    count = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     large = materialise(count.filter(F.col("n") > cell).select("key"))
     hot = not large.isEmpty()
     sets = stored(candidate_sets(met.join(large, "key", "left_anti") if hot else met, cell))
@@ -376,7 +370,9 @@ def links(rows: DataFrame, docs: DataFrame, text_col: str, settings: Settings, c
         inside = stored(met.join(large, "key"))
         wanted = wanted.unionByName(inside.select("h1"))
     full = stored(marked_sets(docs, text_col, candidate_marks(wanted), settings))
-    slim = nodes.select("h1", "node", "n", "sketch")
+    slim = nodes.select("h1", "node", "n", "sketch").dropDuplicates(["node"])
+    slim = stored(slim.join(full.select("node"), "node", "left_semi"))
+    rooted = slim.withColumn("root", F.col("node"))
     if hot:
         hub = hubs(inside)
         pairs = inside.join(hub, "key").groupBy("h1").agg(F.max(F.struct("degree", "hub")).alias("most"))
@@ -385,31 +381,26 @@ def links(rows: DataFrame, docs: DataFrame, text_col: str, settings: Settings, c
         pairs = pairs.join(name, "h1").join(name.withColumnsRenamed({"h1": "hub", "a": "b"}), "hub")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         stars = stored(verified(pairs, full, settings))
-        roots = connected_components(stars.filter("alike")).select("node", "root")
-        slim = slim.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        slim = stored(slim.select("h1", "node", "n", "sketch", "root"))
-        sets = sets.unionByName(cells(inside, hub, slim.select("h1", "root"), cell))
-    else:
-        slim = slim.withColumn("root", F.col("node"))
-    members = stored(sets.join(slim, "h1").select("set_id", "node", "n", "sketch", "root"))
-    found = stored(forests(members, None, settings))
+        rooted = with_roots(slim, stars)
+        sets = stored(sets.unionByName(cells(inside, hub, materialise(rooted.select("h1", "root")), cell)))
+    found = stored(forests(sets.join(rooted, "h1"), settings))
     known = verified(found.select("a", "b").distinct(), full, settings)
     known = stored(known.unionByName(stars).distinct() if hot else known)
-    while True:
-        wrong = known.filter("not alike").select("a", "b")
-        again = materialise(found.join(wrong, ["a", "b"]).select("set_id").distinct())
-        if again.isEmpty():
-            return known.filter("alike").select("a", "b")
-        # a failed pair counts for every set that holds both its nodes
-        part = members.join(again, "set_id", "left_semi")
-        held = part.select("set_id", "node")
-        failed = wrong.join(held.withColumnRenamed("node", "a"), "a").join(
-            held.withColumnRenamed("node", "b"), ["set_id", "b"]
-        )
-        # read back, for a union of frames that are partitioned alike may not be dealt out anew
-        found = stored(forests(stored(part), stored(failed), settings))
-        fresh = found.select("a", "b").distinct().join(known, ["a", "b"], "left_anti")
-        known = stored(known.unionByName(verified(fresh, full, settings)))
+    again = materialise(found.join(known.filter("not alike"), ["a", "b"]).select("set_id").distinct())
+    true = known.filter("alike").select("a", "b")
+    if again.isEmpty():
+        return true
+    part = stored(sets.join(again, "set_id").join(with_roots(slim, known), "h1").select("set_id", "node", "root"))
+    apart = part.groupBy("set_id").agg(F.countDistinct("root").alias("roots")).filter("roots > 1")
+    part = part.join(materialise(apart.select("set_id")), "set_id")
+    part = part.join(slim.drop("h1"), "node").join(full, "node")
+    return true.unionByName(stored(forests(part, settings, exact=True)).select("a", "b"))
+
+
+def with_roots(slim: DataFrame, known: DataFrame) -> DataFrame:
+    """``slim`` with the root that each node has by the true ones of ``known`` edges."""
+    roots = connected_components(known.filter("alike")).select("node", "root")
+    return slim.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def near_duplicates(

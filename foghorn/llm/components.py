@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, functions as F
 from foghorn.session import materialise
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected_components(
+    edges: DataFrame, a: str = "a", b: str = "b", keep: Callable[[DataFrame], DataFrame] = materialise
+) -> DataFrame:
     """``node`` and ``root``, the smallest node it is connected to, for every node of ``edges``.
 
     Distributed union-find by alternating stars: in a large-star round every node ties its larger
     neighbours to the smallest node it knows, in a small-star round it ties its smaller ones. Each
     round is an aggregation (combined before the shuffle) and a join, the edge count never grows
     beyond that of the input, and the number of rounds grows with the logarithm of the longest path.
-    The rounds are checkpointed; only counts and sums come to the driver. Null and self edges are
+    ``keep`` writes a round to the shared folder and reads it back; only counts and sums come to the driver. Null and self edges are
     ignored; an empty table gives no rows. Nodes are any ordered type.
     """
 
@@ -29,7 +31,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     def state(frame: DataFrame) -> tuple:
         return frame.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()[:]
 
-    current = materialise(directed(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))).distinct())
+    current = keep(directed(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))).distinct())
     before = state(current)
     while before[0]:
         # large star: larger neighbours of each node, and the node's smallest neighbour
@@ -38,12 +40,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         least = least.select("a", F.least("m", "a").alias("m"))
         larger = both.filter("b > a").join(least, "a")
         stars = larger.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        stars = materialise(stars)
+        stars = keep(stars)
         # small star: smaller neighbours of each node meet at the smallest of them
         low = stars.groupBy("a").agg(F.min("b").alias("m"))
         tied = stars.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         after = directed(tied.unionByName(low.select("a", F.col("m").alias("b")))).distinct()
-        current = materialise(after)
+        current = keep(after)
         now = state(current)
         if now == before:
             break

@@ -358,7 +358,7 @@ def cells(inside: DataFrame, hub: DataFrame, rooted: DataFrame, cell: int) -> Da
 
 
 def links(rows: DataFrame, docs: DataFrame, text_col: str, settings: Settings, cell: int = CELL) -> DataFrame:
-    """Verified links ``a``, ``b`` between nodes, which connect all nodes that the bands bring together."""
+    """Pairs ``a``, ``b`` of nodes with the components of the verified links among all that the bands bring together."""
     nodes = rows.filter("keys is not null")
     met = nodes.select("node", "h1", "keys").dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "h1")
     count = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -390,16 +390,19 @@ def links(rows: DataFrame, docs: DataFrame, text_col: str, settings: Settings, c
     true = known.filter("alike").select("a", "b")
     if again.isEmpty():
         return true
-    part = stored(sets.join(again, "set_id").join(with_roots(slim, known), "h1").select("set_id", "node", "root"))
+    rooted = stored(with_roots(slim, known))
+    part = stored(sets.join(again, "set_id").join(rooted, "h1").select("set_id", "node", "root"))
     apart = part.groupBy("set_id").agg(F.countDistinct("root").alias("roots")).filter("roots > 1")
     part = part.join(materialise(apart.select("set_id")), "set_id")
     part = part.join(slim.drop("h1"), "node").join(full, "node")
-    return true.unionByName(stored(forests(part, settings, exact=True)).select("a", "b"))
+    # a root stands for the links that lead to it
+    tied = rooted.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return tied.unionByName(stored(forests(part, settings, exact=True)).select("a", "b"))
 
 
 def with_roots(slim: DataFrame, known: DataFrame) -> DataFrame:
     """``slim`` with the root that each node has by the true ones of ``known`` edges."""
-    roots = connected_components(known.filter("alike")).select("node", "root")
+    roots = connected_components(known.filter("alike"), keep=stored).select("node", "root")
     return slim.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
@@ -423,7 +426,7 @@ def near_duplicates(
     gives no rows; other columns are dropped, whatever their names.
     """
     rows = stored(scan(docs, settings, id_col, text_col))
-    found = connected_components(links(rows, docs, text_col, settings, cell))
+    found = connected_components(links(rows, docs, text_col, settings, cell), keep=stored)
     worded = rows.filter("node is not null").select("doc_id", "node", "n")
     marks = worded.groupBy("node").agg(F.min("doc_id").alias("least"))
     named = materialise(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
+
+from pyspark.sql import Window as W, functions as F
 
 from foghorn.catalog.base import query, rounded
 from foghorn.plans import documented as doc, events as ev, interest as it
 from foghorn.operators import quantiles, rows
-from foghorn.sources import tables as tb
+from foghorn.session import ensure_checkpoint_dir
+from foghorn.sources import event_table, tables as tb
 
 _SCORE_SQL = f"""
 {tb.UNIVERSE_SQL}, {tb.EVENTS_SQL}, w(grp, cap, signal_type, weight) AS (
@@ -148,6 +151,64 @@ def append_keep_last(spark, sf_dir):
     )
 
 
+def _event_table(spark, sf_dir) -> str:
+    """An event table in the shared folder: order events, the signals, and the signals restated."""
+    folder = f"{ensure_checkpoint_dir(spark)}/events-{uuid.uuid4().hex}"
+    event_table.append(spark, folder, tb.order_events(spark, sf_dir))
+    event_table.append(spark, folder, tb.signal_events(spark, sf_dir))
+    event_table.append(spark, folder, _second_batch(spark, sf_dir))
+    return folder
+
+
+_EVENT_TABLE_SQL = f"""
+{tb.EVENTS_SQL}, {tb.ORDERS_SQL}, b AS (
+  SELECT company_id, signal_type, coalesce(url, '') AS url, ts, source, signal_strength, climate_score,
+         sentiment_score, 1 AS batch FROM e
+  UNION ALL
+  SELECT company_id, signal_type, CASE WHEN signal_type = 'click' THEN url || '/v2' ELSE url END, ts, source,
+         signal_strength * 2, climate_score, sentiment_score, 2 FROM e
+  UNION ALL
+  SELECT company_id, signal_type, '', ts, source, signal_strength, NULL, 0.0, 0 FROM oe
+), t AS (
+  SELECT * FROM b QUALIFY row_number() OVER (
+    PARTITION BY company_id, signal_type, url, ts
+    ORDER BY batch DESC, source DESC, signal_strength DESC, climate_score DESC, sentiment_score DESC) = 1
+)"""
+
+
+@query(f"""WITH {_EVENT_TABLE_SQL}
+SELECT company_id, signal_type, url, source, round(signal_strength, 6) AS signal_strength,
+       epoch_us(ts) AS ts_us FROM t""")
+def event_table_append(spark, sf_dir):
+    return event_table.read(spark, _event_table(spark, sf_dir)).select(
+        "company_id", "signal_type", "url", "source",
+        F.round("signal_strength", 6).alias("signal_strength"),
+        F.unix_micros("ts").alias("ts_us"),
+    )
+
+
+@query(f"""WITH {_EVENT_TABLE_SQL}
+SELECT strftime(ts, '%Y-%m') AS month, count(*) AS n, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us,
+       true AS in_order, true AS in_own_folder
+FROM t WHERE ts >= TIMESTAMP '1997-11-15' AND ts < TIMESTAMP '2024-01-20' GROUP BY ALL""")
+def event_table_months(spark, sf_dir):
+    """Some months read back: their files follow each other in time and lie in the folder of the month."""
+    part = event_table.read(spark, _event_table(spark, sf_dir), "1997-11-15", "2024-01-20")
+    files = part.withColumns({"file": F.input_file_name(), "us": F.unix_micros("ts")})
+    files = files.groupBy("file", event_table.month_of(F.col("ts")).alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("us").alias("low"), F.max("us").alias("high")
+    )
+    earlier = F.max("high").over(W.partitionBy("month").orderBy("low", "high").rowsBetween(W.unboundedPreceding, -1))
+    files = files.withColumn("follows", F.coalesce(earlier <= F.col("low"), F.lit(True)))
+    return files.groupBy("month").agg(
+        F.sum("n").alias("n"),
+        F.min("low").alias("first_us"),
+        F.max("high").alias("last_us"),
+        F.bool_and("follows").alias("in_order"),
+        F.bool_and(F.contains("file", F.concat(F.lit("month="), "month", F.lit("/")))).alias("in_own_folder"),
+    )
+
+
 @query(f"""WITH {tb.EVENTS_SQL}
 SELECT company_id, url, event_id, signal_type FROM e
 QUALIFY row_number() OVER (PARTITION BY company_id, url ORDER BY event_id) = 1""")

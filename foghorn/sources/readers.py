@@ -78,9 +78,21 @@ def read_universe(
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Event table with every column; an empty typed table when there is none."""
+    """Event table with every column; an empty typed table when there is none.
+
+    A folder with a manifest is read at its latest state.
+    """
+    from foghorn.sources import event_table
+
     if not exists(spark, path):
         return spark.createDataFrame([], EVENT)
+    if event_table.latest(spark, path):
+        return event_table.read(spark, path)
+    return read_plain_events(spark, path)
+
+
+def read_plain_events(spark: SparkSession, path: str) -> DataFrame:
+    """Events from files of any of the formats, without a manifest."""
     raw = read_any(spark, path)
     if dict(raw.dtypes).get("ts") == "string":
         raw = raw.withColumn("ts", dx.parse_ts(F.col("ts")))

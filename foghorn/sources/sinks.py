@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foghorn.functions import text as tx
-from foghorn.plans.events import EVENT_KEY, append_keep_last, canonical_events, union_events
+from foghorn.plans.events import EVENT_KEY, union_events
+from foghorn.sources import event_table
 from foghorn.sources.readers import exists, read_events
 
 
@@ -36,21 +36,6 @@ def write_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").text(path)
 
 
-def _swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Replace a table folder by its freshly written successor."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fresh = jvm.org.apache.hadoop.fs.Path(staged)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".old-" + uuid.uuid4().hex[:8])
-    had_table = fs.exists(target)
-    if had_table:
-        fs.rename(target, old)
-    fs.rename(fresh, target)
-    if had_table:
-        fs.delete(old, True)
-
-
 def append_events(
     spark: SparkSession,
     path: str,
@@ -61,17 +46,9 @@ def append_events(
 ) -> int:
     """Idempotent append to an event table; returns how many rows it grew by.
 
-    The merged table is written next to the old one and then takes its place, so
-    a lost executor or a failed job leaves the old table as it was.
+    Only the months that the rows touch are written anew, see ``event_table``.
     """
-    incoming = canonical_events(incoming, source, signal_type)
-    current = read_events(spark, path)
-    merged = append_keep_last(current, incoming, key)
-    staged = path.rstrip("/") + ".new-" + uuid.uuid4().hex[:8]
-    merged.write.parquet(staged)
-    grown = spark.read.parquet(staged).count() - current.count()
-    _swap(spark, staged, path)
-    return max(0, grown)
+    return event_table.append(spark, path, incoming, source, signal_type, key)
 
 
 def append_many(spark: SparkSession, path: str, frames: Sequence[DataFrame]) -> int:
@@ -85,5 +62,6 @@ def append_new_only(spark: SparkSession, path: str, incoming: DataFrame, key: st
     """Rows whose key the table does not hold yet."""
     if not exists(spark, path):
         return incoming
-    seen = spark.read.parquet(path).select(F.col(key)).distinct()
+    seen = read_events(spark, path) if event_table.latest(spark, path) else spark.read.parquet(path)
+    seen = seen.select(F.col(key)).distinct()
     return incoming.join(seen, key, "left_anti")

@@ -7,24 +7,78 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foghorn.functions import text as tx
-from foghorn.operators.rows import keep_one
-from foghorn.session import materialise
-
-# Names with more distinct tokens than this take the token-join path instead of
-# enumerating token subsets (2**n keys). Real company names stay far below it.
-SUBSET_TOKENS = 10
-
-
-def _subset_keys(tokens: Column, smallest: int = 2) -> Column:
-    """Every subset of a token array with at least ``smallest`` members, one per bit mask."""
-    masks = F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), F.size(tokens)) - 1)
-    wanted = F.filter(masks, lambda m: F.bit_count(m) >= smallest)
-    return F.transform(
-        wanted,
-        lambda m: F.filter(
-            tokens, lambda _t, i: F.call_function("shiftright", m, i).bitwiseAND(1) == 1
-        ),
+
+#: A token of more names than this is frequent: names that share nothing else are compared by their
+#: distinct sets of frequent tokens, not name by name. So a probe meets at most this many names.
+FREQUENT_NAMES = 1000
+
+
+def _by_rarity(names: DataFrame, tokens: str, rarity: DataFrame) -> DataFrame:
+    """``names`` with ``_ranked``: its tokens that ``rarity`` knows, as (n, token), rarest first."""
+    keys = names.columns
+    ranked = (
+        names.withColumn("_token", F.explode(tokens))
+        .join(rarity, "_token")
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.struct("_n", "_token"))).alias("_ranked"))
+    )
+    return ranked.filter(F.size("_ranked") >= 2)
+
+
+def token_index(ranked: DataFrame, frequent: int = FREQUENT_NAMES) -> DataFrame:
+    """A row per name and indexed token, fewer than its tokens.
+
+    Two names that share two tokens share a token that is not the most frequent of either, so that one
+    is left out; frequent tokens are left out as well.
+    """
+    rare = F.filter(F.slice("_ranked", 1, F.size("_ranked") - 1), lambda t: t["_n"] <= frequent)
+    return ranked.withColumn("_token", F.explode(F.transform(rare, lambda t: t["_token"])))
+
+
+def _found(shared: Column, rank: str) -> Column:
+    """Orders hits: more shared tokens first, then the lower rank."""
+    return F.struct((-shared).cast("bigint").alias("less"), F.col(rank).alias("rank"))
+
+
+def _contained(q: DataFrame, c: DataFrame) -> DataFrame:
+    """``c`` once for every first token of a query that its name contains.
+
+    Found by an equi-join on the name's substrings rather than a containment join.
+    """
+    firsts = q.select("_first").distinct()
+    words = c.select("_cnorm", F.explode(F.split("_cnorm", " ")).alias("_word")).distinct()
+    pieces = (
+        words.filter(F.length("_word") > 1)
+        .withColumn("_from", F.explode(F.sequence(F.lit(1), F.length("_word") - 1)))
+        .withColumn("_len", F.explode(F.sequence(F.lit(2), F.length("_word") - F.col("_from") + 1)))
+        .select("_cnorm", F.expr("substring(_word, _from, _len)").alias("_first"))
+        .distinct()
     )
+    return c.join(pieces.join(firsts, "_first", "left_semi"), "_cnorm")
+
+
+def _frequent_tokens(column: str, frequent: int) -> Column:
+    return F.transform(F.filter(column, lambda t: t["_n"] > frequent), lambda t: t["_token"])
+
+
+def _frequent_hits(open_q: DataFrame, ranked_c: DataFrame, rule: bool, frequent: int) -> DataFrame:
+    """Hits of names that share only frequent tokens: each distinct set of them is compared once.
+
+    A set keeps the lowest rank among its names, so names of one set cost one row however many they are.
+    """
+    on = ["_first"] if rule else []
+    q = open_q.withColumn("_qfreq", _frequent_tokens("_ranked", frequent))
+    c = ranked_c.withColumn("_cfreq", _frequent_tokens("_ranked", frequent)).filter(F.size("_cfreq") >= 2)
+    if rule:
+        c = _contained(q, c)
+    c = c.groupBy(*on, "_cfreq").agg(F.min("_rank").alias("_rank"))
+    rest = lambda a: F.explode(F.slice(a, 1, F.size(a) - 1)).alias("_token")
+    pairs = q.select(*on, "_qfreq", rest("_qfreq")).distinct().join(
+        c.select(*on, "_cfreq", "_rank", rest("_cfreq")), [*on, "_token"]
+    )
+    shared = F.size(F.array_intersect("_qfreq", "_cfreq"))
+    best = pairs.filter(shared >= 2).groupBy(*on, "_qfreq").agg(F.min(_found(shared, "_rank")).alias("_hit"))
+    return q.join(best, [*on, "_qfreq"]).drop("_qfreq")
 
 
 def best_token_match(
@@ -34,97 +88,61 @@ def best_token_match(
     candidate_tokens: str,
     candidate_rank: str,
     candidate_norm: str | None = None,
+    frequent: int = FREQUENT_NAMES,
 ) -> DataFrame:
     """Best candidate per query by number of shared distinct tokens (two or more).
 
     Both inputs hold one row per distinct normalised name. Returns the query
     frame's columns plus ``_rank`` (the lowest ``candidate_rank`` among the
     candidates with most shared tokens) and ``_shared``; queries without a
-    candidate are left out.
-
-    Candidates are indexed by token *subset*: a subset's row keeps only the
-    lowest rank, so a token shared by a third of all names costs one index row
-    and no candidate pairs are ever emitted. The largest subset of the query's
-    tokens found in the index is the best match. With ``candidate_norm`` a
-    candidate must also contain the query's first token as a substring; the
-    index is then keyed by (first token, subset).
+    candidate are left out. With ``candidate_norm`` a candidate must also
+    contain the query's first token as a substring.
+
+    Tokens are ordered by rarity among the candidates, and the rarest token that
+    two names share leads from one to the other. The query's rarest token is
+    probed first. A candidate first met at the j-th of k tokens shares k - j + 1
+    at most, so the other tokens are probed only as far as that bound reaches the
+    best hit. Frequent tokens are never probed name by name, see
+    ``_frequent_hits``. The index has fewer rows than the names have tokens.
     """
-    # both name lists are read several times below: written once, not recomputed
-    q = queries.withColumn("_qset", F.array_sort(F.array_distinct(query_tokens))).filter(
-        F.size(query_tokens) >= 2
-    )
+    own = queries.columns
+    q = queries.withColumn("_qset", F.array_distinct(query_tokens)).filter(F.size(query_tokens) >= 2)
     if candidate_norm:
         q = q.withColumn("_first", F.element_at(F.col(query_tokens), 1))
-    q = materialise(q)
     c = candidates.select(
-        F.array_sort(F.array_distinct(candidate_tokens)).alias("_cset"),
+        F.array_distinct(candidate_tokens).alias("_cset"),
         F.col(candidate_rank).alias("_rank"),
         *([F.col(candidate_norm).alias("_cnorm")] if candidate_norm else []),
     ).filter(F.size("_cset") >= 2)
-    c = materialise(c)
-    any_long = not (
-        q.filter(F.size("_qset") > SUBSET_TOKENS).isEmpty()
-        and c.filter(F.size("_cset") > SUBSET_TOKENS).isEmpty()
-    )
+    rarity = c.select(F.explode("_cset").alias("_token")).groupBy("_token").agg(F.count(F.lit(1)).alias("_n"))
+    q = _by_rarity(q, "_qset", rarity)
+    ranked_c = _by_rarity(c, "_cset", rarity)
+    index = token_index(ranked_c, frequent).drop("_ranked")
 
-    keys = ["_key"]
+    shared = F.size(F.array_intersect("_qset", "_cset"))
+    good = shared >= 2
     if candidate_norm:
-        keys = ["_first", "_key"]
-        c = c.join(_contained_first_tokens(q, c), "_cnorm")
-    short_q = q.filter(F.size("_qset") <= SUBSET_TOKENS)
-    short_c = c.filter(F.size("_cset") <= SUBSET_TOKENS)
-
-    index = (
-        short_c.withColumn("_key", F.explode(_subset_keys(F.col("_cset"))))
-        .withColumn("_key", F.array_join("_key", " "))
-        .groupBy(*keys)
-        .agg(F.min("_rank").alias("_rank"))
-    )
-    probes = (
-        short_q.withColumn("_subset", F.explode(_subset_keys(F.col("_qset"))))
-        .withColumn("_key", F.array_join("_subset", " "))
-        .withColumn("_shared", F.size("_subset").cast("bigint"))
-        .drop("_subset")
-    )
-    hits = probes.join(index, keys).drop("_key")
-    if any_long:
-        hits = hits.unionByName(_long_name_hits(q, c, short_q.columns, candidate_norm))
-    best = keep_one(hits, queries.columns, [F.col("_shared").desc(), F.col("_rank").asc()])
-    return best.select(*queries.columns, "_rank", "_shared")
-
-
-def _contained_first_tokens(q: DataFrame, c: DataFrame) -> DataFrame:
-    """(candidate name, query first token) for every first token inside the name.
-
-    Found by an equi-join on the name's substrings rather than a containment
-    join, so no candidate is compared with every query.
-    """
-    firsts = q.select("_first").distinct()
-    words = c.select("_cnorm", F.explode(F.split("_cnorm", " ")).alias("_word")).distinct()
-    pieces = (
-        words.filter(F.length("_word") > 1)
-        .withColumn("_from", F.explode(F.sequence(F.lit(1), F.length("_word") - 1)))
-        .withColumn("_len", F.explode(F.sequence(F.lit(2), F.length("_word") - F.col("_from") + 1)))
-        .select("_cnorm", F.expr("substring(_word, _from, _len)").alias("_first"))
-        .distinct()
-    )
-    return pieces.join(firsts, "_first", "left_semi")
-
-
-def _long_name_hits(
-    q: DataFrame, c: DataFrame, columns: Sequence[str], candidate_norm: str | None
-) -> DataFrame:
-    """Exact overlap counts when either side has too many tokens to enumerate."""
-    big = lambda col: F.size(col) > SUBSET_TOKENS
-    q_tok = q.withColumn("_t", F.explode("_qset")).withColumn("_qbig", big("_qset"))
-    c_tok = c.withColumn("_t", F.explode("_cset")).withColumn("_cbig", big("_cset"))
-    on = ["_t", "_first"] if candidate_norm else ["_t"]
-    long_q = q_tok.filter("_qbig").join(c_tok, on)
-    long_c = q_tok.filter("NOT _qbig").join(c_tok.filter("_cbig"), on)
-    pairs = long_q.unionByName(long_c)
-    group = [*columns, "_cset", "_rank"]
-    shared = pairs.groupBy(*group).agg(F.count(F.lit(1)).alias("_shared"))
-    return shared.filter(F.col("_shared") >= 2).drop("_cset")
+        good = good & F.contains("_cnorm", F.col("_first"))
+    hit = F.when(good, _found(shared, "_rank"))
+    columns = q.columns
+
+    rarest = F.element_at("_ranked", 1)
+    probe = F.when(rarest["_n"] <= frequent, rarest["_token"])
+    first = q.withColumn("_token", probe).join(index, "_token", "left")
+    first = first.groupBy(*columns).agg(F.min(hit).alias("_hit"))
+
+    most = F.greatest(F.lit(2), F.coalesce(-F.col("_hit.less"), F.lit(0)))
+    reach = F.filter(  # the j-th token, from 0, of k leads to k - j shared ones at most
+        F.transform("_ranked", lambda t, j: F.struct(t["_n"].alias("n"), t["_token"].alias("token"), j.alias("j"))),
+        lambda t: (t["j"] > 0) & (t["n"] <= frequent) & (F.size("_ranked") - t["j"] >= most),
+    )
+    later = first.withColumn("_token", F.explode(F.transform(reach, lambda t: t["token"]))).drop("_hit")
+    later = later.join(index, "_token").filter(good).groupBy(*columns).agg(F.min(hit).alias("_hit"))
+    open_q = first.filter(F.size(_frequent_tokens("_ranked", frequent)) >= most).drop("_hit")
+    tail = _frequent_hits(open_q, ranked_c, bool(candidate_norm), frequent)
+    hits = first.filter("_hit is not null").unionByName(later).unionByName(tail.select(*columns, "_hit"))
+    best = hits.groupBy(*own).agg(F.min("_hit").alias("_hit"))
+    return best.select(*own, F.col("_hit.rank").alias("_rank"), (-F.col("_hit.less")).alias("_shared"))
 
 
 def match_members(

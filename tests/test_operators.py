@@ -124,6 +124,30 @@ def test_token_match_equals_brute_force(spark, long_every, need_first):
     assert {r[0]: r[1] for r in got} == _brute_token_match(members, universe, need_first)
 
 
+@pytest.mark.parametrize("frequent", [0, 3, 12])
+@pytest.mark.parametrize("need_first", [True, False])
+def test_token_match_of_frequent_tokens_equals_brute_force(spark, need_first, frequent):
+    universe, members = _names(5, 80, 5), _names(6, 60, 7)
+    least = {}
+    for uid, name in universe:
+        least.setdefault(_norm(name), uid)
+    c = spark.createDataFrame([(n, _tokens(n), i) for n, i in least.items()], "norm string, tokens array<string>, rank int")
+    asked = sorted({_norm(n) for _, n in members})
+    q = spark.createDataFrame([(n, _tokens(n)) for n in asked], "name string, asked array<string>")
+    found = matching.best_token_match(q, "asked", c, "tokens", "rank", "norm" if need_first else None, frequent)
+    got = {r["name"]: str(r["_rank"]) for r in found.collect()}
+    assert got == _brute_token_match([(n, n) for n in asked], [(i, n) for n, i in least.items()], need_first)
+
+
+def test_token_index_is_linear_in_tokens(spark):
+    rows = [(i, [f"r{i}", "the", "group", *[f"t{i % 7}-{j}" for j in range(18)]]) for i in range(200)]
+    c = spark.createDataFrame(rows, "_rank int, _cset array<string>")
+    rarity = c.select(F.explode("_cset").alias("_token")).groupBy("_token").agg(F.count(F.lit(1)).alias("_n"))
+    index = matching.token_index(matching._by_rarity(c, "_cset", rarity), 100)
+    assert index.count() == 200 * 19 < sum(len(t) for _, t in rows)
+    assert index.filter("_token in ('the', 'group')").isEmpty()
+
+
 def test_cascade_covers_each_member_once_and_prefers_id(spark):
     u = spark.createDataFrame(
         [("1", "Árbol Verde SA"), ("2", "Arbol Verde S.A."), ("3", "Banco del Norte Andino")],

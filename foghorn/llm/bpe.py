@@ -222,12 +222,12 @@ SHORT = 24  # bytes of a word that fit the three integers of its key
 class WordTable:
     """Numbers of short words, found for a whole slice of text at once.
 
-    Open addressing over arrays. A key is the word's bytes themselves in three integers, so equal
-    keys are equal words.
+    Open addressing over arrays, which grow before more than half of the slots are taken. A key is
+    the word's bytes themselves in three integers, so equal keys are equal words.
     """
 
     def __init__(self, bits: int):
-        self.bits = bits
+        self.bits, self.held = bits, 0
         self.keys = np.zeros((3, 1 << bits), np.uint64)
         self.number = np.full(1 << bits, -1, np.int32)
 
@@ -256,6 +256,12 @@ class WordTable:
 
     def add(self, keys: np.ndarray, numbers: np.ndarray) -> None:
         """Enter keys that are distinct and not in the table."""
+        if 2 * (self.held + keys.shape[1]) > 1 << self.bits:
+            taken = np.flatnonzero(self.number >= 0)
+            keys = np.concatenate([self.keys[:, taken], keys], axis=1)
+            numbers = np.concatenate([self.number[taken], numbers])
+            self.__init__((2 * keys.shape[1]).bit_length())
+        self.held += keys.shape[1]
         last = (1 << self.bits) - 1
         slots, rest = self._slots(keys), np.arange(keys.shape[1])
         while len(rest):

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from foghorn.operators.rows import keep_one
 from foghorn.session import ensure_checkpoint_dir, spread
 from foghorn.sources.tables import table
 
@@ -85,3 +86,9 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 def bounded_sample(labelled: DataFrame, key: str, rows: int) -> DataFrame:
     """At most ``rows`` rows, those of smallest key hash: a distributed take-ordered."""
     return labelled.orderBy(F.xxhash64(F.lit("sample"), F.col(key)), F.col(key)).limit(rows)
+
+
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """One row per ``_id`` of ``_id, label, text``: that of smallest text digest, then of smallest label."""
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    return keep_one(rows.withColumn("_sha", digest), ["_id"], [F.col("_sha"), F.col("label")]).drop("_sha")

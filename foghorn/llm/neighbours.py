@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from foghorn.llm.common import Shipped, bounded_sample, held_out, map_batches, text_of
+from foghorn.llm.common import Shipped, bounded_sample, held_out, map_batches, one_text_each, text_of
 
 
 @dataclass(frozen=True)
@@ -143,7 +143,8 @@ def train(
 ) -> Voters:
     """Learn from at most ``sample_rows`` labelled rows outside the held-out fold (count, number).
 
-    Only term counts of these rows reach the driver. Rows without a label or an id are left out.
+    Only term counts of these rows reach the driver. Rows without a label or an id are left out;
+    of several texts or labels of one id the text of smallest digest, then the smallest label, is taken.
     """
     usable = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
     usable = usable.filter(~held_out(F.col("doc_id"), *fold)).select(
@@ -151,7 +152,7 @@ def train(
     )
     sample = bounded_sample(usable, "_id", settings.sample_rows)
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("text"))
-    rows = rows.join(F.broadcast(sample), "_id").select("_id", "label", "text")
+    rows = one_text_each(rows.join(F.broadcast(sample), "_id").select("_id", "label", "text"))
 
     def terms(batch: pa.RecordBatch) -> pa.RecordBatch:
         classes = byte_classes()

@@ -2,6 +2,8 @@
 
 import collections
 import hashlib
+import itertools
+import math
 import random
 import re
 
@@ -13,8 +15,11 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from foghorn.llm import bpe, chat, divergence, licence_texts, licences, lines, naming, neighbours, packing, simhash, toxicity
-from foghorn.llm.common import SPACES, documents, table
+from foghorn.llm import (
+    bpe, centroids, chat, divergence, licence_texts, licences, lines, naming, neighbours, packing, ranked, simhash,
+    superminhash, toxicity,
+)
+from foghorn.llm.common import SPACES, documents, one_text_each, table
 from foghorn.llm.components import connected_components
 from foghorn.llm.queries import ORACLES, QUERIES
 from tools.check import compare, connect
@@ -78,7 +83,7 @@ def test_query_against_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_empty_tables(empty, labels):
@@ -91,6 +96,7 @@ def test_empty_tables(empty, labels):
     assert toxicity.score_documents(empty, labels).count() == 0
     assert bpe.round_trip_digests(empty, PATH).count() == 0
     assert packing.pack_examples(empty, PATH).count() == 0
+    assert superminhash.near_duplicates(empty).count() == 0
 
 
 def test_stages_keep_columns(odd, empty, labels):
@@ -547,3 +553,198 @@ def test_packing_under_all_limits():
         own = sorted((p.start, p.length) for p in pieces if p.key == i)
         assert own[0][0] == 0 and sum(n for _, n in own) == sizes[i]
         assert all(a + n == b for (a, n), (b, _) in zip(own, own[1:]))
+
+
+# --- op11 to op13, and bounds ---------------------------------------------------------------------
+
+
+def test_encoder_takes_more_distinct_words_than_its_table_begins_with():
+    alphabet = "abcdefghijklmnopqrstuvwxyz0123456789"
+    words = ["".join(w) for w in itertools.islice(itertools.product(alphabet, repeat=4), 1_200_000)]
+    random.Random(1).shuffle(words)
+    text = " ".join(words)
+    library = Tokenizer.from_file(PATH)
+    library.no_truncation()
+    library.no_padding()
+    got = next(iter(bpe.Encoder(bpe.Vocabulary(PATH)).encode([text])))
+    assert np.array_equal(got, library.encode(text, add_special_tokens=False).ids)
+
+
+def test_sample_bounds_documents_of_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, prose(30, i)) for i in range(200)] + [(3, prose(40, 1))], "doc_id bigint, text string")
+    given = spark.createDataFrame([(1, 1, 1), (1, 0, 0), (3, 0, 0)], "doc_id bigint, quality int, toxic int")
+    joined = docs.select(F.col("doc_id").alias("_id"), "text").join(given.select(F.col("doc_id").alias("_id"), F.col("quality").alias("label")), "_id")
+    rows = {r["_id"]: (r["label"], r["text"]) for r in one_text_each(joined).collect()}
+    first = min((prose(30, i) for i in range(200)), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert rows == {1: (0, first), 3: (0, prose(40, 1))}
+    for module in (neighbours, toxicity):
+        assert module.score_documents(docs, given).count() == 201
+
+
+VECTORS = "vec_id bigint, embedding array<float>, cluster string, x int"
+
+
+def brute_clusters(rows, s):
+    kept = []
+    for i, v in rows:
+        if v is not None and len(v) == s.dimensions and all(x is not None and math.isfinite(x) for x in v):
+            kept.append((i, [math.floor(float(np.float32(x)) * s.scale) for x in v]))
+    key = lambda r: (r[0] is None, hashlib.sha256(f"{s.salt}:{r[0]}".encode()).hexdigest(), r[1])
+    means = [v for _, v in sorted(kept, key=key)[: s.clusters]]
+    gap = lambda v, m: sum((a - b) ** 2 for a, b in zip(v, m))
+    near = lambda v: min((gap(v, m), k) for k, m in enumerate(means))
+    for _ in range(s.rounds):
+        own = [near(v)[1] for _, v in kept]
+        for k in range(len(means)):
+            group = [v for (_, v), c in zip(kept, own) if c == k]
+            if group:
+                means[k] = [sum(x) // len(group) for x in zip(*group)]
+    found = [near(v) for _, v in kept]
+    inertia = collections.Counter()
+    for d, k in found:
+        inertia[k] += d
+    sha = [hashlib.sha256(",".join(map(str, m)).encode()).hexdigest() for m in means]
+    out = [(i, k, d, inertia[k], sum(inertia.values()), sha[k]) for (i, _), (d, k) in zip(kept, found)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block", [3, 4096])
+def test_clusters_equal_brute_force(spark, block, monkeypatch):
+    rnd = random.Random(4)
+    s = centroids.Settings(clusters=3, dimensions=4, rounds=4)
+    rows = [(i, [rnd.choice([-1.5, 0.25, rnd.uniform(-1, 1)]) for _ in range(4)]) for i in range(40)]
+    rows += [(None, [0.1] * 4), (5, [0.1] * 4), (5, [0.1] * 4), (6, None), (7, []), (8, [1.0, None, 0.0, 0.0])]
+    rows += [(9, [float("nan")] * 4), (10, [float("inf"), 0.0, 0.0, 0.0]), (11, [1.0] * 5)]
+    monkeypatch.setattr(centroids.blocks, "__defaults__", (block,))
+    df = spark.createDataFrame([(i, v, "c", 1) for i, v in rows], VECTORS)
+    got = centroids.cluster_vectors(df, s)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_clusters(rows, s)
+    few = [(1, [0.5] * 4), (1, [0.5] * 4)]
+    got = centroids.cluster_vectors(spark.createDataFrame([(i, v, "c", 1) for i, v in few], VECTORS), s)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_clusters(few, s)
+
+
+def test_huge_components_count_as_the_largest(spark):
+    s = centroids.Settings(clusters=2, dimensions=2, rounds=1)
+    df = spark.createDataFrame([(1, [3e38, -3e38]), (2, [0.0, 0.0])], "vec_id bigint, embedding array<float>")
+    assert {r["distance"] for r in centroids.cluster_vectors(df, s).collect()} == {0}
+    assert centroids.cluster_vectors(df.limit(0), s).count() == 0
+
+
+def super_minhash(items, length):
+    """The signature of one set, an element and a step at a time."""
+    word = lambda x: x & 0xFFFFFFFFFFFFFFFF
+
+    def mixed(x):
+        x = word((x ^ x >> 30) * 0xBF58476D1CE4E5B9)
+        x = word((x ^ x >> 27) * 0x94D049BB133111EB)
+        return x ^ x >> 31
+
+    least = [(1 << 64) - 1] * length
+    for item in items:
+        order = list(range(length))
+        for step in range(length):
+            drawn = mixed(word(item + (step + 1) * 0x9E3779B97F4A7C15))
+            other = step + (drawn & 0xFFFFFFFF) % (length - step)
+            order[step], order[other] = order[other], order[step]
+            least[order[step]] = min(least[order[step]], (step << 32) + (drawn >> 32))
+    return least
+
+
+def test_signatures_equal_the_walk_of_each_element():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (1, 2, 7, 60, 400)]
+    got = superminhash.signatures(sets, 24)
+    assert [row.tolist() for row in got] == [super_minhash(x.tolist(), 24) for x in sets]
+    a = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    b = np.concatenate([a[:2000], rng.integers(0, 1 << 63, 1000, dtype=np.uint64)])
+    x, y = superminhash.signatures([a, b], 2048)
+    assert abs((x == y).mean() - 0.5) < 0.04
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 600), st.integers(0, 200), st.integers(0, 2**32))
+def test_sketches_never_exceed_the_difference(n, apart, seed):
+    rng = np.random.default_rng(seed)
+    a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    b = np.concatenate([a[apart:], rng.integers(0, 1 << 63, apart, dtype=np.uint64)]) if apart < n else a[:1]
+    x, y = superminhash.parity_sketch(a), superminhash.parity_sketch(b)
+    size = min(len(x), len(y))
+    bits = int(np.bitwise_count(superminhash._folded(x, size) ^ superminhash._folded(y, size)).sum())
+    assert bits <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def brute_near(rows, k=4):
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        sets.append({b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j])
+        if sets[i] and sets[j] and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+            root[find(j)] = find(i)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        known = least.setdefault(find(i), doc)
+        if doc is not None and (known is None or doc < known):
+            least[find(i)] = doc
+    return sorted(((d, len(sets[i]), least[find(i)], d == least[find(i)]) for i, (d, _) in enumerate(rows)), key=repr)
+
+
+@pytest.mark.parametrize("cell", [1024, 16])
+def test_minhash_dedup_equals_brute_force(spark, cell):
+    rnd = random.Random(11)
+    rows = [(r[0], r[1]) for r in ODD] + [(20, "a b c"), (21, "A  B\nc"), (22, "a b"), (23, "b c")]
+    for group, size, edits in ((0, 60, 4), (1, 40, 6), (2, 3, 1)):
+        base = prose(140, 100 + group).split()
+        base = [f"{w}{rnd.randrange(30)}" for w in base]
+        for _ in range(size):
+            text = base.copy()
+            for _ in range(rnd.randrange(edits)):
+                text[rnd.randrange(len(text))] = f"x{rnd.randrange(10**6)}"
+            rows.append((100 + len(rows), " ".join(text)))
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, node int").repartition(3)
+    got = superminhash.near_duplicates(df, cell=cell)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_near(rows)
+
+
+def brute_search(docs, items, s=ranked.Settings()):
+    cut = lambda t: re.findall(rb"[0-9A-Za-z\x80-\xff]+", (t or "").encode())
+    found = [(i, collections.Counter(w.lower() for w in cut(t))) for i, t in docs]
+    found = [(i, c) for i, c in found if c]
+    n, total = len(found), sum(sum(c.values()) for _, c in found)
+    df = collections.Counter(w for _, c in found for w in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for doc, c in found:
+            m = 10 + (90 * sum(c.values()) * n) // total
+            score = 0
+            for w in {w.lower() for w in cut(text)} & set(c):
+                weight = math.floor(1000 * math.log((2 * n + 2) / (2 * df[w] + 1)))
+                score += weight * ((10**9 * c[w]) // (1000 * c[w] + 8 * m))
+            if score > 0:
+                scored.append((-score, doc is None, doc))
+        for rank, (score, _, doc) in enumerate(sorted(scored)[:10], 1):
+            out.append((item, rank, doc, -score))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("bucket, bundle", [(4096, 256), (5, 2)])
+def test_search_equals_brute_force(spark, bucket, bundle, monkeypatch):
+    monkeypatch.setattr(ranked, "BUCKET", bucket)
+    monkeypatch.setattr(ranked, "BUNDLE", bundle)
+    docs = [(r[0], r[1]) for r in ODD if r[0] != 5] + [(100 + i, prose(20 + i, i) + f" Éa {i % 3}x") for i in range(40)]
+    items = [(1, "River the MOUNTAIN 1x éA"), (2, ""), (3, None), (4, "nothing-known-here"), (5, "spam ünï"), (None, "of and slowly"), (1, "people people 2x")]
+    d = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id bigint, text string, bucket int")
+    q = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id bigint, text string, item int")
+    got = ranked.search(d, q)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_search(docs, items)
+    assert ranked.search(d.limit(0), q).count() == ranked.search(d, q.limit(0)).count() == 0

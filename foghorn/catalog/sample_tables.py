@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from foghorn.catalog.base import query, rounded
 from foghorn.operators import rows
 from foghorn.plans import sampling as sp
+from foghorn.session import ensure_checkpoint_dir
 from foghorn.sources import tables as tb
 from foghorn.streaming import events as st
 
@@ -200,6 +201,38 @@ def streaming_append(spark, sf_dir):
     return kept.groupBy("company_id", "signal_type", "url").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""WITH b AS (
+  SELECT 0 AS batch, * FROM events UNION ALL
+  SELECT 1, * REPLACE (value * 2 AS value) FROM events WHERE event_type IN ('purchase', 'signup') UNION ALL
+  SELECT 2, * REPLACE (value * 3 AS value) FROM events WHERE ts < TIMESTAMP '2024-01-10' AND event_type <> 'view')
+SELECT CAST(user_id AS VARCHAR) AS company_id, event_type AS signal_type, epoch_us(ts) AS ts_us,
+       json_extract_string(props, '$.k') AS k, round(value / 500.0::DOUBLE, 6) AS signal_strength FROM b
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type, ts, json_extract_string(props, '$.k')
+                           ORDER BY batch DESC, event_id DESC) = 1""")
+def streaming_last_arrival(spark, sf_dir):
+    """Three files in three micro-batches, the last one late: the newest arrival of a key is kept."""
+    events = tb.table(spark, sf_dir, "events")
+    folder = f"{ensure_checkpoint_dir(spark)}/{_run_name('files')}"
+    for factor, kept in ((1, "true"), (2, "event_type IN ('purchase', 'signup')"),
+                         (3, "ts < TIMESTAMP_NTZ '2024-01-10' AND event_type <> 'view'")):
+        part = events.filter(kept).withColumn("value", F.col("value") * factor)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream = stream.select(
+        F.col("user_id").cast("string").alias("company_id"),
+        F.col("event_type").alias("signal_type"),
+        F.get_json_object("props", "$.k").alias("k"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        "event_id",
+        "value",
+    )
+    kept = st.run_available(stream, _run_name("last"), ["company_id", "signal_type", "k", "ts"], every=2)
+    return kept.select(
+        "company_id", "signal_type", F.unix_micros("ts").alias("ts_us"), "k",
+        F.round(F.col("value") / 500.0, 6).alias("signal_strength"),
+    )
+
+
 @query("""SELECT strftime(time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d') AS window_start, event_type AS signal_type,
   count(*) AS total_signals, round(sum(value / 500.0::DOUBLE), 4) AS total_strength FROM events GROUP BY ALL""")
 def streaming_volume(spark, sf_dir):

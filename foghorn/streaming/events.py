@@ -60,37 +60,87 @@ def with_dimension(events: DataFrame, companies: DataFrame, key: str = "company_
     return events.join(companies, key, "left")
 
 
-def keep_last_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that keeps every batch under its id.
+class BatchFolders:
+    """Folders of micro-batches, merged by level as in a log-structured table.
 
-    A replayed batch replaces its own output; :func:`read_last` shows the newest
-    row per key.
+    A folder ``batches=<first>-<last>`` holds the newest row per key of a range of batches. As soon as
+    ``every`` folders of one size stand side by side they are merged into one, so a state of n batches is
+    some ``every * log n`` folders and a row is rewritten ``log n`` times. A merged folder comes into
+    place by a rename, and folders inside the range of another don't count, so a writer may stop anywhere.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], every: int = 8):
+        self.spark, self.path, self.keys, self.every = spark, path.rstrip("/"), list(keys), every
+        jvm = spark.sparkContext._jvm
+        self.at = lambda name="": jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        self.fs = self.at().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def ranges(self) -> list[tuple[int, int]]:
+        """First and last batch of the folders that count, in order."""
+        if not self.fs.exists(self.at()):
+            return []
+        names = [s.getPath().getName() for s in self.fs.listStatus(self.at())]
+        found = sorted(tuple(map(int, n[8:].split("-"))) for n in names if n.startswith("batches="))
+        return [r for r in found if not any(o != r and o[0] <= r[0] and r[1] <= o[1] for o in found)]
+
+    @staticmethod
+    def name(first: int, last: int) -> str:
+        return f"batches={first:012d}-{last:012d}"
+
+    def rows(self, ranges: Sequence[tuple[int, int]]) -> DataFrame:
+        """The newest row per key, with its batch."""
+        rows = self.spark.read.parquet(*[f"{self.path}/{self.name(*r)}" for r in ranges])
+        rest = [c for c in rows.columns if c not in (*self.keys, "_batch")]
+        return keep_one(rows, self.keys, [F.col("_batch").desc()] + [F.col(c).desc() for c in rest])
+
+    def put(self, batch: DataFrame, batch_id: int) -> None:
+        """Write a batch, in place of an earlier try, unless it has been merged already."""
+        if any(first < last and first <= batch_id <= last for first, last in self.ranges()):
+            return
+        rows = batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
+        rows.write.mode("overwrite").parquet(f"{self.path}/{self.name(batch_id, batch_id)}")
+        self.merge()
+
+    def merge(self) -> None:
+        while True:
+            ranges = self.ranges()
+            size = lambda r: r[1] - r[0] + 1
+            run = [r for r in ranges if ranges and size(r) == size(ranges[-1])][-self.every :]
+            if len(run) < self.every or ranges[-self.every :] != run:
+                return
+            name = self.name(run[0][0], run[-1][1])
+            self.rows(run).write.mode("overwrite").parquet(f"{self.path}/_{name}")
+            self.fs.rename(self.at(f"_{name}"), self.at(name))
+            for r in run:
+                self.fs.delete(self.at(self.name(*r)), True)
+
+
+def keep_last_writer(path: str, keys: Sequence[str] = EVENT_KEY, every: int = 8) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that keeps the newest row per key, see :class:`BatchFolders`.
+
+    A replayed batch replaces its own output; :func:`read_last` shows the state.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{path}/batch={batch_id:012d}"
-        )
+        BatchFolders(batch.sparkSession, path, keys, every).put(batch, batch_id)
 
     return write
 
 
 def read_last(spark: SparkSession, path: str, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
     """Current state of a table written by :func:`keep_last_writer`."""
-    rows = spark.read.parquet(path).drop("batch")
-    rest = [c for c in rows.columns if c not in (*keys, "_batch")]
-    order = [F.col("_batch").desc()] + [F.col(c).desc() for c in rest]
-    return keep_one(rows, list(keys), order).drop("_batch")
+    folders = BatchFolders(spark, path, keys)
+    return folders.rows(folders.ranges()).drop("_batch")
 
 
 def run_available(
-    stream: DataFrame, name: str, keys: Sequence[str] | None = None
+    stream: DataFrame, name: str, keys: Sequence[str] | None = None, every: int = 8
 ) -> DataFrame:
     """Process everything there is and return the result table, kept on shared storage.
 
     Without ``keys`` the stream appends. With ``keys`` it runs in update mode:
-    every batch is written under its own id, and the newest row per key is the
-    result, so late updates and replayed batches replace earlier ones.
+    the newest row per key is the result, so late updates and replayed batches
+    replace earlier ones. Every ``every`` batches are merged.
     """
     spark = stream.sparkSession
     base = f"{ensure_checkpoint_dir(spark)}/stream-{name}"
@@ -98,6 +148,6 @@ def run_available(
     if keys is None:
         writer.format("parquet").option("path", f"{base}/out").start().awaitTermination()
         return spark.read.schema(stream.schema).parquet(f"{base}/out")
-    write = keep_last_writer(f"{base}/out")
+    write = keep_last_writer(f"{base}/out", keys, every)
     writer.outputMode("update").foreachBatch(write).start().awaitTermination()
     return read_last(spark, f"{base}/out", keys)

@@ -287,3 +287,23 @@ def test_keep_last_stream(spark, tmp_path):
         )
         query.awaitTermination()
     assert [r["signal_strength"] for r in st.read_last(spark, out).collect()] == [0.7]
+
+
+def test_batches_are_merged_by_level(spark, tmp_path):
+    path = str(tmp_path / "state")
+    write = st.keep_last_writer(path, ["k"], every=3)
+    want = {}
+    for i in range(20):
+        rows = [(f"k{i % 7}", i), (f"own{i}", i)]
+        want |= dict(rows)
+        batch = spark.createDataFrame(rows, "k string, v int")
+        write(batch, i)
+        if i in (4, 8):  # a replay, merged or not, changes nothing
+            write(batch, i)
+    folders = st.BatchFolders(spark, path, ["k"], 3)
+    assert folders.ranges() == [(0, 8), (9, 17), (18, 18), (19, 19)]
+    assert {r["k"]: r["v"] for r in st.read_last(spark, path, ["k"]).collect()} == want
+    # a writer that stopped before it removed what it had merged
+    spark.createDataFrame([("k0", -1, 3)], "k string, v int, _batch bigint").write.parquet(f"{path}/{folders.name(3, 3)}")
+    assert {r["k"]: r["v"] for r in st.read_last(spark, path, ["k"]).collect()} == want
+    assert len([p for p in (tmp_path / "state").iterdir() if p.name.startswith("batches=")]) == 5

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -160,24 +161,56 @@ def sorted_tokens(c: Column | str) -> Column:
     return F.array_join(F.array_sort(F.split(tx.collapse_ws(c), " ")), " ")
 
 
+def lcs_lengths(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """Length of the longest common subsequence of each pair, by bit-parallel rows.
+
+    A row of the dynamic programme is a number whose zero bits are its steps; one addition moves it over
+    a character. Pairs of which a string has at most 64 characters are moved together, as arrays.
+    """
+    one = [x if len(x) <= len(y) else y for x, y in zip(a, b, strict=True)]
+    two = [y if len(x) <= len(y) else x for x, y in zip(a, b, strict=True)]
+    out = np.zeros(len(one), np.int64)
+    sizes = np.fromiter(map(len, one), np.int64, len(one))
+    lengths = np.fromiter(map(len, two), np.int64, len(two))
+    for i in np.flatnonzero(sizes > 64).tolist():
+        out[i] = _long_lcs(one[i], two[i])
+    short = np.flatnonzero((sizes <= 64) & (sizes > 0))
+    short = short[np.argsort(lengths[short], kind="stable")]
+    for rows in np.array_split(short, max(1, len(short) // 512)):  # pairs of like length
+        if not len(rows):
+            continue
+        wide, long = int(sizes[rows].max()), int(lengths[rows].max())
+        x = np.array([one[i] for i in rows], f"U{wide}").view(np.uint32).reshape(len(rows), wide)
+        y = np.array([two[i] for i in rows], f"U{long}").view(np.uint32).reshape(len(rows), long)
+        bits = np.uint64(1) << np.arange(wide, dtype=np.uint64)
+        own = np.arange(wide) < sizes[rows, None]
+        row = np.full(len(rows), np.iinfo(np.uint64).max, np.uint64)
+        for j in range(long):
+            met = ((x == y[:, j : j + 1]) & own & (j < lengths[rows])[:, None]) @ bits
+            step = row & met
+            row = (row + step) | (row - step)
+        used = np.where(own, bits, np.uint64(0)).sum(axis=1, dtype=np.uint64)
+        out[rows] = np.bitwise_count(~row & used)
+    return out
+
+
+def _long_lcs(a: str, b: str) -> int:
+    places: dict[str, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for y in b:
+        step = row & places.get(y, 0)
+        row = ((row + step) | (row - step)) & full
+    return (~row & full).bit_count()
+
+
 def _ratio_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        scores = [_ratio(a, b) for a, b in zip(batch["a"], batch["b"])]
-        yield batch.assign(ratio=scores)
-
-
-def _ratio(a: str, b: str) -> float:
-    """``200 * LCS / (len a + len b)``: similarity by insertions and deletions."""
-    if not a and not b:
-        return 100.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        diagonal = 0
-        for j, y in enumerate(b, 1):
-            above = row[j]
-            row[j] = diagonal + 1 if x == y else max(above, row[j - 1])
-            diagonal = above
-    return 200.0 * row[-1] / (len(a) + len(b))
+        a, b = batch["a"].tolist(), batch["b"].tolist()
+        total = np.fromiter(map(len, a), np.int64, len(a)) + np.fromiter(map(len, b), np.int64, len(b))
+        yield batch.assign(ratio=np.where(total > 0, 200.0 * lcs_lengths(a, b) / np.maximum(total, 1), 100.0))
 
 
 def near_string_match(

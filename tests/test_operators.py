@@ -234,6 +234,29 @@ def test_mentions_beyond_the_broadcast_bound(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == [(1, 7), (1, 8)]
 
 
+def _lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        diagonal = 0
+        for j, y in enumerate(b, 1):
+            above = row[j]
+            row[j] = diagonal + 1 if x == y else max(above, row[j - 1])
+            diagonal = above
+    return row[-1]
+
+
+def _ratio(a, b):
+    return 200.0 * _lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
+
+
+def test_bit_parallel_subsequences_equal_the_table():
+    random.seed(8)
+    word = lambda n: "".join(random.choice("ab é\u4e2d\U0001f600\x00") for _ in range(n))
+    pairs = [(word(random.choice(s)), word(random.choice(s))) for s in ([0, 1, 5, 30], [63, 64, 65, 66, 130]) for _ in range(700)]
+    got = dc.lcs_lengths(*zip(*pairs))
+    assert got.tolist() == [_lcs(a, b) for a, b in pairs]
+
+
 @pytest.mark.parametrize("floor", [70.0, 85.0, 92.0])
 def test_near_strings_equal_brute_force(spark, floor):
     random.seed(6)
@@ -251,7 +274,7 @@ def test_near_strings_equal_brute_force(spark, floor):
     sort = lambda s: " ".join(sorted(s.split()))
     want = {}
     for a in asked:
-        best = max(((dc._ratio(sort(a), sort(c)), c) for c in choices), key=lambda r: r[0])
+        best = max(((_ratio(sort(a), sort(c)), c) for c in choices), key=lambda r: r[0])
         if best[0] >= floor and sort(a):
             want[a] = best[0]
     got = dc.near_string_match(

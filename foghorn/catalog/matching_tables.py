@@ -341,6 +341,58 @@ def incremental_skip(spark, sf_dir):
     return both.groupBy("lang").agg(F.sum("d").alias("done"), F.sum("t").alias("todo"))
 
 
+@query("""WITH a AS (
+  SELECT text, lang, source, doc_id FROM documents WHERE lang IN ('en', 'de')
+), s AS (
+  SELECT coalesce(text, '') AS text, arg_max(source, (doc_id, source)) AS answer, max(doc_id) AS version
+  FROM a GROUP BY ALL
+)
+SELECT doc_id, coalesce(answer, '') AS answer, coalesce(version, -1) AS version FROM documents d LEFT JOIN s ON coalesce(d.text, '') = s.text""")
+def stored_answers(spark, sf_dir):
+    """Every document with the newest of the answers stored for its text; some texts were answered often."""
+    d = tb.text_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    stored = d.filter("lang IN ('en', 'de')").select(
+        tx.payload_key(F.col("text")).alias("payload_key"), F.col("source").alias("answer"), F.col("doc_id").alias("version")
+    )
+    done, todo = cl.reuse_stored(d, ["text"], stored, "version")
+    out = done.select("doc_id", "answer", "version").unionByName(todo.select("doc_id"), allowMissingColumns=True)
+    return out.na.fill({"answer": "", "version": -1})
+
+
+_FOLDED = "string_split(trim(regexp_replace(lower(strip_accents({})), '[^a-z0-9]+', ' ', 'g')), ' ')"
+
+
+@query(f"""WITH RECURSIVE b AS (SELECT item_id, {_FOLDED.format('text')} AS w FROM benchmark), a AS (
+  SELECT item_id, w[1:3] AS alias FROM b UNION ALL SELECT item_id, w[1:2] FROM b UNION ALL SELECT item_id, w[4:4] FROM b
+), r AS (SELECT alias, len(alias) AS n, max(item_id) AS company FROM a WHERE len(alias) > 0 GROUP BY ALL),
+d AS (SELECT doc_id, {_FOLDED.format("coalesce(text, '')")} AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(len(w))) AS pos FROM d),
+h AS MATERIALIZED (
+  SELECT doc_id, pos, max(n) AS n FROM (
+    SELECT doc_id, pos, n FROM p JOIN r ON w[pos + 1:pos + 3] = alias AND n = 3 UNION ALL
+    SELECT doc_id, pos, n FROM p JOIN r ON w[pos + 1:pos + 2] = alias AND n = 2 UNION ALL
+    SELECT doc_id, pos, n FROM p JOIN r ON w[pos + 1:pos + 1] = alias AND n = 1) GROUP BY ALL
+), g(doc_id, pos, n) AS (
+  SELECT doc_id, min(pos), arg_min(n, pos) FROM h GROUP BY doc_id
+  UNION ALL
+  SELECT g.doc_id, min(h.pos), arg_min(h.n, h.pos) FROM g JOIN h ON h.doc_id = g.doc_id AND h.pos >= g.pos + g.n GROUP BY g.doc_id
+)
+SELECT g.doc_id, g.pos::INTEGER AS first_word, g.n::INTEGER AS n_words, r.company::VARCHAR AS company_id
+FROM g JOIN d USING (doc_id) JOIN r ON d.w[g.pos + 1:g.pos + g.n] = r.alias""")
+def known_company_mentions(spark, sf_dir):
+    """Openings of the benchmark passages as company names, looked up in whole documents."""
+    words = F.split(tx.fold_words("text"), " ")
+    spelled = tb.table(spark, sf_dir, "benchmark").select(
+        "item_id", F.explode(F.array(F.slice(words, 1, 3), F.slice(words, 1, 2), F.slice(words, 4, 1))).alias("w")
+    )
+    registry = spelled.filter(F.size("w") > 0).groupBy(F.array_join("w", " ").alias("alias_key")).agg(
+        F.max("item_id").cast("string").alias("company_id")
+    )
+    docs = tb.text_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = dc.known_company_mentions(docs, "doc_id", "text", registry)
+    return found.select("doc_id", "first_word", "n_words", "company_id")
+
+
 # --- prospects ----------------------------------------------------------------
 
 def _document_events(spark, sf_dir):

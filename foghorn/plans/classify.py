@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foghorn import vocab
 from foghorn.functions import measures as mx, text as tx
+from foghorn.operators.rows import keep_one
 from foghorn.plans.events import union_events
 
 CONTEXT_FIELDS = (
@@ -372,10 +373,23 @@ def parse_stored_responses(
     )
 
 
-def reuse_stored(df: DataFrame, key_columns: Sequence[str], stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split rows into those with a stored result (joined) and those still to do."""
+def newest_answers(stored: DataFrame, version: str | None = None) -> DataFrame:
+    """One stored answer per ``payload_key``: the newest by ``version``, ties by the row's content."""
+    rest = [c for c in stored.columns if c not in ("payload_key", version)]
+    order = [F.col(c).desc() for c in ([version] if version else []) + rest]
+    return keep_one(stored, ["payload_key"], order or [F.lit(0).asc()])
+
+
+def reuse_stored(
+    df: DataFrame, key_columns: Sequence[str], stored: DataFrame, version: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Split rows into those with a stored result (joined) and those still to do.
+
+    A payload that was answered more than once takes the newest answer, so no row is repeated.
+    """
     keyed = df.withColumn("payload_key", tx.payload_key(*[F.col(c) for c in key_columns]))
-    done = keyed.join(stored, "payload_key")
+    answers = newest_answers(stored, version)
+    done = keyed.join(answers, "payload_key")
     todo = keyed.join(stored.select("payload_key"), "payload_key", "left_anti")
     return done, todo
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foghorn import vocab
 from foghorn.functions import measures as mx, text as tx
+from foghorn.operators.registry_text import registry_mentions
 from foghorn.operators.rows import keep_one, row_numbers, top_k
 
 
@@ -95,6 +96,16 @@ def alias_registry(companies: DataFrame, aliases: DataFrame | None = None) -> Da
     )
 
 
+def known_company_mentions(articles: DataFrame, article_id: str, text: str, registry: DataFrame) -> DataFrame:
+    """Companies of the registry that articles name, one row per mention with its place.
+
+    ``registry`` is that of :func:`alias_registry`. No entity model runs: in known-company mode an
+    organisation counts only if the registry has it, so its spellings are looked up in the text.
+    """
+    named = registry.drop(*{article_id, "first_word", "n_words"})
+    return registry_mentions(articles, article_id, text, named, "alias_key")
+
+
 def match_organisations(mentions: DataFrame, organisation: str, registry: DataFrame) -> DataFrame:
     """Organisations resolved through the registry; their variants are tried in order.
 

@@ -1,11 +1,15 @@
 """Plans on hand-made rows: scoring edges, classification cases, sampling, ranking."""
 
+import random
+import re
+import unicodedata
 import datetime as dt
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from foghorn.operators import registry_text
 from foghorn import vocab
 from foghorn.functions import measures as mx, text as tx
 from foghorn.plans import classify as cl, documented as doc, events as ev, interest as it
@@ -384,3 +388,50 @@ def test_profile_extremes_keep_their_type(spark):
     df = spark.createDataFrame([(9, -10.5), (100, -2.0), (None, 3.25)], "a int, b double")
     got = {r["column"]: (r["smallest"], r["largest"], r["samples"], r["non_null"]) for r in column_profile(df, ["a", "b"]).collect()}
     assert got == {"a": ("9", "100", "100 | 9", 2), "b": ("-10.5", "3.25", "-10.5 | -2.0 | 3.25", 3)}
+
+
+# --- registry names in text, stored answers ---------------------------------------------------------
+
+
+def _brute_mentions(texts, names):
+    fold = lambda t: re.findall("[a-z0-9]+", unicodedata.normalize("NFKD", t or "").encode("ascii", "ignore").decode().lower())
+    known = {}
+    for cid, name in names:
+        if name is not None and fold(name):
+            known.setdefault(tuple(fold(name)), []).append(cid)
+    out = []
+    for i, text in texts:
+        words, at = fold(text), 0
+        while at < len(words):
+            sizes = [n for n in range(len(words) - at, 0, -1) if tuple(words[at : at + n]) in known]
+            out.extend((i, at, sizes[0], c) for c in (known[tuple(words[at : at + sizes[0]])] if sizes else []))
+            at += sizes[0] if sizes else 1
+    return sorted(out)
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_registry_mentions_equal_brute_force(spark, monkeypatch, limit):
+    if limit is not None:
+        monkeypatch.setattr(registry_text, "BROADCAST_ROW_LIMIT", limit)
+    rnd = random.Random(2)
+    words = ["banco", "del", "Norte", "andes", "Minería", "x", "sur"]
+    names = [(i, " ".join(rnd.choices(words, k=rnd.randint(1, 5)))) for i in range(25)]
+    names += [(90, "Banco"), (91, "BANCO"), (92, "--"), (93, None), (94, "del, norte")]
+    texts = [(i, rnd.choice([" ", ", ", "\n"]).join(rnd.choices(words, k=rnd.randint(0, 40)))) for i in range(40)]
+    texts += [(50, None), (51, ""), (52, "banco"), (53, "El BANCO-del-norte")]
+    t = spark.createDataFrame(texts, "t int, body string")
+    n = spark.createDataFrame(names, "company int, spelling string")
+    got = registry_text.registry_mentions(t, "t", "body", n, "spelling")
+    rows = sorted((r["t"], r["first_word"], r["n_words"], r["company"]) for r in got.collect())
+    assert rows == _brute_mentions(texts, names)
+    assert registry_text.registry_mentions(t, "t", "body", n.limit(0), "spelling").count() == 0
+    assert registry_text.registry_mentions(t.limit(0), "t", "body", n, "spelling").count() == 0
+
+
+def test_repeated_stored_answers_give_one_row(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "id int, text string")
+    key = tx.payload_key(F.col("text"))
+    stored = spark.createDataFrame([("a", "old", 1), ("a", "new", 2), ("a", "new", 2)], "text string, answer string, at int")
+    done, todo = cl.reuse_stored(df, ["text"], stored.select(key.alias("payload_key"), "answer", "at"), "at")
+    assert sorted((r["id"], r["answer"]) for r in done.collect()) == [(1, "new"), (3, "new")]
+    assert [r["id"] for r in todo.collect()] == [2]

@@ -95,6 +95,53 @@ def sketches(lines: list[str], size: int) -> tuple[list[int], list[int]]:
     return bits, sizes
 
 
+class CodedSets:
+    """Distinct shingles of a few lines as sorted integers, equal if and only if the shingles are.
+
+    A character counts as its code point or, where these are too large for a shingle to fit 64 bits, as its
+    number among those that occur. If that is too large as well, the shingles themselves are compared.
+    """
+
+    def __init__(self, lines: list[str], size: int):
+        self.lines, self.size, self.held = lines, size, {}
+        gap = "\n" * size
+        text = np.frombuffer((gap.join(lines) + gap).encode("utf-32-le"), np.uint32)
+        coded, bits = text, int(text.max()).bit_length()
+        if bits * size > 64:
+            occurs = np.zeros(int(text.max()) + 1, np.uint32)
+            occurs[text] = 1
+            numbers = np.cumsum(occurs)
+            coded, bits = numbers[text], int(numbers[-1]).bit_length()
+        self.codes = None
+        if bits * size <= 64:
+            coded = coded.astype(np.uint64)
+            n = len(coded) - size + 1
+            self.codes = np.zeros(n, np.uint64)
+            for i in range(size):
+                self.codes = (self.codes << np.uint64(bits)) | coded[i : i + n]
+            lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+            self.starts = np.cumsum(lengths + size) - lengths - size
+
+    def get(self, i: int):
+        if i not in self.held:
+            if self.codes is None:
+                self.held[i] = shingles(self.lines[i], self.size)
+            else:
+                n = max(1, len(self.lines[i]) - self.size + 1)
+                codes = np.sort(self.codes[self.starts[i] : self.starts[i] + n])
+                self.held[i] = codes[np.concatenate([[True], codes[1:] != codes[:-1]])]
+        return self.held[i]
+
+    def similarity(self, i: int, j: int) -> float:
+        a, b = self.get(i), self.get(j)
+        if self.codes is None:
+            return similarity(a, b)
+        both = np.concatenate([a, b])
+        both.sort()
+        shared = int(np.count_nonzero(both[1:] == both[:-1]))
+        return shared / (len(both) - shared)
+
+
 class Signatures:
     """Band keys of many lines at once."""
 
@@ -340,15 +387,14 @@ def verified_links(members: DataFrame, settings: Settings) -> DataFrame:
             starts, sizes = runs(ids)
             bits, counts = sketches(lines, settings.shingle)
             for start, size in zip(starts.tolist(), sizes.tolist(), strict=True):
-                sets: dict[int, set[str]] = {}
+                sets: list[CodedSets] = []  # made when the first pair needs it
 
                 def alike(i: int, j: int) -> bool:
                     if (bits[i] ^ bits[j]).bit_count() > apart * (counts[i] + counts[j]):
                         return False
-                    for k in (i, j):
-                        if k not in sets:
-                            sets[k] = shingles(lines[k], settings.shingle)
-                    return similarity(sets[i], sets[j]) >= settings.similarity
+                    if not sets:
+                        sets.append(CodedSets(lines[start : start + size].tolist(), settings.shingle))
+                    return sets[0].similarity(i - start, j - start) >= settings.similarity
 
                 open_ = list(range(1, size))
                 stack = [0]
@@ -395,8 +441,9 @@ def line_classes(
     place = F.struct(F.col("doc_id"), F.col("line_no"), F.col("row"))
     half = lambda at: F.conv(F.substring("node", at, 16), 16, -10).cast("bigint")
     nodes = materialise(roots.select("root", half(1).alias("h1"), half(17).alias("h2")))
-    inside = names.join(nodes, ["h1", "h2"]).groupBy("h1", "h2", "root").agg(F.min(place).alias("first"))
-    inside = materialise(inside)
+    # one row per line first, so that a very common line isn't joined occurrence by occurrence
+    firsts = names.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    inside = materialise(firsts.join(nodes, ["h1", "h2"]).select("h1", "h2", "root", "first"))
     best = materialise(inside.groupBy("root").agg(F.min("first").alias("keep")))
     near = materialise(inside.join(best, "root").select("h1", "h2", "keep"))
     named = with_group_values(names, ["h1", "h2"], [F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")])
@@ -420,9 +467,16 @@ def drop_fuzzy_lines(
     """
     dropped = line_classes(docs, settings, id_col, text_col).filter("not kept")
     dropped = dropped.groupBy("doc_id").agg(F.collect_set("line_no").alias("_drop")).withColumnRenamed("doc_id", "_id")
+    # the columns travel as one, so that none of them clashes with these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    rows = rows.join(dropped, F.col("_row").getField(id_col).eqNullSafe(F.col("_id")), "left")
     kept = F.filter(
-        F.split(F.col(text_col), "\n"),
+        F.split(F.col("_row").getField(text_col), "\n"),
         lambda line, i: ~F.array_contains(F.coalesce("_drop", F.array().cast("array<int>")), i),
     )
-    out = docs.join(dropped, F.col(id_col).eqNullSafe(F.col("_id")), "left")
-    return out.withColumn(text_col, F.array_join(kept, "\n")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.select(
+        *[
+            (F.array_join(kept, "\n") if c == text_col else F.col("_row").getField(c)).alias(c)
+            for c in docs.columns
+        ]
+    )

@@ -748,3 +748,25 @@ def test_search_equals_brute_force(spark, bucket, bundle, monkeypatch):
     got = ranked.search(d, q)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_search(docs, items)
     assert ranked.search(d.limit(0), q).count() == ranked.search(d, q.limit(0)).count() == 0
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(st.characters(blacklist_characters="\n", blacklist_categories=["Cs"]), max_size=40), min_size=2, max_size=6), st.integers(0, 2))
+def test_coded_shingles_have_the_similarity_of_the_shingles(given_lines, kind):
+    if kind == 1:  # more different characters than fit
+        given_lines = [x + "".join(chr(0x4E00 + i) for i in range(3000)) for x in given_lines]
+    if kind == 2:
+        given_lines = [x + "abcabc" * 5 + "中" for x in given_lines]
+    coded = lines.CodedSets(given_lines, 6)
+    assert (coded.codes is None) <= (kind != 2)
+    for i, j in itertools.combinations(range(len(given_lines)), 2):
+        want = lines.similarity(lines.shingles(given_lines[i], 6), lines.shingles(given_lines[j], 6))
+        assert coded.similarity(i, j) == want
+
+
+def test_fuzzy_lines_with_clashing_columns(spark):
+    rows = [(1, "one line of words here\nother", 3, "x"), (2, "one line of words here", 4, "y"), (3, None, 5, "z")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _id int, _drop string")
+    got = lines.drop_fuzzy_lines(df)
+    assert got.columns == df.columns
+    assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[0]) == [rows[0], (2, "", 4, "y"), rows[2]]

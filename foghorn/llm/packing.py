@@ -54,52 +54,63 @@ class Packer:
         self.open: list[tuple] = []  # pieces of the sequence being filled
         self.used = np.zeros(3, np.int64)
 
-    def _take(self, key, start: int, ids: np.ndarray, loss: int) -> None:
+    def _take(self, key, start: int, ids: np.ndarray, loss: np.ndarray | None) -> None:
         self.open.append((key, start, ids, loss))
-        self.used += (len(ids), 1, loss)
+        self.used += (len(ids), 1, _loss(loss, len(ids)))
 
-    def _close(self) -> None:
+    def _close(self, tokens: int | None = None) -> None:
+        """Close the first ``tokens`` of the open sequence (all by default); what is cut off stays open."""
+        left = int(self.used[0]) if tokens is None else tokens
+        pieces, self.open, self.used = self.open, [], np.zeros(3, np.int64)
         offset = 0
-        for key, start, ids, loss in self.open:
-            crc = zlib.crc32(ids.astype("<u4").tobytes())
-            self.pieces.append((key, start, len(ids), crc, self.sequence, offset, loss))
-            offset += len(ids)
+        for key, start, ids, loss in pieces:
+            n = min(len(ids), left)
+            left -= n
+            if n:
+                crc = zlib.crc32(ids[:n].astype("<u4").tobytes())
+                self.pieces.append((key, start, n, crc, self.sequence, offset, _loss(loss, n)))
+                offset += n
+            if n < len(ids):
+                self._take(key, start + n, ids[n:], None if loss is None else loss[n:])
         self.sequence += 1
-        self.open, self.used = [], np.zeros(3, np.int64)
+
+    def _close_power(self) -> None:
+        """Close the largest power of two of the open sequence, which needs no padding."""
+        self._close(1 << (int(self.used[0]).bit_length() - 1))
 
     @property
     def _caps(self) -> np.ndarray:
         return np.array([self.limits.tokens, self.limits.segments, self.limits.loss_tokens], np.int64)
 
     def add(self, examples: list[tuple]) -> None:
-        """Place a block of examples. What is longer than a sequence is first cut into full ones."""
+        """Place a block of examples.
+
+        What is longer than a sequence is cut into full ones first; what bears more loss than one may
+        is cut into parts that bear as much as it may.
+        """
         caps, rest = self._caps, []
         for key, ids, loss in examples:
             start = 0
-            while len(ids) - start >= caps[0] or _loss(loss, start, len(ids)) > caps[2]:
-                end = start + self._fit(loss, start, int(caps[0]), int(caps[2]))
-                held, room = (self.open, self.used), np.zeros(3, np.int64)
-                self.open, self.used = [], room
-                self._take(key, start, ids[start:end], _loss(loss, start, end))
-                self._close()
-                self.open, self.used = held
-                start = end
-            if start < len(ids):
-                rest.append([key, ids, loss, start])
+            while len(ids) >= caps[0] or _loss(loss, len(ids)) > caps[2]:
+                n = _fit(loss, min(len(ids), int(caps[0])), int(caps[2]))
+                head = (key, start, ids[:n], None if loss is None else loss[:n])
+                if n == caps[0]:
+                    held, room = (self.open, self.used), np.zeros(3, np.int64)
+                    self.open, self.used = [], room
+                    self._take(*head)
+                    self._close()
+                    self.open, self.used = held
+                else:
+                    rest.append(list(head))
+                start, ids, loss = start + n, ids[n:], None if loss is None else loss[n:]
+            if len(ids):
+                rest.append([key, start, ids, loss])
         self._fill(rest)
 
-    @staticmethod
-    def _fit(loss: np.ndarray | None, start: int, room: int, loss_room: int) -> int:
-        """How many ids from ``start`` on fit both rooms."""
-        if loss is None:
-            return min(room, loss_room)
-        bearing = np.cumsum(loss[start : start + room])
-        return int(np.searchsorted(bearing, loss_room, side="right"))
-
     def _fill(self, rest: list[list]) -> None:
         caps = self._caps
         sizes = np.array(
-            [(len(ids) - start, 1, _loss(loss, start, len(ids))) for _, ids, loss, start in rest], np.int64
+            [(len(ids), 1, _loss(loss, len(ids))) for _, _, ids, loss in rest], np.int64
         ).reshape(-1, 3)
         weight = 1.0 / caps.astype(float) ** 2
         alive = np.ones(len(rest), bool)
@@ -110,58 +121,56 @@ class Packer:
             score = np.where(fits, sizes @ (room * weight), -1.0)
             best = int(score.argmax())
             if score[best] < 0:
-                best = self._cut(rest, sizes, alive, room, weight)
-                if best is None:
+                if self._cut(rest, sizes, alive, room, weight):
+                    continue
+                # closed by its segments or its loss: only what needs no padding goes, the rest is filled up
+                if room[0] < self.limits.min_piece:
                     self._close()
+                else:
+                    self._close_power()
                 continue
-            key, ids, loss, start = rest[best]
-            self._take(key, start, ids[start:], int(sizes[best, 2]))
+            self._take(*rest[best])
             alive[best] = False
             left -= 1
             if self.used[0] >= caps[0]:
                 self._close()
 
-    def _cut(self, rest, sizes, alive, room, weight) -> int | None:
-        """Fill the room with the head of the best example that leaves a rest; None if it is too small."""
+    def _cut(self, rest, sizes, alive, room, weight) -> bool:
+        """Fill the room with the head of the best example that leaves a rest; False if it is too small."""
         if room[0] < self.limits.min_piece or room[1] < 1 or room[2] < 1 or not self.open:
-            return None
+            return False
         long = alive & (sizes[:, 0] >= room[0] + self.limits.min_piece)
         if not long.any():
-            return None
+            return False
         best = int(np.where(long, sizes @ (room * weight), -1.0).argmax())
-        key, ids, loss, start = rest[best]
-        n = self._fit(loss, start, int(room[0]), int(room[2]))
+        key, start, ids, loss = rest[best]
+        n = _fit(loss, int(room[0]), int(room[2]))
         if n < self.limits.min_piece:
-            return None
-        taken = _loss(loss, start, start + n)
-        self._take(key, start, ids[start : start + n], taken)
-        rest[best][3] = start + n
-        sizes[best] -= (n, 0, taken)
+            return False
+        head, tail = (None, None) if loss is None else (loss[:n], loss[n:])
+        self._take(key, start, ids[:n], head)
+        rest[best] = [key, start + n, ids[n:], tail]
+        sizes[best] -= (n, 0, _loss(head, n))
         if self.used[0] >= self.limits.tokens:
             self._close()
-        return best
+        return True
 
     def finish(self) -> None:
         """Cut what is open into sequences of powers of two, the largest first."""
-        pieces, total = self.open, int(self.used[0])
-        self.open, self.used = [], np.zeros(3, np.int64)
-        while total:
-            room = 1 << (total.bit_length() - 1)
-            total -= room
-            while room:
-                key, start, ids, loss = pieces.pop(0)
-                n = min(room, len(ids))
-                # a cut example bears loss in proportion unless all its ids do
-                share = loss if n == len(ids) else n if loss == len(ids) else loss * n // len(ids)
-                self._take(key, start, ids[:n], share)
-                if n < len(ids):
-                    pieces.insert(0, (key, start + n, ids[n:], loss - share))
-                room -= n
-            self._close()
+        while self.open:
+            self._close_power()
+
+
+def _loss(loss: np.ndarray | None, n: int) -> int:
+    """Loss-bearing ids among the first ``n``."""
+    return n if loss is None else int(loss[:n].sum())
 
 
-def _loss(loss: np.ndarray | None, start: int, end: int) -> int:
-    return end - start if loss is None else int(loss[start:end].sum())
+def _fit(loss: np.ndarray | None, room: int, loss_room: int) -> int:
+    """How many of the first ids fit both rooms."""
+    if loss is None:
+        return min(room, loss_room)
+    return int(np.searchsorted(np.cumsum(loss[:room]), loss_room, side="right"))
 
 
 def pack_examples(
@@ -179,7 +188,9 @@ def pack_examples(
     every id bears loss. A null or empty text is the separator alone. Equal or repeated rows are
     packed separately, and a null id is kept as it is. An empty table gives no rows. Other columns
     of the input are dropped, whatever their names. ``sequence_id`` holds the partition in its
-    upper bits; the rows of a partition must come in a fixed order (a table, a checkpoint).
+    upper bits; the rows of a partition must come in a fixed order (a table, a checkpoint). A text
+    longer than a sequence fills whole ones before its rest is placed; of examples that score alike
+    the first of the block is taken. ``loss_tokens`` counts the loss-bearing ids of the very piece.
     """
     vocabulary = Shipped(docs.sparkSession, Vocabulary(vocabulary_path))
     prompt = F.lit(None) if prompt_tokens is None else prompt_tokens

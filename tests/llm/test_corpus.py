@@ -553,6 +553,54 @@ def test_packing_under_all_limits():
         own = sorted((p.start, p.length) for p in pieces if p.key == i)
         assert own[0][0] == 0 and sum(n for _, n in own) == sizes[i]
         assert all(a + n == b for (a, n), (b, _) in zip(own, own[1:]))
+    for p in pieces:
+        assert p.loss_tokens == (np.arange(sizes[p.key]) >= sizes[p.key] // 3)[p.start : p.start + p.length].sum()
+
+
+def test_short_examples_are_packed_without_padding():
+    for length in (1, 10, 31):
+        packer = packing.Packer(packing.Limits(), 0)
+        for at in range(0, 6400, 800):
+            packer.add([(i, np.arange(length, dtype=np.uint32), None) for i in range(at, at + 800)])
+        packer.finish()
+        held = collections.defaultdict(list)
+        for _, _, n, _, sequence, offset, _ in packer.pieces:
+            assert offset == sum(held[sequence])
+            held[sequence].append(n)
+        totals = [sum(pieces) for pieces in held.values()]
+        assert sum(totals) == 6400 * length and max(map(len, held.values())) <= 64
+        padded = sum(n if n & (n - 1) == 0 else 2048 for n in totals)
+        assert padded / (6400 * length) < 1.02
+
+
+def test_loss_of_a_cut_example_is_that_of_its_pieces():
+    packer = packing.Packer(packing.Limits(), 0)
+    packer.add([(0, np.arange(100, dtype=np.uint32), np.arange(100) >= 80)])
+    packer.finish()
+    assert [(p[1], p[2], p[6]) for p in packer.pieces] == [(0, 64, 0), (64, 32, 16), (96, 4, 4)]
+
+
+def test_packing_of_conversations_under_token_segment_and_loss_limits(spark):
+    """Instruction data: the prompt bears no loss; limits on loss and segments bind."""
+    frame = spark.read.parquet(f"{SF}/conversations.parquet").groupBy("conv_id").agg(
+        F.concat_ws(" ", F.array_sort(F.collect_list(F.when(F.col("role") != "assistant", F.col("text"))))).alias("asked"),
+        F.concat_ws(" ", F.array_sort(F.collect_list(F.when(F.col("role") == "assistant", F.col("text"))))).alias("said"),
+    )
+    frame = frame.select(
+        "conv_id", F.concat_ws(" ", "asked", "said").alias("text"), F.size(F.split("asked", " ")).alias("prompt")
+    ).orderBy("conv_id").coalesce(2)
+    rows = {r.conv_id: r for r in frame.collect()}
+    limits = packing.Limits(tokens=512, segments=6, loss_tokens=200)
+    pieces = packing.pack_examples(
+        frame, PATH, limits, id_col="conv_id", prompt_tokens=F.col("prompt")
+    ).collect()
+    check_places(pieces, limits)
+    for p in pieces:
+        flags = np.arange(p.doc_tokens) >= rows[p.doc_id].prompt
+        assert p.loss_tokens == flags[p.start : p.start + p.length].sum()
+    assert sum(p.length for p in pieces) == sum(
+        len(REFERENCE.encode(r.text, add_special_tokens=False).ids) + 1 for r in rows.values()
+    )
 
 
 # --- op11 to op13, and bounds ---------------------------------------------------------------------

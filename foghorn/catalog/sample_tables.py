@@ -63,11 +63,19 @@ def sample_allocation(spark, sf_dir):
     return plan.select("country", "industry", "n", "allotted", "n_strata")
 
 
+@query(f"""WITH {_sample_sql("employees >= 9800 OR size_bin = 'l'", 1000)}
+SELECT 0 AS attempt, CAST(sum(allotted) AS BIGINT) AS rows FROM a UNION ALL
+SELECT 1, (WITH {_sample_sql("employees >= 9500 OR size_bin = 'l'", 1000)} SELECT CAST(sum(allotted) AS BIGINT) FROM a)""")
+def sample_attempts(spark, sf_dir):
+    """Rows that each of two thresholds yields, from one pass."""
+    return sp.sample_attempts(candidates(spark, sf_dir), COUNTRIES, tb.SEGMENTS, [9800, 9500], 1000, FLOOR)
+
+
 @query(f"""WITH {_sample_sql("employees >= 9500 OR size_bin = 'l'", 1000)}
 SELECT qid, country, industry FROM s""")
 def sample_with_fallback(spark, sf_dir):
     # neither threshold reaches the target: the second, listed last, is kept
-    out, _attempts = sp.sample_with_fallback(
+    out = sp.fallback_sample(
         candidates(spark, sf_dir), COUNTRIES, tb.SEGMENTS, [9800, 9500], 1000, FLOOR
     )
     return out.select("qid", "country", "industry")

@@ -33,18 +33,6 @@ def theme_candidates(
     return events.filter(F.col("industry").isin(*industries) | hit)
 
 
-def _mode(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Most frequent non-null value per key, the smallest on a tie.
-
-    Values are counted per (key, value) before a key's winner is chosen, so a
-    key with most of the rows still combines in every task.
-    """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    best = counts.groupBy(key).agg(F.max("_n").alias("_n"))
-    tied = counts.join(best, [key, "_n"])
-    return tied.groupBy(key).agg(F.min(value).alias(value))
-
-
 def summarise_prospects(
     events: DataFrame,
     limit: int = 25,
@@ -57,31 +45,31 @@ def summarise_prospects(
     Sorted by number of types, last time and name. Companies whose country is
     always null keep a null country. The snippet is the newest non-blank
     description, else the newest non-blank snippet, tags removed.
+
+    One aggregation over one scan. Modes are kept as counts per value that merge
+    before the shuffle, so a company's state grows with its distinct countries,
+    industries and types, not its rows; the smallest value wins a tie.
     """
     e = events.dropna(subset=["company_name"]).withColumns(
         {"country": F.upper("country"), "_type": F.coalesce("signal_type", F.lit("unknown"))}
     )
 
-    def newest(c: str) -> DataFrame:
+    def newest(c: str) -> Column:
         if c not in e.columns:
-            return e.select("company_name").distinct().withColumn(f"_{c}", F.lit(None).cast("string"))
-        kept = e.filter(F.trim(F.col(c)) != "").select("company_name", "ts", order_id, F.col(c).alias(f"_{c}"))
-        first = keep_one(kept, ["company_name"], [F.col("ts").desc_nulls_last(), F.col(order_id).asc()])
-        return first.select("company_name", f"_{c}")
-
-    # one row per company and type before a company's types are put together
-    kinds = e.groupBy("company_name", "_type").agg(
-        F.max("ts").alias("_last"), F.count("signal_type").alias("_named")
-    )
-    base = kinds.groupBy("company_name").agg(
+            return F.lit(None).cast("string")
+        time = F.col("ts").cast("timestamp")
+        row = F.struct(time.isNull(), -F.unix_micros(time), F.col(order_id), F.col(c).alias("value"))
+        return F.min(F.when(F.trim(F.col(c)) != "", row))["value"]
+
+    joined = e.groupBy("company_name").agg(
+        F.mode("country", True).alias("country"),
+        F.mode("industry", True).alias("industry"),
         F.array_sort(F.collect_set("_type")).alias("_types"),
-        F.max("_last").alias("_last"),
-        F.count_if(F.col("_named") > 0).alias("type_count"),
+        F.size(F.collect_set("signal_type")).alias("type_count"),
+        F.max("ts").alias("_last"),
+        newest("description").alias("_description"),
+        newest("text_snippet").alias("_text_snippet"),
     )
-    joined = base
-    for part in (_mode(e, "company_name", "country"), _mode(e, "company_name", "industry"),
-                 newest("description"), newest("text_snippet")):
-        joined = joined.join(part, "company_name", "left")
     snippet = F.trim(F.coalesce("_description", "_text_snippet", F.lit("")))
     snippet = F.regexp_replace(F.regexp_replace(snippet, "<[^>]+>", " "), "\n", " ")
     justification = F.concat_ws(

@@ -309,6 +309,90 @@ def test_sample_never_passes_the_target_when_quotas_allow(spark):
     assert [t for t, _ in attempts] == [0, 300] and attempts[0][1] == 90
 
 
+def _scans(df) -> int:
+    """Scans of files that the executed plan runs; a reused exchange runs none."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return len(re.findall(r"FileScan parquet", final))
+
+
+def _pick_by_hand(rows, thresholds, countries, industries, target, floor):
+    """The sample by plain loops: the best row of a qid, quotas, leftovers, largest employers."""
+    def passes(r, t):
+        e = r["employees"] or 0.0
+        if t <= 0 or e >= t or (t <= 250 and r["size_bin"] in "ml") or (t > 250 and r["size_bin"] == "l"):
+            return True
+        return t <= 100 and bool(r["ticker"])
+
+    out = []
+    for t in thresholds:
+        best = {}
+        for r in sorted(rows, key=lambda r: (r["employees"] is None, -(r["employees"] or 0), r["company_name"])):
+            if r["size_bin"] in "sml" and r["country"] in countries and r["industry"] in industries and passes(r, t):
+                best.setdefault(r["qid"], r)
+        strata = {}
+        for c in countries:
+            for i in industries:
+                held = [r for r in best.values() if (r["country"], r["industry"]) == (c, i)]
+                if held:
+                    strata[c, i] = sorted(held, key=lambda r: (r["employees"] is None, -(r["employees"] or 0), r["qid"]))
+        take = {k: min(len(v), max(floor, target // len(strata))) for k, v in strata.items()}
+        need = max(0, target - sum(take.values()))
+        for k in sorted(strata, key=lambda k: -(len(strata[k]) - take[k])):
+            extra = min(need, len(strata[k]) - take[k])
+            take[k] += extra
+            need -= extra
+        out = sorted(r["qid"] for k, v in strata.items() for r in v[: take[k]])
+        if len(out) >= target:
+            break
+    return out
+
+
+def test_sample_by_one_scan_equals_plain_loops(spark, tmp_path):
+    rnd = random.Random(5)
+    rows = [
+        {
+            "qid": f"Q{rnd.randrange(900):04d}", "company_name": f"N{i}", "country": rnd.choice(["AR", "BR", "BR", "CL", "PE"]),
+            "industry": rnd.choice(["oil_gas", "mining", "other"]), "size_bin": rnd.choice(["s", "s", "m", "l", "x"]),
+            # half unknown, and one frequent value, so that a cut falls among equal ones
+            "employees": rnd.choice([None, None, 60.0, rnd.uniform(-2, 5000)]), "ticker": rnd.choice(["", "", "T"]),
+        }
+        for i in range(1500)
+    ]
+    path = str(tmp_path / "candidates")
+    spark.createDataFrame(
+        rows, "qid string, company_name string, country string, industry string, size_bin string, employees double, ticker string"
+    ).write.parquet(path)
+    frame = spark.read.parquet(path)
+    countries, industries = ["AR", "BR", "CL"], ["oil_gas", "mining"]
+    for thresholds, target, floor in (([0], 100, 5), ([4000, 300, 50], 250, 3), ([50, 5000], 10_000, 1), ([4000, 2000], 150, 40)):
+        got = sp.fallback_sample(frame, countries, industries, thresholds, target, floor)
+        assert _scans(got) == 1
+        kept = got.orderBy("qid").collect()
+        assert [r.qid for r in kept] == _pick_by_hand(rows, thresholds, countries, industries, target, floor)
+        assert [r.company_id for r in kept] == list(range(1, len(kept) + 1))
+    assert sp.fallback_sample(frame.limit(0), countries, industries, [300, 0], 10, 1).count() == 0
+
+
+def test_prospects_by_one_scan(spark, tmp_path):
+    path = str(tmp_path / "events")
+    spark.createDataFrame(
+        [(1, "A", "co", "i", "news", DAY, "", "old"), (2, "A", "pe", "j", "jobs", DAY, " ", "<b>new</b>"),
+         (3, "A", "PE", None, None, None, None, None), (4, "A", None, "j", "news", None, None, "undated"),
+         (5, None, "PE", "j", "news", DAY, "x", "y"), (6, "B", "PE", "j", None, None, None, "")],
+        "event_id long, company_name string, country string, industry string, signal_type string, ts timestamp, "
+        "description string, text_snippet string",
+    ).write.parquet(path)
+    got = pr.summarise_prospects(spark.read.parquet(path))
+    assert _scans(got) == 1
+    first, second = got.collect()
+    assert tuple(first)[:4] == ("A", "PE", "j", "jobs|news|unknown")
+    # of one time the smaller id; undated ones come last
+    assert first.justification == "signals: jobs, news, unknown | last_update: 2024-01-30 | old"
+    assert tuple(second) == ("B", "PE", "j", "unknown", "signals: unknown")
+
+
 def test_employee_mask(spark):
     df = spark.createDataFrame(
         [(120.0, "s", ""), (10.0, "m", ""), (10.0, "s", "T"), (None, "s", None), (10.0, "l", "")],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from foghorn.catalog.base import ORACLES, QUERIES
 from foghorn.catalog import (  # noqa: F401
+    file_tables,
     matching_tables,
     rollup_tables,
     sample_tables,

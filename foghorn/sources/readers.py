@@ -25,21 +25,26 @@ def first_existing(spark: SparkSession, paths: Sequence[str]) -> str | None:
     return next((p for p in paths if exists(spark, p)), None)
 
 
-def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_any(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool = True
+) -> DataFrame:
     """Parquet or header CSV by extension; CSV columns are matched by header name."""
     if path.rstrip("/").endswith((".csv", ".csv.gz", ".tsv")):
         separator = "\t" if ".tsv" in path else ","
-        return all_strings(spark, path, separator)
+        return all_strings(spark, path, separator, line_breaks)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
 
-def all_strings(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Every CSV column as text, quotes and line breaks inside cells allowed."""
+def all_strings(spark: SparkSession, path: str, sep: str = ",", line_breaks: bool = True) -> DataFrame:
+    """Every CSV column as text, quotes and line breaks inside cells allowed.
+
+    A file whose cells hold no line breaks is cut among tasks with ``line_breaks=False``.
+    """
     return (
         spark.read.option("header", True)
         .option("sep", sep)
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(path)
@@ -91,9 +96,9 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return read_plain_events(spark, path)
 
 
-def read_plain_events(spark: SparkSession, path: str) -> DataFrame:
+def read_plain_events(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """Events from files of any of the formats, without a manifest."""
-    raw = read_any(spark, path)
+    raw = read_any(spark, path, line_breaks=line_breaks)
     if dict(raw.dtypes).get("ts") == "string":
         raw = raw.withColumn("ts", dx.parse_ts(F.col("ts")))
     for name in ("signal_strength", "climate_score", "sentiment_score"):
@@ -166,37 +171,53 @@ def member_list(
     ).filter("member_name <> ''")
 
 
+# one record: runs outside quotes, and quoted runs, which may hold line breaks and doubled quotes
+_RECORD = r'(?:[^"\n]++|"[^"]*+(?:"|\z))++'
+_CELL = r',(?:"[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
+
+
+def _cells(record: Column) -> Column:
+    """Cells of a CSV record: quotes removed, doubled ones halved, an empty bare cell null."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), F.rtrim(record, F.lit("\r"))), F.lit(_CELL), F.lit(0))
+
+    def plain(cell: Column) -> Column:
+        body = F.substring(cell, F.lit(2), F.length(cell))
+        inner = F.replace(F.substring(body, F.lit(2), F.length(body) - 2), F.lit('""'), F.lit('"'))
+        return F.when(body.startswith('"'), inner).otherwise(F.nullif(body, F.lit("")))
+
+    return F.transform(found, plain)
+
+
 def read_recursive(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """All matching files below a folder as canonical events; empty when there is none.
 
-    Files are grouped by header so that differing layouts are read by name;
-    unreadable cells come out null instead of failing the scan.
+    Each file is cut into records and read by its own header where it lies, so any
+    number of files and layouts meets in one scan, and neither paths nor layouts
+    come to the driver. Columns that a file lacks, cells that a short record lacks
+    and unreadable ones are null or take the defaults; blank lines are skipped, a
+    header alone gives no rows. Of a repeated column name the first counts. A file
+    is one value in a task: meant for many small files, each far below 2 GB.
     """
     if not exists(spark, folder):
         return spark.createDataFrame([], EVENT)
-    # the header is the line with the lowest position of a file's first block
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .text(folder)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("at"),
-            F.monotonically_increasing_id().alias("line"),
-        )
+    whole = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
+    records = F.regexp_extract_all(F.ltrim("value", F.lit("\ufeff")), F.lit(_RECORD), F.lit(0))
+    records = F.filter(records, lambda r: F.trim(F.rtrim(r, F.lit("\r"))) != "")
+    lines = whole.select(records.alias("records")).filter(F.size("records") > 1).select(
+        _cells(F.col("records")[0]).alias("header"), F.explode(F.expr("slice(records, 2, size(records))")).alias("record")
+    )
+    lines = lines.select(F.transform("header", lambda h: F.trim(h)).alias("header"), _cells(F.col("record")).alias("cells"))
+    named = lines.select(
+        *[
+            F.get("cells", F.coalesce(F.array_position("header", f.name), F.lit(0)).cast("int") - 1).alias(f.name)
+            for f in EVENT.fields
+        ]
+    )
+    typed = named.select(
+        *[
+            dx.parse_ts(F.col(f.name)).alias(f.name) if f.dataType == T.TimestampType()
+            else F.col(f.name).try_cast(f.dataType).alias(f.name)
+            for f in EVENT.fields
+        ]
     )
-    headers = lines.filter("at = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
-    # file names only, one row per distinct layout: the driver lists them for any scan
-    layouts = headers.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    merged = None
-    for row in layouts:
-        part = all_strings(spark, row["paths"])
-        merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
-    if merged is None:
-        return spark.createDataFrame([], EVENT)
-    typed = merged.withColumn("ts", dx.parse_ts(F.col("ts"))) if "ts" in merged.columns else merged
-    for name in ("signal_strength", "climate_score", "sentiment_score"):
-        if name in typed.columns:
-            typed = typed.withColumn(name, F.col(name).try_cast("double"))
     return canonical_events(typed, strength=0.0, default_climate=0.0)

@@ -67,6 +67,39 @@ def test_recursive_scan_of_mixed_layouts(spark, tmp_path):
     assert readers.read_recursive(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_recursive_scan_of_odd_files(spark, tmp_path):
+    long = "x" * 200_000
+    _write(tmp_path / "o/a.csv", '\ufeffcompany_id, title ,ts\r\n1,"say ""hi"", ok",2024-01-01\r\n\r\n2,,bad\r\n3\r\n')
+    _write(tmp_path / "o/b.csv", "title,company_id,title\n")
+    _write(tmp_path / "o/c.csv", "")
+    _write(tmp_path / "o/d.csv", f'unknown,company_id,title\n9,4,"{long}""{long}"\n,"5",last')
+    _write(tmp_path / "o/e.csv", 'title,company_id,title\n"",6,other\n')
+    got = {r.company_id: r for r in readers.read_recursive(spark, str(tmp_path / "o")).collect()}
+    assert sorted(got) == ["1", "2", "3", "4", "5", "6"]
+    assert got["1"].title == 'say "hi", ok' and got["1"].ts == dt.datetime(2024, 1, 1)
+    assert got["2"].title == "" and got["2"].ts is None and got["3"].title == ""
+    assert got["4"].title == f'{long}"{long}' and got["5"].title == "last" and got["6"].title == ""
+
+
+def test_recursive_scan_of_many_files_sends_nothing_to_the_driver(spark, tmp_path):
+    layouts = ("company_id,title\n{0},t{0}\n", "title,x,company_id\nt{0},1,{0}\n", "signal_strength,company_id\n0.5,{0}\n")
+    for i in range(10_000):
+        path = tmp_path / "many" / f"d{i % 20}" / f"{i}.csv"
+        if i < 20:
+            path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(layouts[i % 3].format(i), encoding="utf-8")
+    spark.sparkContext.setJobGroup("recursive-scan", "")
+    frame = readers.read_recursive(spark, str(tmp_path / "many"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("recursive-scan")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs  # no job before the scan itself
+    row = frame.agg(
+        F.count_distinct("company_id").alias("ids"), F.count(F.lit(1)).alias("n"), F.sum("signal_strength").alias("s"),
+        F.count_if(F.col("title") == F.concat(F.lit("t"), F.col("company_id"))).alias("titles"),
+    ).first()
+    assert (row.ids, row.n, row.titles) == (10_000, 10_000, 6667) and row.s == 3333 * 0.5
+
+
 def test_first_existing(spark, tmp_path):
     path = _write(tmp_path / "b.csv", "a\n1\n")
     assert readers.first_existing(spark, [str(tmp_path / "a.csv"), path]) == path

@@ -7,6 +7,7 @@ import math
 import random
 import re
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -300,6 +301,32 @@ def test_text_without_common_words_is_rejected_by_that_alone(spark, docs):
     assert {r.doc_id for r in divergence.keep_regular(rows).filter(F.col("doc_id") == -1).collect()} == set()
 
 
+POLISH = """Rano na rynku miasteczka pojawiają się pierwsi sprzedawcy, którzy rozkładają stoiska z warzywami, serem i chlebem.
+Starsza kobieta przynosi kosz jabłek z ogrodu za rzeką, jej sąsiad ustawia słoiki miodu, chłopcy pomagają nosić skrzynki.
+Około dziewiątej przyjeżdża autobus z pobliskiej wsi i robi się gwarno, bo wszyscy chcą kupić świeże ryby, zanim znikną.
+Po południu ruch powoli słabnie, gołębie zbierają okruchy spod stołów, muzykant przy fontannie gra dawne melodie. Wieczorem
+zapalają się latarnie, kawiarnia wystawia krzesła przed drzwi, młodzi rozmawiają o meczu, starsi wspominają zimę, która
+przed laty zasypała całą drogę. Kiedy zegar na wieży wybija dziesiątą, ulice pustoszeją, okna gasną jedno po drugim i słychać
+tylko szum wody pod mostem oraz daleki gwizd pociągu, jadącego nocą przez lasy ku morzu."""
+
+
+def test_words_of_a_language_without_reference_are_not_judged(spark, docs):
+    invented = " ".join("".join(random.Random(i).choices("bcdghjkmpqvwxz", k=5)) for i in range(150))
+    others = [(-1, POLISH, "pl"), (-2, POLISH, "en"), (-3, POLISH, None), (-4, invented, "en"), (-5, "# | " * 200 + invented, "pl")]
+    rows = docs.select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame(others, "doc_id bigint, text string, lang string")
+    )
+    got = divergence.judge_documents(rows)
+    own = {r.doc_id: r for r in got.filter("doc_id < 0").collect()}
+    assert own[-1].word_distance > divergence.Rules().max_word_distance and not own[-1].base_failed
+    assert {i: r.kept for i, r in own.items()} == {-1: True, -2: False, -3: False, -4: False, -5: False}
+    assert {r.doc_id for r in divergence.keep_regular(rows).filter("doc_id < 0").collect()} == {-1}
+    con = duckdb.connect()
+    con.register("documents", rows.toArrow())
+    want = {r[0]: r[-1] for r in con.execute(divergence.judge_sql()).fetchall()}
+    assert want == {r.doc_id: r.kept for r in got.collect()}
+
+
 # --- op5 -------------------------------------------------------------------------------------------
 
 

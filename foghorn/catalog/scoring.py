@@ -349,8 +349,25 @@ def design_weights(spark, sf_dir):
     return rounded(out.select("company_id", "design_weight"), 6, "design_weight")
 
 
-@query()
+@query(f"""WITH {_SCORE_SQL}, units AS (
+  SELECT country, industry, score_0_100 AS v, count(*) AS n FROM scores WHERE score_0_100 IS NOT NULL GROUP BY ALL
+), cdf AS (
+  SELECT n, list(c ORDER BY k) AS cdf FROM (
+    SELECT n, k, sum(exp(k * ln(n) - n - lgamma(k + 1))) OVER (PARTITION BY n ORDER BY k) AS c
+    FROM (SELECT DISTINCT n, unnest(range(0, CAST(n + 10 * sqrt(n) + 60 AS BIGINT))) AS k FROM units)) GROUP BY n
+), draws AS (
+  SELECT country, industry, v, n, b,
+    CAST('0x' || substr(md5(concat_ws('|', country, industry, v, b, 42)), 1, 12) AS BIGINT) / 281474976710656::DOUBLE AS u
+  FROM (SELECT *, unnest(range(1, 101)) AS b FROM units)
+), drawn AS (
+  SELECT country, industry, v, b, len(list_filter(cdf, lambda c: c <= u)) AS w FROM draws JOIN cdf USING (n)
+), means AS (
+  SELECT country, industry, sum(w * v) / sum(w) AS mean FROM drawn GROUP BY country, industry, b HAVING sum(w) > 0
+)
+SELECT country, industry, round(quantile_cont(mean, 0.025), 8) AS low, round(quantile_cont(mean, 0.975), 8) AS high,
+  count(*) AS replicates FROM means GROUP BY ALL""")
 def bootstrap_interval(spark, sf_dir):
-    return doc.bootstrap_interval(
-        scores(spark, sf_dir), ["country", "industry"], "company_id", "score_0_100", replicates=100
+    out = doc.bootstrap_interval(
+        scores(spark, sf_dir), ["country", "industry"], None, "score_0_100", replicates=100
     )
+    return rounded(out, 8, "low", "high")

@@ -116,19 +116,33 @@ def design_weights(sample: DataFrame, frame: DataFrame, strata: Sequence[str]) -
     return sample.join(ratio.drop("_big", "_small"), list(strata))
 
 
-def _poisson_cdf() -> list[float]:
-    total, term, cdf = 0.0, math.exp(-1.0), []
-    for k in range(12):
-        total += term
-        cdf.append(total)
-        term /= k + 1
-    return cdf
+def poisson(n: Column, unit: Column) -> Column:
+    """The count of mean ``n`` whose place in the distribution is ``unit`` (0 to 1), by inversion.
+
+    The running sum of the probabilities starts where less than 2**-48 lies below, and
+    goes on to ten deviations above the mean, some 18 * sqrt(n) terms, so a draw costs that many steps, whatever its value.
+    """
+    root = F.sqrt(n)
+    first = F.when(n <= 300, F.lit(0.0)).otherwise(F.floor(n - 8 * root - 20).cast("double"))
+    # the logarithm of n**first * exp(-n) / first! by Stirling's series, ordered so that no large terms cancel
+    series = 1 / (12 * first) - 1 / (360 * F.pow(first, F.lit(3))) + 1 / (1260 * F.pow(first, F.lit(5)))
+    far = first * F.log1p((n - first) / first) - (n - first) - F.log(2 * math.pi * first) / 2 - series
+    p = F.exp(F.when(n <= 300, -n).otherwise(far))
+
+    def step(state: Column, i: Column) -> Column:
+        term = state["p"] * n / (state["k"] + 1)
+        higher = F.struct(term.alias("p"), (state["sum"] + term).alias("sum"), (state["k"] + 1).alias("k"))
+        return F.when(unit >= state["sum"], higher).otherwise(state)
+
+    start = F.struct(p.alias("p"), p.alias("sum"), first.alias("k"))
+    steps = F.sequence(F.lit(1), F.ceil(n - first + 10 * root + 60).cast("int"))
+    return F.aggregate(steps, start, step, lambda state: state["k"])
 
 
 def bootstrap_interval(
     df: DataFrame,
     strata: Sequence[str],
-    id_col: str,
+    id_col: str | None,
     value: str,
     replicates: int = 200,
     seed: int = 42,
@@ -136,25 +150,34 @@ def bootstrap_interval(
 ) -> DataFrame:
     """Interval of the stratum mean from Poisson(1) bootstrap weights.
 
-    Weights are a hash of (id, replicate, seed), so the result does not depend
-    on partitioning. Each task combines its rows per (stratum, replicate) before
-    the shuffle, so what travels grows with strata and replicates, not rows.
+    The rows of one ``id_col`` are drawn together; with None every row is drawn by itself.
+    n units of equal value in a stratum weigh Poisson(n) in all, which is drawn at once
+    per replicate, so what is drawn grows with the distinct values (two-decimal scores:
+    10,001 at most) and not with the rows. A draw inverts a hash of (stratum, value,
+    replicate, seed) and so depends on neither partitions nor the order of rows.
+    Null values are left out, and so is a replicate in which a whole stratum weighs nothing.
     """
-    unit = F.pmod(
-        F.xxhash64(F.col(id_col), F.col("_b"), F.lit(seed)), F.lit(1 << 30)
-    ) / F.lit(float(1 << 30))
-    weight = F.lit(0)
-    for edge in _poisson_cdf():
-        weight = weight + (unit >= edge).cast("int")
-
-    exploded = (
-        df.select(*strata, F.col(id_col), F.col(value).cast("double").alias("_v"))
-        .withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-        .withColumn("_w", weight)
-        .filter("_w > 0")
-    )
-    means = exploded.groupBy(*strata, "_b").agg(
-        (F.sum(F.col("_w") * F.col("_v")) / F.sum("_w")).alias("_mean")
+    keys = [F.col(c) for c in strata]
+    v = F.col(value).cast("double")
+    rows = df.select(*keys, *([] if id_col is None else [F.col(id_col).alias("_id")]), v.alias("_v"))
+    rows = rows.filter(F.col("_v").isNotNull())
+    if id_col is None:
+        units = rows.withColumn("_size", F.lit(1))
+    else:
+        # decimal sums, since those of doubles would depend on the order of rows
+        total = F.sum(F.col("_v").cast("decimal(28,10)")).cast("double")
+        units = rows.groupBy(*strata, "_id").agg(total.alias("_v"), F.count(F.lit(1)).alias("_size"))
+    equal = units.groupBy(*strata, "_v", "_size").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+
+    def draw(b: Column) -> Column:
+        text = F.concat_ws("|", *[k.cast("string") for k in keys], F.col("_v").cast("string"), b.cast("string"), F.lit(str(seed)))
+        unit = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / float(1 << 48)
+        return F.struct(b.alias("_b"), poisson(F.col("_n"), unit).alias("_w"))
+
+    draws = F.transform(F.sequence(F.lit(1), F.lit(replicates)), draw)
+    drawn = equal.select(*strata, "_v", "_size", F.inline(draws)).filter("_w > 0")
+    means = drawn.groupBy(*strata, "_b").agg(
+        (F.sum(F.col("_w") * F.col("_v")) / F.sum(F.col("_w") * F.col("_size"))).alias("_mean")
     )
     tail = (1.0 - level) / 2.0
     # one value per replicate: the percentile buffer holds ``replicates`` entries

@@ -414,6 +414,37 @@ def test_bootstrap_covers_the_mean_and_repeats(spark, rows_of):
     assert rows_of(one) == rows_of(doc.bootstrap_interval(df.repartition(7), ["g"], "id", "v", 200))
 
 
+def test_poisson_counts_by_inversion(spark):
+    for n in (1, 7, 300, 301, 5000, 250_000):
+        places = [0.0, 1e-9, 0.025, 0.3, 0.5, 0.8, 0.975, 1 - 1e-9]
+        frame = spark.createDataFrame([(float(n), u) for u in places], "n double, u double")
+        got = [int(r[0]) for r in frame.select(doc.poisson(F.col("n"), F.col("u"))).collect()]
+        # the distribution by ratios of its terms from twelve deviations below, made to sum to one
+        low, high = max(0, int(n - 12 * math.sqrt(n))), int(n + 12 * math.sqrt(n) + 60)
+        terms = [1.0]
+        for k in range(low + 1, high):
+            terms.append(terms[-1] * n / k)
+        total, below, k, want = math.fsum(terms), 0.0, low, []
+        for u in places:
+            while u >= (below + terms[k - low]) / total:
+                below, k = below + terms[k - low], k + 1
+            want.append(k)
+        # the first place is where the sum starts, which stands for all that weighs nothing
+        assert got[1:] == want[1:], n
+
+
+def test_bootstrap_draws_as_many_rows_as_values_and_keeps_ids_together(spark):
+    rows = [("s", str(i % 5000), float(i % 4)) for i in range(20_000)]
+    df = spark.createDataFrame([*rows, ("s", "x", None), ("t", "y", None)], "g string, id string, v double")
+    plan = doc.bootstrap_interval(df, ["g"], None, "v", 300)
+    row = plan.first()
+    # the standard error of a mean of 20,000 values of deviation 1.118 is 0.0079
+    assert row["low"] < 1.5 < row["high"] and 0.024 < row["high"] - row["low"] < 0.039 and plan.count() == 1
+    together = doc.bootstrap_interval(df, ["g"], "id", "v", 300).first()
+    # four rows of an id have one value: 5,000 units, twice the error
+    assert 0.048 < together["high"] - together["low"] < 0.078
+
+
 def test_description_priority(spark):
     df = spark.createDataFrame([("bcorp", "Food", "Sells bread. Sells bread.", "", "snippet")], "a string, b string, c string, d string, e string")
     got = df.select(ev.priority_description(*[F.col(c) for c in "abcde"])).first()[0]

@@ -523,3 +523,64 @@ def inherited_industry(spark, sf_dir):
         F.when(F.col("n_chars") > 2000, "").otherwise(F.concat("lang", F.lit("_industry"))).alias("industry"),
     )
     return doc.inherited_industry(d, ["en", "fr"]).select("doc_id", "industry")
+
+
+# --- labels, names, dates and descriptions from several fields -----------------
+
+@query(r"""WITH m AS (
+  SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'brand: ' || p_brand || '; SECTOR :  ' || p_type || ' | x' WHEN 1 THEN 'sector:' || p_type
+    ELSE 'brand: ' || p_brand END AS meta FROM part)
+SELECT p_partkey, CASE WHEN contains(lower(meta), 'sector') THEN trim(regexp_extract(meta, '(?i)sector\s*:\s*([^;|,]+)', 1)) ELSE '' END AS sector FROM m""")
+def sector_labels(spark, sf_dir):
+    meta = (
+        F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("brand: "), "p_brand", F.lit("; SECTOR :  "), "p_type", F.lit(" | x")))
+        .when(F.col("p_size") % 3 == 1, F.concat(F.lit("sector:"), "p_type"))
+        .otherwise(F.concat(F.lit("brand: "), "p_brand"))
+    )
+    return tb.table(spark, sf_dir, "part").select("p_partkey", cl.sector_label(meta).alias("sector"))
+
+
+@query("""SELECT p_partkey, CASE WHEN contains(lower(p_name), 'ring') AND NOT contains(lower(p_name), 'eco') AND contains(lower(p_type), 'eco')
+  THEN 'Eco Ring S.A.' ELSE p_name END AS name FROM part""")
+def repaired_names(spark, sf_dir):
+    """A name is replaced only where its context has the right form and it has not."""
+    part = tb.table(spark, sf_dir, "part")
+    name = tx.repair_name(F.col("p_name"), F.col("p_type"), [("ring", "eco", "Eco Ring S.A.")])
+    return part.select("p_partkey", name.alias("name"))
+
+
+@query("""SELECT o_orderkey, strftime(CASE o_orderkey % 5 WHEN 0 THEN o_orderdate WHEN 1 THEN o_orderdate + INTERVAL 1 DAY
+  WHEN 2 THEN CASE WHEN o_orderdate >= DATE '1999-12-30' THEN o_orderdate + INTERVAL 2 DAY END
+  WHEN 3 THEN CASE WHEN o_orderdate < DATE '2000-01-01' THEN o_orderdate + INTERVAL 100 YEAR END END, '%Y-%m-%d') AS page_date FROM orders""")
+def page_dates(spark, sf_dir):
+    """Date of a page: its time tag, else its meta tag, else its address (20yy only); unreadable values are passed over."""
+    key = F.col("o_orderkey") % 5
+
+    def day(plus: int, shape: str = "yyyy-MM-dd"):
+        return F.date_format(F.date_add(F.col("o_orderdate").cast("date"), plus), shape)
+
+    time_tag = F.when(key == 0, day(0)).when(key == 1, "last week")
+    meta_tag = F.when(key < 2, day(1)).when(key == 3, "")
+    url = F.concat(
+        F.lit("https://n.example"),
+        F.when(key == 4, "/news/1/")
+        .when(key == 3, F.date_format(F.add_months(F.col("o_orderdate").cast("date"), 1200), "/yyyy/M/d/"))
+        .otherwise(day(2, "/yyyy/M/d/")),  # of the last century: not read as a date
+    )
+    found = dx.page_date(time_tag, meta_tag, url)
+    return tb.table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(found, "yyyy-MM-dd").alias("page_date"))
+
+
+@query("""SELECT p_partkey, upper(p_brand) || ': ' || p_name || '. | ' || p_type || '.' || CASE WHEN p_size % 2 = 0 THEN ' | Sector: ' || p_brand ELSE '' END
+  || CASE WHEN p_size % 3 = 0 THEN ' | Now live!' ELSE '' END AS description FROM part""")
+def described_by_priority(spark, sf_dir):
+    """Description, sector, status and snippet in one text, sentences that repeat dropped."""
+    sentence = F.concat("p_name", F.lit(".  "), "p_type", F.lit("."))
+    text = ev.priority_description(
+        F.col("p_brand"),
+        F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).otherwise(""),
+        F.concat(sentence, F.lit(" "), "p_name", F.lit(".")),
+        F.when(F.col("p_size") % 3 == 0, " Now  live!").otherwise(" "),
+        F.concat("p_type", F.lit(".")),
+    )
+    return tb.table(spark, sf_dir, "part").select("p_partkey", text.alias("description"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from foghorn import vocab
 from foghorn.functions import dates as dx, text as tx
@@ -171,8 +171,6 @@ def member_list(
     ).filter("member_name <> ''")
 
 
-# one record: runs outside quotes, and quoted runs, which may hold line breaks and doubled quotes
-_RECORD = r'(?:[^"\n]++|"[^"]*+(?:"|\z))++'
 _CELL = r',(?:"[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
 
 
@@ -182,37 +180,91 @@ def _cells(record: Column) -> Column:
 
     def plain(cell: Column) -> Column:
         body = F.substring(cell, F.lit(2), F.length(cell))
-        inner = F.replace(F.substring(body, F.lit(2), F.length(body) - 2), F.lit('""'), F.lit('"'))
-        return F.when(body.startswith('"'), inner).otherwise(F.nullif(body, F.lit("")))
+        closed = body.endswith('"') & (F.length(body) > 1)
+        inner = F.substring(body, F.lit(2), F.length(body) - F.when(closed, 2).otherwise(1))
+        return F.when(body.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(F.nullif(body, F.lit("")))
 
     return F.transform(found, plain)
 
 
+def _csv_records(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """``_file, _record, record`` of all matching files: a record is one line, or several joined by open quotes.
+
+    Files are cut into blocks and blocks into lines, so no task holds a file. Whether a line starts
+    inside quotes follows from the quotes before it: those of the file's earlier blocks, summed per
+    block, and those of its own block's earlier lines.
+    """
+    lines = (
+        spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+        .text(folder)
+        .select(
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_line"),
+            "value",
+            F.regexp_count("value", F.lit('"')).cast("bigint").alias("_quotes"),
+        )
+    )
+    block, numbers = ["_file", "_block"], ("_upto", "_at", "_even", "_odd")
+    own = Window.partitionBy(*block).orderBy("_line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0).cast("bigint")
+    # the last line so far that opens a record: _even if an even number of quotes lies before the block, else _odd
+    lines = lines.withColumns({"_upto": F.sum("_quotes").over(own), "_at": F.count(F.lit(1)).over(own)})
+    inside = (F.col("_upto") - F.col("_quotes")) % 2
+    lines = lines.withColumns(
+        {n: F.coalesce(F.max(F.when(inside == i, F.col("_at"))).over(own), none) for i, n in enumerate(("_even", "_odd"))}
+    )
+    opened = F.when(F.col("_quotes_before") % 2 == 0, F.col("_even")).otherwise(F.col("_odd"))
+    start = F.when(opened > 0, F.col("_lines_before") + opened)
+    blocks = lines.groupBy(*block).agg(*[F.max(n).alias(n) for n in numbers]).withColumns(
+        {
+            "_quotes_before": F.coalesce(F.sum("_upto").over(earlier), none),
+            "_lines_before": F.coalesce(F.sum("_at").over(earlier), none),
+        }
+    )
+    blocks = blocks.withColumn("_open_before", F.max(start).over(earlier)).drop(*numbers)
+    number = F.col("_lines_before") + F.col("_at")
+    placed = lines.join(blocks, block).select(
+        "_file",
+        number.alias("_line"),
+        F.coalesce(start, "_open_before").alias("_record"),
+        F.when(number == 1, F.ltrim("value", F.lit("\ufeff"))).otherwise(F.col("value")).alias("value"),
+        ((F.col("_quotes_before") + F.col("_upto")) % 2 == 0).alias("_closed"),
+    )
+    whole = (F.col("_line") == F.col("_record")) & F.col("_closed")
+    several = placed.filter(~whole).groupBy("_file", "_record").agg(
+        F.array_sort(F.collect_list(F.struct("_line", "value"))).alias("_parts")
+    )
+    records = placed.filter(whole).select("_file", "_record", F.col("value").alias("record")).unionByName(
+        several.select("_file", "_record", F.array_join("_parts.value", "\n").alias("record"))
+    )
+    return records.filter(F.trim(F.rtrim("record", F.lit("\r"))) != "")
+
+
 def read_recursive(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """All matching files below a folder as canonical events; empty when there is none.
 
-    Each file is cut into records and read by its own header where it lies, so any
-    number of files and layouts meets in one scan, and neither paths nor layouts
+    Files are cut into records and each record is read by its own file's header, so any
+    number and size of files and layouts meets in one scan, and neither paths nor layouts
     come to the driver. Columns that a file lacks, cells that a short record lacks
     and unreadable ones are null or take the defaults; blank lines are skipped, a
-    header alone gives no rows. Of a repeated column name the first counts. A file
-    is one value in a task: meant for many small files, each far below 2 GB.
+    header alone gives no rows. Of a repeated column name the first counts.
     """
     if not exists(spark, folder):
         return spark.createDataFrame([], EVENT)
-    whole = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
-    records = F.regexp_extract_all(F.ltrim("value", F.lit("\ufeff")), F.lit(_RECORD), F.lit(0))
-    records = F.filter(records, lambda r: F.trim(F.rtrim(r, F.lit("\r"))) != "")
-    lines = whole.select(records.alias("records")).filter(F.size("records") > 1).select(
-        _cells(F.col("records")[0]).alias("header"), F.explode(F.expr("slice(records, 2, size(records))")).alias("record")
+    records = _csv_records(spark, folder, pattern)
+    headers = records.groupBy("_file").agg(F.min(F.struct("_record", "record")).alias("_first")).select(
+        "_file", F.col("_first._record").alias("_header"), _cells(F.col("_first.record")).alias("header")
     )
-    lines = lines.select(F.transform("header", lambda h: F.trim(h)).alias("header"), _cells(F.col("record")).alias("cells"))
-    named = lines.select(
-        *[
-            F.get("cells", F.coalesce(F.array_position("header", f.name), F.lit(0)).cast("int") - 1).alias(f.name)
-            for f in EVENT.fields
-        ]
+    # the place of every column is found once per file
+    places = headers.withColumn("header", F.transform("header", lambda h: F.trim(h))).select(
+        "_file",
+        "_header",
+        *[F.coalesce(F.array_position("header", f.name), F.lit(0)).cast("int").alias(f"_at_{f.name}") for f in EVENT.fields],
     )
+    lines = records.join(places, "_file").filter("_record > _header").withColumn("cells", _cells(F.col("record")))
+    named = lines.select(*[F.get("cells", F.col(f"_at_{f.name}") - 1).alias(f.name) for f in EVENT.fields])
     typed = named.select(
         *[
             dx.parse_ts(F.col(f.name)).alias(f.name) if f.dataType == T.TimestampType()

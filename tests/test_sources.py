@@ -100,6 +100,26 @@ def test_recursive_scan_of_many_files_sends_nothing_to_the_driver(spark, tmp_pat
     assert (row.ids, row.n, row.titles) == (10_000, 10_000, 6667) and row.s == 3333 * 0.5
 
 
+def test_recursive_scan_cuts_a_file_among_tasks(spark, tmp_path):
+    rows = [f'{i},"line {i}\n\nof, ""{i}""\nthree",t' if i % 3 == 0 else f"{i},plain {i},t" for i in range(2000)]
+    _write(tmp_path / "cut/a.csv", "\r\n \ncompany_id,title,source\n" + "\n".join(rows) + '\nlast,"open\n end\n')
+    _write(tmp_path / "cut/d/b.csv", "\ufeffsource,company_id\n" + "\n".join(f"u,b{i}" for i in range(500)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997b")  # most records with line breaks cross a cut
+    try:
+        frame = readers.read_recursive(spark, str(tmp_path / "cut"))
+        assert "wholetext" not in frame._jdf.queryExecution().optimizedPlan().toString().lower()
+        got = {r.company_id: r for r in frame.select("company_id", "title", "source").collect()}
+        parts = readers._csv_records(spark, str(tmp_path / "cut"), "*.csv").select(F.max(F.length("record"))).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert parts[0] < 100
+    assert len(got) == 2501 and got["b7"].source == "u" and got["last"].title == "open\n end"
+    for i in range(2000):
+        title = f'line {i}\n\nof, "{i}"\nthree' if i % 3 == 0 else f"plain {i}"
+        assert (got[str(i)].title, got[str(i)].source) == (title, "t")
+
+
 def test_first_existing(spark, tmp_path):
     path = _write(tmp_path / "b.csv", "a\n1\n")
     assert readers.first_existing(spark, [str(tmp_path / "a.csv"), path]) == path

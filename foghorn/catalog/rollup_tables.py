@@ -159,7 +159,9 @@ def monthly_top_segments(spark, sf_dir):
 SELECT industry, CASE WHEN avg_sentiment >= 0.2 THEN 'positive' WHEN avg_sentiment <= -0.2 THEN 'negative'
   ELSE 'neutral' END AS sentiment_label, count(company_id) AS companies FROM c GROUP BY ALL""")
 def sentiment_distribution(spark, sf_dir):
-    return rd.sentiment_distribution(rollup(spark, sf_dir))
+    e = prepared(spark, sf_dir)
+    companies = rd.company_rollup(e, tb.AS_OF, RECENT)
+    return rd.sentiment_distribution(rd.exact_sentiment(companies, e, ["event_id"]))
 
 
 @query(f"""WITH {tb.ROLLUP_SQL}, i AS (

@@ -55,9 +55,12 @@ def recency_factor(age: Column) -> Column:
     return F.round(F.greatest(F.lit(0.6), F.least(raw, F.lit(1.3))), 3)
 
 
+SENTIMENT_THRESHOLD = 0.2
+
+
 def sentiment_label(score: Column) -> Column:
     return (
-        F.when(score >= 0.2, "positive").when(score <= -0.2, "negative").otherwise("neutral")
+        F.when(score >= SENTIMENT_THRESHOLD, "positive").when(score <= -SENTIMENT_THRESHOLD, "negative").otherwise("neutral")
     )
 
 

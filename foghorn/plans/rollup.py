@@ -238,6 +238,30 @@ def industry_timeline(events: DataFrame, months: int = 24, top: int = 8) -> Data
 
 # --- distributions ------------------------------------------------------------
 
+def exact_sentiment(companies: DataFrame, events: DataFrame, order: Sequence[str], near: float = 1e-9) -> DataFrame:
+    """``companies`` with the mean sentiment summed in ``order`` where it lies at a label's threshold.
+
+    A sum of doubles depends on the order of its terms by its last bits, which decide there; elsewhere
+    they don't. Those few companies' events are collected, sorted and added one by one.
+    """
+    at_threshold = F.abs(F.abs("avg_sentiment") - mx.SENTIMENT_THRESHOLD) < near
+    few = companies.filter(at_threshold).select(*ROLLUP_KEYS)
+    ordered = (
+        events.join(few, ROLLUP_KEYS, "left_semi")
+        .filter("sentiment_score IS NOT NULL")
+        .groupBy(*ROLLUP_KEYS)
+        .agg(F.array_sort(F.collect_list(F.struct(*order, "sentiment_score"))).alias("_scores"))
+        .select(
+            *ROLLUP_KEYS,
+            (
+                F.aggregate("_scores", F.lit(0.0), lambda total, e: total + e["sentiment_score"]) / F.size("_scores")
+            ).alias("_mean"),
+        )
+    )
+    joined = companies.join(ordered, ROLLUP_KEYS, "left")
+    return joined.withColumn("avg_sentiment", F.coalesce("_mean", "avg_sentiment")).drop("_mean")
+
+
 def sentiment_distribution(companies: DataFrame) -> DataFrame:
     return companies.groupBy(
         "industry", mx.sentiment_label(F.col("avg_sentiment")).alias("sentiment_label")

@@ -1,5 +1,7 @@
 """Plans on hand-made rows: scoring edges, classification cases, sampling, ranking."""
 
+import functools
+import operator
 import random
 import re
 import unicodedata
@@ -246,6 +248,22 @@ def test_ranking_keeps_the_winner_with_summed_events(spark):
     assert ranking[1]["recency_factor"] == 1.2  # a future event counts as today's
 
 
+def test_sentiment_at_a_threshold_is_summed_in_event_order(spark):
+    scores = [(k - 50) / 50.0 for k in (37, 3, 99, 12, 55, 61, 8, 70, 41, 14)]  # their mean is -0.2 but for rounding
+    orders = [random.Random(i).sample(scores, 10) for i in range(8)]
+    labels = ["negative" if functools.reduce(operator.add, o, 0.0) / 10 <= -0.2 else "neutral" for o in orders]
+    assert set(labels) == {"negative", "neutral"}
+    rows = [(str(c), "", "A", "BR", str(c), "news", "s", 1.0, 1.0, v, DAY) for c, o in enumerate(orders) for v in o]
+    numbered = [(*r, i) for i, r in enumerate(rows)]
+    columns = ["company_id", "company_qid", "company_name", "country", "industry", "signal_type", "source",
+               "signal_strength", "climate_score", "sentiment_score", "ts", "event_id"]
+    for arrived in (numbered, numbered[::-1], sorted(numbered, key=lambda r: r[9])):
+        events = rd.prepare_events(spark.createDataFrame(arrived, columns))
+        companies = rd.exact_sentiment(rd.company_rollup(events, AS_OF), events, ["event_id"])
+        got = {r.industry: r.sentiment_label for r in rd.sentiment_distribution(companies).collect()}
+        assert got == {str(c): label for c, label in enumerate(labels)}
+
+
 def test_boost_is_capped(spark):
     df = spark.createDataFrame([(1,), (10**6,)], "n long")
     assert [r[0] for r in df.select(mx.volume_boost(F.col("n"))).collect()] == [pytest.approx(1 + 0.15 * math.log(2)), 1.8]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
+from itertools import islice
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foghorn import vocab
@@ -94,6 +96,22 @@ def _read_page(url: str, html: str, max_parts: int | None = None) -> dict:
     }
 
 
+#: Bytes of HTML that are read together; a larger page is read alone.
+PAGE_BYTES = 1 << 20
+
+
+def _small(batches: Iterator[pa.RecordBatch], limit: int = PAGE_BYTES) -> Iterator[dict[str, list]]:
+    """Rows of Arrow batches as Python lists, a few pages at a time."""
+    for batch in batches:
+        begin, held = 0, 0
+        sizes = pc.fill_null(pc.binary_length(batch.column("html")), 0).to_pylist()
+        for end, size in enumerate(sizes, 1):
+            held += size
+            if held >= limit or end == len(sizes):
+                yield batch.slice(begin, end - begin).to_pydict()
+                begin, held = end, 0
+
+
 def page_contents(pages: DataFrame, max_parts: int | None = None) -> DataFrame:
     """``page_id, url, title, text, hrefs, published`` per landed page, in Arrow batches.
 
@@ -101,13 +119,19 @@ def page_contents(pages: DataFrame, max_parts: int | None = None) -> DataFrame:
     stops after that many of them, by default the whole page is taken.
     """
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [_read_page(u, h, max_parts) for u, h in zip(batch["url"], batch["html"])]
-            parsed = pd.DataFrame(rows, columns=["title", "text", "hrefs", "time_tag", "meta_tag"])
-            yield pd.concat([batch[["page_id", "url"]].reset_index(drop=True), parsed], axis=1)
+    text = pa.string()
+    schema = pa.schema(
+        {"page_id": pa.int64(), "url": text, "title": text, "text": text, "hrefs": pa.list_(text), "time_tag": text, "meta_tag": text}
+    )
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _small(batches):
+            pages = zip(rows["page_id"], rows["url"], rows["html"])
+            yield pa.RecordBatch.from_pylist(
+                [{"page_id": i, "url": u, **_read_page(u, h, max_parts)} for i, u, h in pages], schema
+            )
 
-    parsed = pages.select("page_id", "url", "html").mapInPandas(
+    parsed = pages.select("page_id", "url", "html").mapInArrow(
         parse,
         "page_id bigint, url string, title string, text string, hrefs array<string>, "
         "time_tag string, meta_tag string",
@@ -234,19 +258,31 @@ def _table_rows(url: str, html: str) -> Iterator[dict]:
             row_no += 1
 
 
-_TABLE_COLUMNS = ["url", "table_no", "row_no", "cells", "classes", "values", "first_is_head", "link"]
+_TABLE_SCHEMA = pa.schema(
+    {
+        "url": pa.string(),
+        "table_no": pa.int32(),
+        "row_no": pa.int32(),
+        "cells": pa.list_(pa.struct({"k": pa.string(), "v": pa.string()})),
+        "classes": pa.list_(pa.struct({"k": pa.string(), "v": pa.string()})),
+        "values": pa.list_(pa.string()),
+        "first_is_head": pa.bool_(),
+        "link": pa.string(),
+    }
+)
 
 
-def _table_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = [r for u, h in zip(batch["url"], batch["html"]) for r in _table_rows(u, h)]
-        yield pd.DataFrame(rows, columns=_TABLE_COLUMNS)
+def _table_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for pages in _small(batches):
+        found = (r for u, h in zip(pages["url"], pages["html"]) for r in _table_rows(u, h))
+        while rows := list(islice(found, 5000)):
+            yield pa.RecordBatch.from_pylist(rows, _TABLE_SCHEMA)
 
 
 def table_rows(pages: DataFrame) -> DataFrame:
     """One row per HTML table row: cells by header, by class, in order, and the first link."""
     pairs = "array<struct<k: string, v: string>>"
-    out = pages.select("url", "html").mapInPandas(
+    out = pages.select("url", "html").mapInArrow(
         _table_batches,
         f"url string, table_no int, row_no int, cells {pairs}, classes {pairs}, "
         "values array<string>, first_is_head boolean, link string",

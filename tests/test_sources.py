@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import uuid
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,15 @@ def test_recursive_scan_cuts_a_file_among_tasks(spark, tmp_path):
         assert (got[str(i)].title, got[str(i)].source) == (title, "t")
 
 
+def test_pages_are_read_a_few_at_a_time():
+    htmls = ["<p>" + "x" * size + "</p>" for size in (10, pages.PAGE_BYTES * 2, *[9_000] * 1000)] + [None]
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(len(htmls))), "url": ["u"] * len(htmls), "html": htmls})
+    parts = list(pages._small(iter([batch, batch.slice(0, 0)])))
+    assert [i for p in parts for i in p["page_id"]] == list(range(len(htmls)))
+    assert [h for p in parts for h in p["html"]] == htmls
+    assert all(sum(len(h or "") for h in p["html"][:-1]) < pages.PAGE_BYTES for p in parts) and len(parts) > 8
+
+
 def test_first_existing(spark, tmp_path):
     path = _write(tmp_path / "b.csv", "a\n1\n")
     assert readers.first_existing(spark, [str(tmp_path / "a.csv"), path]) == path

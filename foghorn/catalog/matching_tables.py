@@ -31,7 +31,7 @@ def part_universe(spark, sf_dir):
 
 
 def part_members(spark, sf_dir):
-    part = tb.table(spark, sf_dir, "part")
+    part = tb.text_table(spark, sf_dir, "part")
     full = F.concat_ws("  ", F.upper("p_name"), "p_type", F.concat("p_brand", F.lit(".")))
     short = F.concat(F.lit("The "), "p_name", F.lit(" Holding "), "p_type", F.lit(" Corp"))
     size = F.col("p_size")
@@ -571,7 +571,7 @@ def feed_entries(spark, sf_dir):
 @query("""SELECT c_name AS member_name, 'https://l.example/m/' || c_custkey AS url, '2011-03-04' AS ts, 'ungc' AS signal_type, 'BR' AS country, c_mktsegment AS sector
 FROM customer""")
 def html_member_tables(spark, sf_dir):
-    c = tb.table(spark, sf_dir, "customer")
+    c = tb.text_table(spark, sf_dir, "customer")
     key = F.col("c_custkey").cast("string")
     html = F.concat(
         F.lit("<html><table><tr><th>Name</th><th>Type</th><th>Sector</th><th>Country</th><th>Joined On</th></tr>"

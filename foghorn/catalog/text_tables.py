@@ -211,7 +211,7 @@ def _part_inputs(spark, sf_dir):
         F.array(*[F.lit(v) for v in ("Banco y tienda ", "Solar energy ", "Food truck ", "Dispositivo médico ", "Ring ")]),
         F.col("p_size") % 5 + 1,
     )
-    return tb.table(spark, sf_dir, "part").select(
+    return tb.text_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("row_id"),
         F.lit("manufacturing").alias("industry"),
         F.col("p_name").alias("company_name"),

@@ -23,7 +23,7 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["html_member_tables", "member_events"])
+@pytest.mark.parametrize("name", ["html_member_tables", "member_events", "reclassify_confusion"])
 def test_costly_rows_of_a_small_file_are_spread(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Repartition" in plan

@@ -116,18 +116,24 @@ def design_weights(sample: DataFrame, frame: DataFrame, strata: Sequence[str]) -
     return sample.join(ratio.drop("_big", "_small"), list(strata))
 
 
-def poisson(n: Column, unit: Column) -> Column:
-    """The count of mean ``n`` whose place in the distribution is ``unit`` (0 to 1), by inversion.
-
-    The running sum of the probabilities starts where less than 2**-48 lies below, and
-    goes on to ten deviations above the mean, some 18 * sqrt(n) terms, so a draw costs that many steps, whatever its value.
-    """
+def _poisson_start(n: Column) -> tuple[Column, Column, Column]:
+    """The count at which the running sum starts, its probability, and the steps to ten deviations above the mean."""
     root = F.sqrt(n)
     first = F.when(n <= 300, F.lit(0.0)).otherwise(F.floor(n - 8 * root - 20).cast("double"))
     # the logarithm of n**first * exp(-n) / first! by Stirling's series, ordered so that no large terms cancel
     series = 1 / (12 * first) - 1 / (360 * F.pow(first, F.lit(3))) + 1 / (1260 * F.pow(first, F.lit(5)))
     far = first * F.log1p((n - first) / first) - (n - first) - F.log(2 * math.pi * first) / 2 - series
     p = F.exp(F.when(n <= 300, -n).otherwise(far))
+    return first, p, F.ceil(n - first + 10 * root + 60).cast("int")
+
+
+def poisson(n: Column, unit: Column) -> Column:
+    """The count of mean ``n`` whose place in the distribution is ``unit`` (0 to 1), by inversion.
+
+    The running sum of the probabilities starts where less than 2**-48 lies below, and
+    goes on to ten deviations above the mean, some 18 * sqrt(n) terms, so a draw costs that many steps, whatever its value.
+    """
+    first, p, most = _poisson_start(n)
 
     def step(state: Column, i: Column) -> Column:
         term = state["p"] * n / (state["k"] + 1)
@@ -135,8 +141,42 @@ def poisson(n: Column, unit: Column) -> Column:
         return F.when(unit >= state["sum"], higher).otherwise(state)
 
     start = F.struct(p.alias("p"), p.alias("sum"), first.alias("k"))
-    steps = F.sequence(F.lit(1), F.ceil(n - first + 10 * root + 60).cast("int"))
-    return F.aggregate(steps, start, step, lambda state: state["k"])
+    return F.aggregate(F.sequence(F.lit(1), most), start, step, lambda state: state["k"])
+
+
+#: Places of a distribution that are looked through together.
+CDF_STRIDE = 32
+
+
+def poisson_table(counts: DataFrame, n: str) -> DataFrame:
+    """``counts`` (distinct means ``n``) with the running sums of each Poisson distribution.
+
+    ``_first`` is the count of the first sum; less than 2**-48 lies below. ``_cdf`` goes on to ten
+    deviations above the mean, some 18 * sqrt(n) sums. ``_marks`` holds every ``CDF_STRIDE``-th sum.
+    """
+    mean = F.col(n)
+    first, p, most = _poisson_start(mean)
+
+    def step(state: Column, i: Column) -> Column:
+        term = state["p"] * mean / (state["k"] + 1)
+        total = state["sum"] + term
+        sums = F.concat(state["sums"], F.array(total))
+        return F.struct(term.alias("p"), total.alias("sum"), (state["k"] + 1).alias("k"), sums.alias("sums"))
+
+    start = F.struct(p.alias("p"), p.alias("sum"), first.alias("k"), F.array(p).alias("sums"))
+    sums = F.aggregate(F.sequence(F.lit(2), most), start, step, lambda state: state["sums"])
+    cdf = counts.select(n, first.alias("_first"), sums.alias("_cdf"))
+    return cdf.withColumn("_marks", F.filter("_cdf", lambda c, i: i % CDF_STRIDE == 0))
+
+
+def poisson_of_table(unit: Column) -> Column:
+    """The count whose place in the distribution is ``unit`` (0 to 1), in a :func:`poisson_table`.
+
+    The marks lead to one stride of sums, so a draw costs some sqrt(n) / 2 comparisons and one stride.
+    """
+    below = F.size(F.filter("_marks", lambda c: c <= unit))
+    within = F.size(F.filter(F.slice("_cdf", (below - 1) * CDF_STRIDE + 1, F.lit(CDF_STRIDE)), lambda c: c <= unit))
+    return F.col("_first") + F.when(below == 0, 0).otherwise((below - 1) * CDF_STRIDE + within)
 
 
 def bootstrap_interval(
@@ -172,10 +212,13 @@ def bootstrap_interval(
     def draw(b: Column) -> Column:
         text = F.concat_ws("|", *[k.cast("string") for k in keys], F.col("_v").cast("string"), b.cast("string"), F.lit(str(seed)))
         unit = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / float(1 << 48)
-        return F.struct(b.alias("_b"), poisson(F.col("_n"), unit).alias("_w"))
+        return F.struct(b.alias("_b"), tx.let(unit, poisson_of_table).alias("_w"))
 
     draws = F.transform(F.sequence(F.lit(1), F.lit(replicates)), draw)
-    drawn = equal.select(*strata, "_v", "_size", F.inline(draws)).filter("_w > 0")
+    # few rows with many draws each: a fixed number of tasks, which are not put together by their small size
+    placed = equal.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, *strata, "_v", "_size")
+    placed = placed.join(poisson_table(equal.select("_n").distinct(), "_n"), "_n")
+    drawn = placed.select(*strata, "_v", "_size", F.inline(draws)).filter("_w > 0")
     means = drawn.groupBy(*strata, "_b").agg(
         (F.sum(F.col("_w") * F.col("_v")) / F.sum(F.col("_w") * F.col("_size"))).alias("_mean")
     )

@@ -451,6 +451,15 @@ def test_poisson_counts_by_inversion(spark):
         assert got[1:] == want[1:], n
 
 
+def test_poisson_table_gives_the_same_counts(spark):
+    places = [0.0, 1e-9, 0.025, 0.3, 0.5, 0.8, 0.975, 1 - 1e-9, 1 - 2.0**-48]
+    means = spark.createDataFrame([(float(n),) for n in (1, 7, 50, 300, 301, 5000)], "n double")
+    table = doc.poisson_table(means, "n")
+    frame = table.select("*", F.explode(F.array(*[F.lit(u) for u in places])).alias("u"))
+    got = frame.select(doc.poisson(F.col("n"), F.col("u")).alias("a"), tx.let(F.col("u"), doc.poisson_of_table).alias("b"))
+    assert got.count() == 54 and got.filter("NOT a <=> b").count() == 0
+
+
 def test_bootstrap_draws_as_many_rows_as_values_and_keeps_ids_together(spark):
     rows = [("s", str(i % 5000), float(i % 4)) for i in range(20_000)]
     df = spark.createDataFrame([*rows, ("s", "x", None), ("t", "y", None)], "g string, id string, v double")

@@ -422,6 +422,16 @@ def test_employee_mask(spark):
     assert mask(500) == [False, False, False, False, True]
 
 
+def test_first_match_tests_plain_alternatives_by_containment(spark):
+    rules = [("a-?b|zinc ore|ü", "one"), (r"(x|y)z", "two"), ("[p|q]1|non[- ]?profit", "three"), (r"\bund\b", "four")]
+    texts = ["ab", "a zinc ore", "mün", "yz", "|1", "non profit", "an und b", "grund", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(tx.first_match(F.col("t"), rules, "no").alias("r"))
+    assert [r[0] for r in got.collect()] == ["one", "one", "one", "two", "three", "three", "four", "no", "no", "no"]
+    plan = df.select(tx.first_match(F.col("t"), rules))._jdf.queryExecution().optimizedPlan().toString()
+    assert "zinc ore)" in plan and "|zinc ore" not in plan
+
+
 # --- documented methods -------------------------------------------------------
 
 def test_bootstrap_covers_the_mean_and_repeats(spark, rows_of):

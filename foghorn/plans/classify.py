@@ -43,24 +43,45 @@ def _quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _contains(field: str, words: Sequence[str]) -> str:
-    return "(" + " OR ".join(f"contains({field}, {_quoted(w)})" for w in words) + ")"
+def _any_of(found: str, words: Sequence[str]) -> str:
+    """Any of the words among those found."""
+    return f"arrays_overlap({found}, array({', '.join(map(_quoted, words))}))"
 
 
-def _search(field: str, pattern: str) -> str:
-    """Pattern found in lower-case text; literal alternatives are tested by containment."""
+def _spellings(part: str) -> list[str]:
+    """The literals that an alternative stands for; none if it is more than optional parts and classes of letters."""
+    option = re.search(r"\(([a-z0-9 -]+)\)\?|([a-z0-9 -])\?|\[([a-záéíóúüñ0-9]+)\]", part)
+    if option is None:
+        return [part] if re.fullmatch(r"[a-z0-9áéíóúüñ -]+", part) else []
+    choices = option.group(3) or ["", option.group(1) or option.group(2)]
+    spelled = [_spellings(part[: option.start()] + c + part[option.end() :]) for c in choices]
+    return sum(spelled, []) if all(spelled) else []
+
+
+def _literals(pattern: str) -> list[str]:
+    return [word for part in _alternatives(pattern) for word in _spellings(part)]
+
+
+def _search(field: str, pattern: str, found: str | None = None) -> str:
+    """Pattern found in lower-case text; literal alternatives are tested by containment.
+
+    ``found`` names an array of the :func:`_literals` of all patterns that the text contains.
+    """
     tests = []
     for part in _alternatives(pattern):
-        if re.fullmatch(r"[a-z0-9áéíóúüñ -]+", part):
-            tests.append(f"contains({field}, {_quoted(part)})")
-        else:
+        words = _spellings(part)
+        if not words:
             flags = "" if part == part.lower() else "(?iu)"
             tests.append(f"rlike({field}, {_quoted(flags + part)})")
+        elif found is None:
+            tests += [f"contains({field}, {_quoted(w)})" for w in words]
+    if found is not None and _literals(pattern):
+        tests.insert(0, _any_of(found, _literals(pattern)))
     return "(" + " OR ".join(tests) + ")"
 
 
-def _pattern_hit(pattern: str) -> str:
-    """Pattern found in ``t.lower`` or in its accent-free form ``t.folded``.
+def _searches(pattern: str) -> list[tuple[str, str]]:
+    """Texts and patterns of which one has to be found for ``pattern`` to be in ``t.lower`` or ``t.folded``.
 
     A class that offers a letter with and without its accent is the plain letter
     in folded text. What then is plain ASCII matches the folded text whenever it
@@ -72,8 +93,13 @@ def _pattern_hit(pattern: str) -> str:
         pattern,
     )
     if simple.isascii() and not re.search(r"\[\^|\(\?|\\", simple):
-        return _search("t.folded", simple)
-    return f"({_search('t.folded', pattern)} OR {_search('t.lower', pattern)})"
+        return [("folded", simple)]
+    return [("folded", pattern), ("lower", pattern)]
+
+
+def _pattern_hit(pattern: str) -> str:
+    """Pattern found in ``t.lower`` or in its accent-free form ``t.folded``."""
+    return "(" + " OR ".join(_search(f"t.{text}", p, f"_found.{text}") for text, p in _searches(pattern)) + ")"
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -98,12 +124,12 @@ def classify(
        going to the slug that scored first in listed order;
     3. else the first listed token found; else ``unknown``.
 
-    One generated projection over the row: no join and no shuffle. Every pattern
+    One projection over the row: no join and no shuffle. The literals of a text are
+    looked up all at once (:func:`tx.literals_found`); what remains of the patterns
     is tested once per row, and only if no alias was found.
     """
     present = F.filter(F.array(*_fields(df, fields)), lambda f: f != "")
-    # fields are kept apart by a character that no fragment can contain
-    fragments = F.array_join(F.transform(present, lambda f: tx.fragment(f)), "\n")
+    fragments = F.transform(present, lambda f: tx.fragment(f))
     meta = tx.fragment("source_meta") if "source_meta" in df.columns else F.lit("")
     combined = F.lower(F.array_join(present, " "))
     texts = F.struct(
@@ -115,8 +141,17 @@ def classify(
             F.lit(None).cast("string"),
         ).alias("hint"),
     )
+    searched = [pair for pattern, _, _ in patterns for pair in _searches(pattern)]
+    literals = {text: [w for t, p in searched if t == text for w in _literals(p)] for text in ("lower", "folded")}
+    # fields are kept apart by a character that no fragment can contain; tokens may span fields
+    frags = F.col("_texts.frags")
+    named = [_fragment_literal(w) for _, words in aliases for w in words]
+    found = {text: tx.literals_found(F.col(f"_texts.{text}"), words) for text, words in literals.items() if words}
+    found["frags"] = tx.literals_found(F.array_join(frags, "\n"), named)
+    found["whole"] = tx.literals_found(F.array_join(F.filter(frags, lambda f: f != ""), " "), [t for t, _ in tokens])
     return (
         df.withColumn("_texts", texts)
+        .withColumn("_found", F.struct(*[words.alias(text) for text, words in found.items()]))
         .withColumn("_class", F.expr(_class_sql(aliases, patterns, tokens, sector_hints, accept)))
         .select(
             *df.columns,
@@ -135,7 +170,7 @@ def _class_sql(
     sector_hints: Sequence[tuple[str, str]],
     accept: float,
 ) -> str:
-    """The classification of the struct column ``_texts`` as one SQL expression."""
+    """The classification of the struct columns ``_texts`` and ``_found`` as one SQL expression."""
 
     def outcome(slug: str, reason: str, score: str, hint: str) -> str:
         return (
@@ -144,9 +179,8 @@ def _class_sql(
         )
 
     # 3. tokens, over the fragments of all fields
-    first_token = " ".join(f"WHEN contains(w, {_quoted(t)}) THEN {_quoted(s)}" for t, s in tokens)
-    whole = "trim(regexp_replace(replace(t.frags, '\\n', ' '), '  +', ' '))"
-    token = _let("w", whole, f"CASE {first_token} END")
+    first_token = " ".join(f"WHEN {_any_of('_found.whole', [t])} THEN {_quoted(s)}" for t, s in tokens)
+    token = f"CASE {first_token} END" if tokens else "CAST(NULL AS STRING)"
     by_token = _let(
         "k",
         token,
@@ -180,7 +214,7 @@ def _class_sql(
 
     # 1. aliases in listed order
     arms = " ".join(
-        f"WHEN {_contains('t.frags', tx.dedupe_terms([_fragment_literal(w) for w in words]))} THEN {_quoted(slug)}"
+        f"WHEN {_any_of('_found.frags', tx.dedupe_terms([_fragment_literal(w) for w in words]))} THEN {_quoted(slug)}"
         for slug, words in aliases
     )
     alias = f"CASE {arms} END" if arms else "CAST(NULL AS STRING)"
@@ -274,15 +308,15 @@ def confusion(df: DataFrame, old: str, new: str) -> DataFrame:
 
 # --- rule scorer --------------------------------------------------------------
 
-def _best_rule_sql(text: str, patterns: Patterns) -> str:
+def _best_rule_sql(text: str, patterns: Patterns, found: str | None = None) -> str:
     """``(score, order, slug)`` with the largest summed weight over lower-case ``text``.
 
-    The alphabetically first slug wins a tie.
+    The alphabetically first slug wins a tie. ``found`` is that of :func:`_search`.
     """
     options = []
     for i, slug in enumerate(sorted({p[1] for p in patterns})):
         score = " + ".join(
-            f"IF({_search(text, pattern)}, {float(weight)}D, 0D)"
+            f"IF({_search(text, pattern, found)}, {float(weight)}D, 0D)"
             for pattern, owner, weight in patterns
             if owner == slug
         )
@@ -313,11 +347,12 @@ def rule_classify(
         "_corpus",
         _let(
             "b",
-            _best_rule_sql("c", patterns),
+            _best_rule_sql("c", patterns, "_found"),
             f"named_struct('slug', IF(b.score > 0, b.slug, {missing}), 'score', b.score)",
         ),
     )
-    return df.withColumn("_corpus", corpus).withColumn("_rule", F.expr(ruled)).select(
+    found = tx.literals_found(F.col("_corpus"), [w for pattern, _, _ in patterns for w in _literals(pattern)])
+    return df.withColumn("_corpus", corpus).withColumn("_found", found).withColumn("_rule", F.expr(ruled)).select(
         *df.columns,
         F.col("_rule.slug").alias("rule_slug"),
         F.col("_rule.score").alias("rule_score"),

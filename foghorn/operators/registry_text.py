@@ -5,11 +5,12 @@ under its word with the next one, which are the keys of names of one and of more
 confirmed on the words that follow. So a text costs two look-ups a word whatever the registry's size, and
 a frequent first word ("banco") multiplies nothing by itself. The names are broadcast if their number and
 bytes are within the limits; otherwise both sides are shuffled by key, where adaptive execution can split
-a hot one. The hits of a text are few; the choice among them is made in one pass over their array.
+a hot one. The choice among the hits of a text is made in one pass over their array.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from foghorn.functions import text as tx
@@ -27,6 +28,24 @@ def _key(words, at=0):
     )
 
 
+def _free_places():
+    """Which of the places of a text, from the left, begin behind the end of the one taken before."""
+
+    @F.arrow_udf("array<int>")
+    def free(starts: pa.Array, ends: pa.Array) -> pa.Array:
+        out = []
+        for begin, end in zip(starts.to_pylist(), ends.to_pylist()):
+            until, kept = 0, []
+            for i, at in enumerate(begin):
+                if at >= until:
+                    until = end[i]
+                    kept.append(i)
+            out.append(kept)
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return free
+
+
 def registry_mentions(
     texts: DataFrame, text_id: str, text: str, registry: DataFrame, name: str
 ) -> DataFrame:
@@ -51,43 +70,27 @@ def registry_mentions(
     if not rows:
         longest = 1
     small = rows <= BROADCAST_ROW_LIMIT and size <= BROADCAST_BYTE_LIMIT
-    side = F.broadcast(names) if small else names
-
     words = texts.select(text_id, _words(text).alias("_words"))
-    places = words.select(
-        text_id,
-        F.explode(
-            F.transform(
-                F.col("_words"),
-                lambda w, i: F.struct(i.alias("at"), F.slice("_words", i + 1, longest).alias("run")),
-            )
-        ).alias("_p"),
-    )
-    run = F.col("_p.run")
-    places = places.select(
-        text_id,
-        F.col("_p.at").alias("_at"),
-        run.alias("_run"),
-        F.explode(F.array_distinct(F.array(F.get(run, F.lit(0)), _key(run)))).alias("_key"),
-    )
-    same = F.slice("_run", 1, F.size("_alias")) == F.col("_alias")
-    hits = places.join(side, "_key").filter(same)
+    places = words.select(text_id, "_words", F.posexplode("_words").alias("_at", "_w"))
+    pair = F.concat("_w", F.lit(" "), F.get("_words", F.col("_at") + 1))
+    keys = F.explode(F.when(pair.isNull(), F.array("_w")).otherwise(F.array(F.col("_w"), pair))).alias("_key")
+    run = F.slice("_words", F.col("_at") + 1, longest)
+    if small:
+        # a text's words stay where they are, shared by its places: only a hit takes its own from them
+        hits = places.select(text_id, "_words", "_at", keys).join(F.broadcast(names), "_key").withColumn("_run", run)
+    else:
+        hits = places.select(text_id, "_at", keys, run.alias("_run")).join(names, "_key")
+    hits = hits.filter(F.slice("_run", 1, F.size("_alias")) == F.col("_alias"))
     found = hits.groupBy(text_id).agg(
         F.array_sort(  # from the left, longer ones first
             F.collect_list(F.struct(F.col("_at").alias("at"), (-F.size("_alias")).alias("less"), F.col("_spelling").alias("name")))
         ).alias("_hits")
     )
-    kind = "struct<until:int,kept:array<struct<at:int,less:int,name:string>>>"
-    start = F.struct(F.lit(0).alias("until"), F.expr("cast(array() as array<struct<at:int,less:int,name:string>>)").alias("kept"))
-    chosen = F.aggregate(
-        "_hits",
-        start.cast(kind),
-        lambda a, h: F.when(
-            h["at"] >= a["until"],
-            F.struct((h["at"] - h["less"]).alias("until"), F.array_append(a["kept"], h).alias("kept")).cast(kind),
-        ).otherwise(a),
+    free = _free_places()(F.transform("_hits", lambda h: h["at"]), F.transform("_hits", lambda h: h["at"] - h["less"]))
+    chosen = found.withColumn("_free", free).select(
+        text_id, F.explode(F.transform("_free", lambda i: F.get("_hits", i))).alias("_h")
     )
-    chosen = found.select(text_id, F.explode(chosen["kept"]).alias("_h")).select(
+    chosen = chosen.select(
         text_id,
         F.col("_h.at").alias("first_word"),
         (-F.col("_h.less")).alias("n_words"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foghorn.catalog import QUERIES
 from foghorn.functions import text as tx
+from foghorn.operators.registry_text import registry_mentions
 from foghorn.plans import classify as cl
 from foghorn.session import ensure_checkpoint_dir
 from foghorn.streaming.events import BatchFolders
@@ -58,3 +59,14 @@ def test_patterns_that_are_no_literals_and_tokens_over_two_fields(spark):
     assert {tuple(r) for r in got} == {
         (1, "ict", "token"), (2, "unknown", "unknown"), (3, "num", "weighted"), (4, "kid", "weighted"), (5, "bar", "token"),
     }
+
+
+def test_a_text_is_cut_into_words_once_and_its_hits_are_passed_once(spark):
+    texts = spark.createDataFrame([(1, "Ábc x " * 500 + "end"), (2, "x"), (3, None)], "i int, t string")
+    plan = texts.select(tx.fold_words("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") <= 4
+    names = spark.createDataFrame([("abc",), ("x abc",), ("x end",)], "name string")
+    found = registry_mentions(texts, "i", "t", names, "name")
+    assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r.i, r.first_word, r.n_words) for r in found.collect())
+    assert got == [(1, 0, 1)] + [(1, 2 * k + 1, 2) for k in range(500)]

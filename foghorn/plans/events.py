@@ -51,6 +51,13 @@ def union_events(frames: Sequence[DataFrame], **defaults) -> DataFrame:
     return canonical_events(merged, **defaults)
 
 
+def both_batches(current: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Current and incoming rows, told apart by ``_batch``."""
+    return current.withColumn("_batch", F.lit(0)).unionByName(
+        incoming.withColumn("_batch", F.lit(1)), allowMissingColumns=True
+    )
+
+
 def append_keep_last(
     current: DataFrame,
     incoming: DataFrame,
@@ -62,9 +69,7 @@ def append_keep_last(
     Within a batch the row with the largest ``order`` value wins (default: the
     row's own content, so the result never depends on file order).
     """
-    both = current.withColumn("_batch", F.lit(0)).unionByName(
-        incoming.withColumn("_batch", F.lit(1)), allowMissingColumns=True
-    )
+    both = both_batches(current, incoming)
     rest = [c for c in both.columns if c not in (*key, "_batch")]
     ranking = [F.col("_batch").desc()]
     if order:

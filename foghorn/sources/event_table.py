@@ -22,16 +22,20 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from foghorn.plans.events import EVENT_KEY, append_keep_last, canonical_events
+from foghorn.operators.rows import keep_one
+from foghorn.plans.events import EVENT_KEY, append_keep_last, both_batches, canonical_events
 from foghorn.schemas import EVENT
-from foghorn.session import materialise
+from foghorn.session import ensure_checkpoint_dir
 
 UNDATED = "none"
 FILTER_BITS = 1 << 22
 #: Events of a file, some hundred MB.
 FILE_ROWS = 2_000_000
+#: Rows of one key that may meet in a task, and the counters per month that tell of more.
+HOT_ROWS = 1_000_000
+COUNTERS = 512
 ATTEMPTS = 20
 
 
@@ -152,11 +156,21 @@ def _bits(rows: DataFrame, key: Sequence[str], by: Sequence[str]) -> DataFrame:
     return words.groupBy(*by, "word").agg(F.bit_or("bit").alias("bits"))
 
 
+def _months_and_heat(incoming: DataFrame, key: Sequence[str]) -> tuple[list[str], bool]:
+    """The months of rows, and whether a key may have more than ``HOT_ROWS`` of them.
+
+    Rows are counted by month and hash of the key, so a counter far above its month's mean holds a hot key.
+    """
+    counter = F.pmod(F.xxhash64(*key), F.lit(COUNTERS))
+    counts = incoming.groupBy("month", counter.alias("_counter")).count()
+    by_month = counts.groupBy("month").agg(F.max("count").alias("most"), F.sum("count").alias("rows")).collect()
+    return [r["month"] for r in by_month], any(r["most"] > HOT_ROWS + 4 * r["rows"] / COUNTERS for r in by_month)
+
+
 def touched_months(
-    spark: SparkSession, path: str, manifest: Manifest, incoming: DataFrame, key: Sequence[str]
+    spark: SparkSession, path: str, manifest: Manifest, incoming: DataFrame, own: list[str], key: Sequence[str]
 ) -> list[str]:
-    """Months that an append has to rewrite: those of its rows, and those that may hold one of its keys."""
-    own = [r[0] for r in incoming.select("month").distinct().collect()]
+    """Months that an append has to rewrite: ``own``, those of its rows, and those that may hold one of its keys."""
     others = sorted(set(manifest.months) - set(own))
     if "ts" in key or not others:
         return own
@@ -188,8 +202,27 @@ def append(
     the table as it was. A folder of plain Parquet is taken over by its first append.
     ``before_commit`` is called before each attempt to commit, for tests of rival appends.
     """
+    staged = f"{ensure_checkpoint_dir(spark)}/incoming-{uuid.uuid4().hex}"
+    try:
+        # written once: each attempt, and each pass of one, meets the same rows; defaults of absent columns are not
+        given = [f for f in EVENT.fields if f.name in incoming.columns] or EVENT.fields
+        canonical_events(incoming, source, signal_type).select(*[f.name for f in given]).write.parquet(staged)
+        kept = canonical_events(spark.read.schema(T.StructType(given)).parquet(staged), source, signal_type)
+        return _append(spark, path, kept.withColumn("month", month_of(F.col("ts"))), key, keep_replaced, before_commit)
+    finally:
+        _Files(spark, staged).drop("")
+
+
+def _append(
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    key: Sequence[str],
+    keep_replaced: bool,
+    before_commit: Callable[[], None] | None,
+) -> int:
     files = _Files(spark, path)
-    incoming = materialise(canonical_events(incoming, source, signal_type).withColumn("month", month_of(F.col("ts"))))
+    own, hot = _months_and_heat(incoming, key)
     for _ in range(ATTEMPTS):
         manifest = latest(spark, path)
         plain = manifest is None and files.fs.exists(files.at("")) and bool(files.names(""))
@@ -201,12 +234,18 @@ def append(
             old, replaced = read_plain_events(spark, path), [n for n in files.names("") if n[0] not in "_."]
             months, before = None, old.count()
         else:
-            months = touched_months(spark, path, manifest, incoming, key)
+            months = touched_months(spark, path, manifest, incoming, own, key)
             held = [m for m in months if m in manifest.months]
             old, replaced = _load(spark, path, manifest, held), _folders("", manifest, held)
             before = sum(manifest.months[m]["rows"] for m in held)
-        merged = append_keep_last(old, incoming.drop("month"), key)
-        counts = _write(merged, path, version, key)
+        batch = incoming.drop("month")
+        # with the time in the key its rows follow each other in time order, unless a number in it has two zeros
+        timed = "ts" in key and not any(isinstance(EVENT[c].dataType, T.DoubleType) for c in key)
+        if timed and not hot and not plain and (not held or list(key) == manifest.key):
+            ranged = _ranged(both_batches(old, batch), version, key)
+        else:
+            ranged = _ranged(append_keep_last(old, batch, key), version)
+        counts = _write(ranged, path, version, key)
         after = Manifest(
             manifest.version + 1,
             list(key) if months is None or set(manifest.months) <= set(months) or list(key) == manifest.key else [],
@@ -230,13 +269,26 @@ def append(
     raise Conflict(f"{path}: {ATTEMPTS} attempts to append met rival appends")
 
 
-def _write(events: DataFrame, path: str, version: str, key: Sequence[str]) -> dict[str, int]:
+def _ranged(events: DataFrame, version: str, key: Sequence[str] = ()) -> DataFrame:
+    """Events in ranges of time, of which a hot month takes as many as it fills, sorted for the writer.
+
+    With a ``key`` that holds the time one row of each stays: its rows lie in one range, next to each other,
+    so the sort that orders the files also chooses among them, and rows are moved once.
+    """
+    by = ["month", "ts", *[c for c in key or EVENT_KEY if c != "ts"]]
+    ranged = events.withColumn("month", month_of(F.col("ts"))).repartitionByRange(*by)
+    # a constant that is kept in the sort order, as the writer asks for the order of its folders
+    ranged = ranged.withColumn("version", F.concat(F.lit(version), F.substring("month", 1, 0)))
+    order = ["month", "version", *by[1:]]
+    if not key:
+        return ranged.sortWithinPartitions(*order)
+    rest = [c for c in events.columns if c not in (*key, "_batch")]
+    return keep_one(ranged, order, [F.col(c).desc() for c in ["_batch", *rest]]).drop("_batch")
+
+
+def _write(ranged: DataFrame, path: str, version: str, key: Sequence[str]) -> dict[str, int]:
     """Write events as a version of their months, in files sorted by time; rows by month."""
-    spark = events.sparkSession
-    order = ["month", "version", "ts", *[c for c in EVENT_KEY if c != "ts"]]
-    dated = events.withColumns({"month": month_of(F.col("ts")), "version": F.lit(version)})
-    # ranges of time, of which a hot month takes as many as it fills
-    ranged = dated.repartitionByRange(*[c for c in order if c != "version"]).sortWithinPartitions(*order)
+    spark = ranged.sparkSession
     writer = ranged.write.mode("append").option("maxRecordsPerFile", FILE_ROWS)
     writer.partitionBy("month", "version").parquet(path)
     files = _Files(spark, path)

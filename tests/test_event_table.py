@@ -7,6 +7,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
+from foghorn.plans import events
 from foghorn.sources import event_table, readers, sinks
 
 SCHEMA = "company_id string, url string, ts timestamp, signal_strength double"
@@ -109,3 +110,46 @@ def test_nothing_to_append(spark, frame, tmp_path):
     before = files(table)
     assert event_table.append(spark, table, frame()) == 0
     assert files(table) == before
+
+
+def test_append_moves_rows_once_and_leaves_nothing_behind(spark, frame, tmp_path):
+    from foghorn.session import ensure_checkpoint_dir
+
+    table, shared = str(tmp_path / "t"), pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    rows = [(str(i % 50), f"u{i}", day(1 + i % 3, 1 + i % 9), float(i)) for i in range(400)]
+    event_table.append(spark, table, frame(*rows))
+    assert event_table.append(spark, table, frame(*rows)) == 0
+    assert set(shared.iterdir()) == before
+    # also where a column of the batch is a constant, and for a first append
+    batch = events.canonical_events(frame(*rows).drop("url"))
+    for old in (event_table.read(spark, table), event_table.read(spark, str(tmp_path / "none"))):
+        ranged = event_table._ranged(events.both_batches(old, batch), "v", events.EVENT_KEY)
+        plan = ranged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert (plan.count("Exchange "), plan.count("Sort ")) == (1, 1)
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 3])
+def test_last_of_equal_keys_stays_whatever_their_number(spark, frame, tmp_path, monkeypatch, hot):
+    monkeypatch.setattr(event_table, "HOT_ROWS", hot)
+    table = str(tmp_path / "t")
+    many = [("h", "u", day(1), float(i)) for i in range(50)] + [("n", None, None, float(i)) for i in range(40)]
+    some = [(None, "u", day(2, 1 + i % 3), float(i)) for i in range(9)]
+    assert event_table.append(spark, table, frame(*many, *some), source="a") == 5
+    assert event_table.append(spark, table, frame(("h", "u", day(1), -5.0), ("n", "", None, 7.0)), source="b") == 0
+    assert state(spark, table) == {
+        ("h", "u", day(1)): -5.0, ("n", "", None): 7.0,
+        ("", "u", day(2, 1)): 6.0, ("", "u", day(2, 2)): 7.0, ("", "u", day(2, 3)): 8.0,
+    }
+    assert sorted(r["source"] for r in event_table.read(spark, table).collect()) == ["a", "a", "a", "b", "b"]
+
+
+def test_key_of_fewer_columns_and_frame_without_event_columns(spark, frame, tmp_path):
+    table, key = str(tmp_path / "t"), ["company_id", "ts"]
+    rows = [("1", "a", day(1), 1.0), ("1", "b", day(1), 2.0), ("2", "a", day(1), 3.0)]
+    assert event_table.append(spark, table, frame(*rows)) == 3
+    assert event_table.append(spark, table, frame(("3", "c", day(1), 4.0)), key=key) == 0
+    assert state(spark, table) == {("1", "b", day(1)): 2.0, ("2", "a", day(1)): 3.0, ("3", "c", day(1)): 4.0}
+    assert event_table.append(spark, table, frame(("1", "z", day(1), 9.0), ("1", "y", day(1), 9.5)), key=key) == 0
+    assert state(spark, table) == {("1", "y", day(1)): 9.5, ("2", "a", day(1)): 3.0, ("3", "c", day(1)): 4.0}
+    assert event_table.append(spark, table, spark.range(2).select(F.lit("x").alias("other"))) == 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -47,7 +48,8 @@ def mention_join(
     confirmed in the text. No item is compared with every name.
     """
     shape = tx.fold_match if folded else (lambda c: F.lower(tx.collapse_ws(c)))
-    texts = items.select(F.col(item_id), shape(F.col(text)).alias("_text")).filter("_text <> ''")
+    # an empty text stays: a filter on the shaped text would shape it twice
+    texts = items.filter(F.col(text).isNotNull()).select(F.col(item_id), shape(F.col(text)).alias("_text"))
     texts = texts.withColumn("_words", F.split("_text", " "))
     names = registry.select(F.col(alias_id), shape(F.col(alias)).alias("_name"))
     names = names.filter("_name <> ''")
@@ -64,7 +66,8 @@ def mention_join(
         F.sum(F.octet_length("_name")).alias("bytes"),
         F.max(F.array_max(F.transform("_nw", F.length))).alias("longest"),
     ).first()
-    if sizes["all"] <= BROADCAST_ROW_LIMIT and (sizes["bytes"] or 0) <= BROADCAST_BYTE_LIMIT:
+    travels = sizes["all"] <= BROADCAST_ROW_LIMIT and (sizes["bytes"] or 0) <= BROADCAST_BYTE_LIMIT
+    if travels:
         spellings = F.broadcast(spellings)
     longest = sizes["longest"] or 0
 
@@ -73,8 +76,13 @@ def mention_join(
     else:
         parts = []
         if sizes["inner"]:
-            keyed = _long_candidates(texts, item_id, spellings, sizes["inner"], longest)
-            parts.append(_confirmed(keyed, texts, item_id))
+            if travels:
+                # no run is shuffled, so a text goes along with its runs and is read once
+                keyed = _long_candidates(texts, item_id, spellings, sizes["inner"], longest, ["_text"])
+            else:
+                keyed = _long_candidates(texts, item_id, spellings, sizes["inner"], longest).distinct()
+                keyed = keyed.join(texts.select(item_id, "_text"), item_id)
+            parts.append(keyed.filter(F.col("_text").contains(F.col("_name"))).select(item_id, "_name"))
         if sizes["one"]:
             parts.append(_one_word_hits(texts, item_id, spellings))
         if sizes["two"] or not parts:
@@ -98,56 +106,66 @@ def _inner_words() -> Column:
     return F.least(F.size("_nw") - 2, F.lit(ANCHOR_WORDS))
 
 
-def _framed_runs(words: str, length: int) -> Column:
-    """Runs of ``length`` words, hashed, with the word before and the word after."""
-    starts = F.when(F.size(words) >= length + 2, F.sequence(F.lit(1), F.size(words) - length - 1))
-    return F.transform(
-        F.coalesce(starts, F.array().cast("array<int>")),
-        lambda i: F.struct(
-            F.element_at(words, i).alias("_w1"),
-            _run_key(F.lit(length), F.slice(words, i + 1, length)).alias("_key"),
-            F.element_at(words, i + length + 1).alias("_w2"),
-        ),
-    )
+def _framed_runs(texts: DataFrame, kept: list[str], lengths: list[int]) -> DataFrame:
+    """Runs of words of these lengths, hashed, with the word before and the word after.
+
+    A row per place first, then expressions on it: a higher-order function would be interpreted, and the rows
+    of a place would be written out before the join that drops nearly all of them.
+    """
+    last = F.size("_words") - min(lengths) - 2
+    places = texts.select(*kept, "_words", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("_at"))
+    word = lambda k: F.get("_words", F.col("_at") + k)
+    framed = [
+        F.struct(_run_key(F.lit(n), [word(k) for k in range(1, n + 1)]).alias("_key"), word(n + 1).alias("_w2"))
+        for n in lengths
+    ]
+    if len(framed) == 1:
+        runs = places.select(*kept, word(0).alias("_w1"), framed[0].alias("_run"))
+    else:
+        runs = places.select(*kept, word(0).alias("_w1"), F.explode(F.array(*framed)).alias("_run"))
+    return runs.select(*kept, "_w1", "_run.*").filter(F.col("_w2").isNotNull())
 
 
-def _run_key(length: Column, words: Column) -> Column:
-    # a hash will do: containment is checked afterwards, so a collision does no harm
-    return F.xxhash64(length, F.array_join(words, " "))
+def _run_key(length: Column, words: list[Column]) -> Column:
+    # a hash will do: containment is checked afterwards, so a collision does no harm; nulls leave it as it is
+    return F.xxhash64(length, *words)
 
 
 def _long_candidates(
-    texts: DataFrame, item_id: str, spellings: DataFrame, lengths: list[int], longest: int
+    texts: DataFrame, item_id: str, spellings: DataFrame, lengths: list[int], longest: int, carried: Sequence[str] = ()
 ) -> DataFrame:
     """Names of three or more words whose interior, first and last word fit a run of the text.
 
     A run yields one row per suffix of the word before it that begins a name with its interior, and
     then one per prefix of the word after it: never one per name that shares the interior alone.
     ``lengths`` are the interior lengths that occur, at most ``ANCHOR_WORDS``;
-    ``longest`` is the length of the longest word of a name.
+    ``longest`` is the length of the longest word of a name. A name comes once per place; ``carried``
+    columns of the texts come with it.
     """
-    inner = _inner_words()
+    inner, kept = _inner_words(), [item_id, *carried]
+    inside = F.slice("_nw", F.lit(2), inner)
     names = spellings.filter(F.size("_nw") >= 3).select(
         "_name",
-        _run_key(inner, F.slice("_nw", F.lit(2), inner)).alias("_key"),
+        _run_key(inner, [F.get(inside, F.lit(k)) for k in range(ANCHOR_WORDS)]).alias("_key"),
         F.col("_nw")[0].alias("_a"),
         F.get("_nw", inner + 1).alias("_b"),
     )
-    found = F.flatten(F.array(*[_framed_runs("_words", n) for n in lengths]))
-    runs = texts.select(item_id, F.explode(found).alias("_run")).select(item_id, "_run.*")
+    runs = _framed_runs(texts, kept, lengths)
     runs = runs.join(names.select("_key").distinct(), "_key", "left_semi")
-    heads = runs.select(item_id, "_key", "_w2", F.explode(_pieces("_w1", "suffix", longest)).alias("_a"))
+    heads = _cut(runs, "_w1", "suffix", longest, "_a").select(*kept, "_key", "_w2", "_a")
     heads = heads.join(names.select("_key", "_a").distinct(), ["_key", "_a"], "left_semi")
-    tails = heads.select(item_id, "_key", "_a", F.explode(_pieces("_w2", "prefix", longest)).alias("_b"))
-    return tails.join(names, ["_key", "_a", "_b"]).select(item_id, "_name").distinct()
+    tails = _cut(heads, "_w2", "prefix", longest, "_b").select(*kept, "_key", "_a", "_b")
+    return tails.join(names, ["_key", "_a", "_b"]).select(*kept, "_name")
 
 
-def _confirmed(keyed: DataFrame, texts: DataFrame, item_id: str) -> DataFrame:
-    return (
-        keyed.join(texts.select(item_id, "_text"), item_id)
-        .filter(F.col("_text").contains(F.col("_name")))
-        .select(item_id, "_name")
-    )
+def _cut(rows: DataFrame, word: str, kind: str, longest: int, out: str) -> DataFrame:
+    """A row per suffix or prefix of a word, as in ``_pieces``."""
+    first, size = F.lit(1), F.length(word)
+    if kind == "suffix":
+        at = F.sequence(F.greatest(first, size - longest + 1), size)
+        return rows.withColumn("_cut", F.explode(at)).withColumn(out, F.substr(F.col(word), F.col("_cut")))
+    at = F.sequence(first, F.greatest(first, F.least(size, F.lit(longest))))
+    return rows.withColumn("_cut", F.explode(at)).withColumn(out, F.substr(F.col(word), first, F.col("_cut")))
 
 
 def _pieces(word: str, kind: str, longest: int) -> Column:

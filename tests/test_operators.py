@@ -234,6 +234,27 @@ def test_mentions_beyond_the_broadcast_bound(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == [(1, 7), (1, 8)]
 
 
+@pytest.mark.parametrize("limit", [0, mentions.BROADCAST_BYTE_LIMIT])
+def test_long_mentions_of_many_lengths_equal_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(mentions, "BROADCAST_BYTE_LIMIT", limit)
+    random.seed(9)
+    letters = ["a", "ab", "ba", "é", "Ab \t"]
+    texts = [(i, " ".join(random.choices(letters, k=random.randint(1, 60)))) for i in range(40)]
+    texts += [(90, ""), (91, " \n "), (92, None), (93, "a"), (94, "a ba ab " * 30)]
+    names = [(i, " ".join(random.choices(letters, k=random.randint(3, 6)))) for i in range(40)]
+    for i, (_, text) in enumerate(texts[:30]):
+        words = text.split()
+        names.append((100 + i, " ".join(words[1:13])[random.randint(0, 1):]))
+    names += [(200, "a ba ab a"), (201, ""), (202, None), (203, "ba " * 11)]
+    got = mentions.mention_join(
+        spark.createDataFrame(texts, "t int, text string"), "t", "text",
+        spark.createDataFrame(names, "n int, name string"), "n", "name",
+    ).collect()
+    shape = lambda s: " ".join((s or "").lower().split())
+    want = [(t, n) for t, text in texts for n, name in names if shape(name) and shape(name) in shape(text)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
 def _lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:

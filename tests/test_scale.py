@@ -70,3 +70,9 @@ def test_a_text_is_cut_into_words_once_and_its_hits_are_passed_once(spark):
     assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
     got = sorted((r.i, r.first_word, r.n_words) for r in found.collect())
     assert got == [(1, 0, 1)] + [(1, 2 * k + 1, 2) for k in range(500)]
+
+
+def test_long_names_are_found_in_one_pass_over_the_texts(spark):
+    plan = QUERIES["mention_join"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [doc_id") == 1
+    assert "lambdafunction" not in plan

@@ -270,26 +270,26 @@ def _append(
 
 
 def _ranged(events: DataFrame, version: str, key: Sequence[str] = ()) -> DataFrame:
-    """Events in ranges of time, of which a hot month takes as many as it fills, sorted for the writer.
+    """Events in ranges of time, of which a hot month takes as many as it fills, with their month and version.
 
-    With a ``key`` that holds the time one row of each stays: its rows lie in one range, next to each other,
-    so the sort that orders the files also chooses among them, and rows are moved once.
+    With a ``key`` that holds the time one row of each stays: its rows lie in one range, so they are moved once,
+    and sorting them by time first compares numbers and leaves little to do for the order of the files.
     """
-    by = ["month", "ts", *[c for c in key or EVENT_KEY if c != "ts"]]
-    ranged = events.withColumn("month", month_of(F.col("ts"))).repartitionByRange(*by)
-    # a constant that is kept in the sort order, as the writer asks for the order of its folders
-    ranged = ranged.withColumn("version", F.concat(F.lit(version), F.substring("month", 1, 0)))
-    order = ["month", "version", *by[1:]]
-    if not key:
-        return ranged.sortWithinPartitions(*order)
-    rest = [c for c in events.columns if c not in (*key, "_batch")]
-    return keep_one(ranged, order, [F.col(c).desc() for c in ["_batch", *rest]]).drop("_batch")
+    by = ["ts", *[c for c in key or EVENT_KEY if c != "ts"]]
+    ranged = events.repartitionByRange(*by)
+    if key:
+        rest = [c for c in events.columns if c not in (*key, "_batch")]
+        ranged = keep_one(ranged, by, [F.col(c).desc() for c in ["_batch", *rest]]).drop("_batch")
+    month = month_of(F.col("ts"))
+    # a constant that is kept in a sort order, as the writer asks for the order of its folders
+    return ranged.withColumns({"month": month, "version": F.concat(F.lit(version), F.substring(month, 1, 0))})
 
 
 def _write(ranged: DataFrame, path: str, version: str, key: Sequence[str]) -> dict[str, int]:
     """Write events as a version of their months, in files sorted by time; rows by month."""
     spark = ranged.sparkSession
-    writer = ranged.write.mode("append").option("maxRecordsPerFile", FILE_ROWS)
+    order = ["month", "version", "ts", *[c for c in EVENT_KEY if c != "ts"]]
+    writer = ranged.sortWithinPartitions(*order).write.mode("append").option("maxRecordsPerFile", FILE_ROWS)
     writer.partitionBy("month", "version").parquet(path)
     files = _Files(spark, path)
     months = [n.split("=", 1)[1] for n in files.names("") if n.startswith("month=")]
